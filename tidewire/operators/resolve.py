@@ -230,7 +230,7 @@ def resolve_entities(
         .otherwise(fallback_name)
         .alias("canonical_name"),
         F.when(exact, "EXACT").when(cleaned, "CLEANED_EXACT").when(fuzzy, "FUZZY").otherwise("FALLBACK").alias("match_type"),
-        F.when(exact | cleaned, F.lit(100.0)).when(fuzzy, F.round(F.col("best.score"), 2)).alias("score"),
+        F.when(exact | cleaned, F.lit(100.0)).when(fuzzy, F.bround(F.col("best.score"), 2)).alias("score"),
     )
 
 
