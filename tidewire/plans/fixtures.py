@@ -5,6 +5,8 @@ Each text is SQL over {table} names that reads the same in Spark and in an ANSI
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewire import fixed_values as fixed
@@ -146,3 +148,8 @@ def derive(spark: SparkSession, sf_dir: str, text: str, **parts: str) -> DataFra
 def oracle(text: str, **parts: str) -> str:
     """The same fixture text for the oracle, whose views have the tables' names."""
     return text.format(**{name: name for name in TABLES}, **parts)
+
+
+def datetime_of(text: str) -> datetime:
+    """A moment in UTC."""
+    return datetime.strptime(text, "%Y-%m-%d %H:%M:%S").replace(tzinfo=timezone.utc)
