@@ -5,16 +5,22 @@ Vectors travel as Arrow batches, and a batch meets all queries or planes in one
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewire.operators.bounds import rows_within
 
+# Executors get these functions with the task: they need numpy and pyarrow, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Vectors held by every task at once: queries of a search, centroids of an assignment.
 BLOCK_ROWS = 4096
+_NEAREST = "struct<similarity:double,order:bigint>"
 _BROADCAST_HEADS = 100_000
 
 
@@ -119,28 +125,28 @@ def label_centroids(vectors: DataFrame, label: str = "label", vector: str = "emb
 
 def nearest_centroid(vectors: DataFrame, centroids: DataFrame, vector: str = "embedding") -> DataFrame:
     """vectors + cluster, similarity: the label of the centroid nearest by cosine; ties go to the smaller label."""
-    label_type = centroids.schema["label"].dataType.simpleString()
-    result = F.lit(None).cast(f"struct<similarity:double,order:bigint,cluster:{label_type}>")
+    best = F.lit(None).cast(_NEAREST)
     for labels, matrix in _blocks(centroids, "label", "centroid"):
-        order = np.argsort(np.array(labels), kind="stable")
-        ranked, units = [labels[i] for i in order], matrix[order]
-
-        @F.arrow_udf(f"struct<similarity:double,order:bigint,cluster:{label_type}>")
-        def nearest(vecs: pa.Array, ranked=ranked, units=units) -> pa.Array:
-            scores = _unit(_matrix(vecs)) @ units.T
-            best = np.nan_to_num(scores, nan=-np.inf).argmax(axis=1)
-            return pa.StructArray.from_arrays(
-                [
-                    pa.array(scores[np.arange(len(best)), best]),
-                    pa.array(-best.astype(np.int64)),
-                    pa.array([ranked[i] for i in best], pa.int32()),
-                ],
-                names=["similarity", "order", "cluster"],
-            )
-
-        result = F.greatest(result, nearest(F.col(vector)))
-    assigned = vectors.where(F.col(vector).isNotNull()).withColumn("_best", result)
-    return assigned.withColumns({"cluster": F.col("_best.cluster"), "similarity": F.col("_best.similarity")}).drop("_best")
+        best = F.greatest(best, _nearest_in(labels, matrix)(F.col(vector)))
+    assigned = vectors.where(F.col(vector).isNotNull()).withColumn("_best", best)
+    cluster = (-F.col("_best.order")).cast(centroids.schema["label"].dataType)
+    return assigned.withColumns({"cluster": cluster, "similarity": F.col("_best.similarity")}).drop("_best")
+
+
+def _nearest_in(labels: list[int], matrix: np.ndarray):
+    """Vector to (similarity, negated label) of the nearest of these centroids."""
+    by_label = np.argsort(np.array(labels), kind="stable")
+    ordered, units = np.array(labels, dtype=np.int64)[by_label], matrix[by_label]
+
+    @F.arrow_udf(_NEAREST)
+    def nearest(vecs: pa.Array) -> pa.Array:
+        scores = np.nan_to_num(_unit(_matrix(vecs)) @ units.T, nan=-np.inf)
+        best = scores.argmax(axis=1)
+        return pa.StructArray.from_arrays(
+            [pa.array(scores[np.arange(len(best)), best]), pa.array(-ordered[best])], names=["similarity", "order"]
+        )
+
+    return nearest
 
 
 def plane_signs(planes: int, dims: int) -> np.ndarray:

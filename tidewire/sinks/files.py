@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewire.model import to_export
 from tidewire.sources.tables import read_csv
 
-_CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": ""}
+_CSV = {
+    "header": True, "quote": '"', "escape": '"', "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 def write_csv(df: DataFrame, record_type: str, path: str) -> None:
