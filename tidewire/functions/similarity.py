@@ -48,28 +48,22 @@ def _power_of_two(exponent: Column) -> Column:
 
 def lcs_length(chars: Column, masks: Column, length: Column) -> Column:
     """Longest common subsequence of a character array and a string given by its masks and length."""
-    one_word = F.aggregate(
-        chars,
-        F.lit(_FULL).cast("bigint"),
-        lambda state, c: _step(state, F.coalesce(F.get(F.try_element_at(masks, c), F.lit(0)), F.lit(0).cast("bigint"))),
-    )
+    full = F.lit(_FULL).cast("bigint")
+    hits = F.transform(chars, lambda c: F.try_element_at(masks, c))
     # bits at and above the length never get cleared, so the zeros are the matches
     matched_in = lambda state: F.lit(WORD_BITS) - F.bit_count(state)
+    one_word = F.aggregate(
+        F.transform(hits, lambda h: F.coalesce(F.get(h, F.lit(0)), F.lit(0).cast("bigint"))),
+        full,
+        lambda state, mask: (state + state.bitwiseAND(mask)).bitwiseOR(state.bitwiseAND(F.bitwise_not(mask))).bitwiseAND(full),
+    )
     words = F.floor((length + WORD_BITS - 1) / WORD_BITS).cast("int")
-    start = F.array_repeat(F.lit(_FULL).cast("bigint"), words)
     many_words = F.aggregate(
-        F.aggregate(chars, start, lambda state, c: _wide_step(state, F.try_element_at(masks, c))),
-        F.lit(0),
-        lambda total, word: total + matched_in(word),
+        F.aggregate(hits, F.array_repeat(full, words), _wide_step), F.lit(0), lambda total, word: total + matched_in(word)
     )
     return F.when(length <= WORD_BITS, matched_in(one_word)).otherwise(many_words)
 
 
-def _step(state: Column, mask: Column) -> Column:
-    hit = state.bitwiseAND(mask)
-    return (state + hit).bitwiseOR(state - hit).bitwiseAND(F.lit(_FULL).cast("bigint"))
-
-
 def _wide_step(state: Column, mask: Column) -> Column:
     """The same step over several words, with the carry of the addition handed upwards."""
     zero = F.lit(0).cast("bigint")

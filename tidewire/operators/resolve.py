@@ -19,7 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidewire import fixed_values as fixed
 from tidewire.functions.links import spread_missing
 from tidewire.functions.names import clean_name, is_blank
+from tidewire.functions.once import compute_once
 from tidewire.functions.similarity import (
+    WORD_BITS,
     characters,
     edit_budget,
     indel_score,
@@ -31,7 +33,7 @@ from tidewire.functions.text import non_empty, strip_ws
 from tidewire.operators.bounds import rows_within
 
 INLINE_LIMIT = 2000
-_ENTRY = "array<struct<pos:int,canonical:string,key:string,sorted:string,n:int,masks:map<string,array<bigint>>>>"
+_ENTRY = "array<struct<pos:int,canonical:string,sorted:string,n:int,masks:map<string,array<bigint>>>>"
 
 
 def dictionary_frame(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
@@ -49,23 +51,34 @@ def distinct_names(*sources: DataFrame) -> DataFrame:
     return union.where(~is_blank(F.col("raw_name"))).distinct()
 
 
+def _entry(row) -> dict:
+    """A dictionary row as the literal holds it; the same sorted form and masks that columns get."""
+    text = " ".join(sorted(row["form"].split()))
+    masks: dict[str, list[int]] = {}
+    for place, char in enumerate(text):
+        words = masks.setdefault(char, [0] * -(-len(text) // WORD_BITS))
+        words[place // WORD_BITS] |= 1 << place % WORD_BITS
+    return {"pos": row["pos"], "canonical": row["canonical"], "sorted": text, "n": len(text), "masks": masks}
+
+
 class Dictionary:
     """A dictionary prepared for lookups: checked for size once, literal when small."""
 
     def __init__(self, entries: DataFrame, inline_limit: int = INLINE_LIMIT, processor: str | None = None):
         self.processor = processor
-        self.entries = (
-            entries.select(F.col("pos").cast("int"), "canonical")
-            .withColumn("key", F.lower("canonical"))
-            .withColumn("sorted", token_sort(self.processed(F.col("canonical"))))
-            .withColumn("n", F.length("sorted"))
-            .withColumn("masks", position_masks(F.col("sorted")))
-        )
-        rows = rows_within(self.entries, inline_limit)
+        named = entries.select(F.col("pos").cast("int"), "canonical").withColumn("key", F.lower("canonical"))
+        named = named.withColumn("form", self.processed(F.col("canonical")))
+        rows = rows_within(named, inline_limit)
         self.literal = None
-        if rows is not None:
-            text = json.dumps([r.asDict(recursive=True) for r in rows], ensure_ascii=False)
-            self.literal = F.from_json(F.lit(text), _ENTRY)
+        if rows is None:
+            self.entries = (
+                named.withColumn("sorted", token_sort(F.col("form")))
+                .drop("form")
+                .withColumn("n", F.length("sorted"))
+                .withColumn("masks", position_masks(F.col("sorted")))
+            )
+        else:
+            self.literal = F.from_json(F.lit(json.dumps([_entry(r) for r in rows], ensure_ascii=False)), _ENTRY)
             found = {r["key"]: r["canonical"] for r in sorted(rows, key=lambda r: r["pos"])}
             keys = pa.table({"key": pa.array(found.keys(), pa.string()), "found": pa.array(found.values(), pa.string())})
             self.small = F.broadcast(entries.sparkSession.createDataFrame(keys))
@@ -108,10 +121,8 @@ def _close_enough(left: Column, right: Column, m: Column, n: Column, threshold:
     return _length_fits(m, n, threshold) & (distance >= 0)
 
 
-def _best_inline(target: Column, entries: Column, threshold: float) -> Column:
-    """struct<score,order,canonical> of the best entry, NULL without one close enough."""
-    m = F.length(target)
-    chars = characters(target)
+def _best_inline(target: Column, chars: Column, m: Column, entries: Column, threshold: float) -> Column:
+    """struct<score,order,canonical> of the best entry at or above the threshold, NULL without one."""
     near = F.filter(entries, lambda d: _close_enough(target, d["sorted"], m, d["n"], threshold))
     scored = F.transform(
         near,
@@ -121,19 +132,27 @@ def _best_inline(target: Column, entries: Column, threshold: float) -> Column:
             d["canonical"].alias("canonical"),
         ),
     )
-    return F.array_max(scored)
+    return F.array_max(F.filter(scored, lambda s: s["score"] >= threshold))
 
 
 def best_matches(targets: DataFrame, dictionary: Dictionary, threshold: float) -> DataFrame:
     """Best entry at or above the threshold for each distinct target: (target, best)."""
-    sized = targets.select("target").distinct().withColumn("m", F.length("target"))
+    sized = targets.select("target").distinct()
     if dictionary.literal is not None:
-        best = sized.select("target", _best_inline(F.col("target"), dictionary.literal, threshold).alias("best"))
+        best = _with_best(sized, dictionary, threshold).select("target", "best")
     else:
-        best = _best_by_segments(sized, dictionary.entries, threshold)
+        best = _best_by_segments(sized.withColumn("m", F.length("target")), dictionary.entries, threshold)
     return best.where(F.col("best.score") >= threshold)
 
 
+def _with_best(df: DataFrame, dictionary: Dictionary, threshold: float) -> DataFrame:
+    """df(target) + best, by the literal dictionary; NULL targets stay without one."""
+    # split once per target, not once per entry
+    split = compute_once(df, "_t", F.struct("target", characters(F.col("target")).alias("chars"), F.length("target").alias("m")))
+    best = _best_inline(F.col("_t.target"), F.col("_t.chars"), F.col("_t.m"), dictionary.literal, threshold)
+    return compute_once(split, "best", F.when(F.col("target").isNotNull(), best)).drop("_t")
+
+
 def _other_lengths(length: Column, threshold: float) -> Column:
     """Lengths at which a string of the given length can still reach the threshold."""
     low = F.ceil(length * F.lit(threshold / (200.0 - threshold)) - F.lit(1e-9)).cast("int")
@@ -196,10 +215,7 @@ def add_fuzzy(names: DataFrame, dictionary: Dictionary, threshold: float) -> Dat
     missed = F.col("exact_name").isNull() & F.col("cleaned_name").isNull()
     targeted = names.withColumn("target", F.when(missed, token_sort(text)))
     if dictionary.literal is not None:
-        scored = targeted.withColumn(
-            "best", F.when(F.col("target").isNotNull(), _best_inline(F.col("target"), dictionary.literal, threshold))
-        )
-        return scored.withColumn("best", F.when(F.col("best.score") >= threshold, F.col("best"))).drop("target")
+        return _with_best(targeted, dictionary, threshold).drop("target")
     wanted = targeted.where(F.col("target").isNotNull())
     best = best_matches(wanted, dictionary, threshold).select(F.col("target").alias("k"), "best")
     keyed = targeted.withColumn("k", spread_missing(F.col("target"), F.col("raw_name")))

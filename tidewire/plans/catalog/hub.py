@@ -105,7 +105,7 @@ QUERIES = {
 _H = f"({fx.oracle(fx.HUB_ITEMS)})"
 _DEFAULTED = "* REPLACE (CASE WHEN item_pos % 19 <> 0 THEN downloads ELSE 0 END AS downloads, CASE WHEN item_pos % 23 <> 0 THEN likes ELSE 0 END AS likes, CASE WHEN item_pos % 29 <> 0 THEN tag ELSE '' END AS tag)"
 # items of lists that did not fail, placed in their list
-_LISTED = f"""(SELECT src_rank, doc_no, row_number() OVER (PARTITION BY src_rank, doc_no ORDER BY item_pos) - 1 AS place,
+_LISTED = f"""(SELECT src_rank, doc_no, CAST(row_number() OVER (PARTITION BY src_rank, doc_no ORDER BY item_pos) - 1 AS INTEGER) AS place,
   item_pos, list_url, id, author, downloads, likes, tag FROM (
     SELECT {_DEFAULTED}, CAST(floor(item_pos / {ITEMS_PER_DOC}) AS BIGINT) AS doc_no FROM {_H} AS h) WHERE doc_no % 9 <> 0)"""
 _AUTHOR = sql.author()

@@ -160,7 +160,7 @@ _TITLE = "CASE WHEN doc_id % 8 <> 0 THEN concat('On item ', doc_id) ELSE '' END"
 _PAGED = f"SELECT *, CAST(floor(doc_id / {ENTRIES_PER_DOC}) AS BIGINT) AS page FROM {_P} AS paged"
 
 ORACLES = {
-    "src_atom_papers": f"""SELECT page AS src_rank, row_number() OVER (PARTITION BY page ORDER BY doc_id) - 1 AS item_pos, {_TITLE} AS title,
+    "src_atom_papers": f"""SELECT page AS src_rank, CAST(row_number() OVER (PARTITION BY page ORDER BY doc_id) - 1 AS INTEGER) AS item_pos, {_TITLE} AS title,
       '2024-01-01T00:00:00Z' AS published, {_AUTHORS} AS authors, paper_url, concat('Paper ', doc_id) AS summary,
       coalesce(comment, '') AS comment FROM ({_PAGED}) WHERE page % 13 <> 5""",
     "authors_join": f"SELECT doc_id, {_AUTHORS} AS authors FROM {_P} AS p",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidewire import fixed_values as fixed, model
 from tidewire.functions import names as fn, rules, text
 from tidewire.functions.dates import fmt_iso, parse_date
+from tidewire.functions.once import compute_once
 from tidewire.operators import ranking, signals
 from tidewire.plans import fixtures as fx, records
 from tidewire.plans.catalog import sqltext as sql
@@ -29,7 +30,7 @@ def items(spark, sf):
 
 
 def dated(spark, sf):
-    return items(spark, sf).withColumn("published", parse_date(c("pub_str"), fx.NOW))
+    return compute_once(items(spark, sf), "published", parse_date(c("pub_str"), fx.NOW))
 
 
 def fresh(spark, sf):
@@ -199,7 +200,7 @@ _IS_FRESH = f"published BETWEEN TIMESTAMP '{fx.NOW}' - INTERVAL 24 HOURS AND TIM
 _SHOWN = f"""CASE fmt WHEN 0 THEN strftime(t, '%a, %d %b %Y %H:%M:%S +0000') WHEN 1 THEN strftime(t, '%-d %b %Y %H:%M:%S GMT')
   WHEN 2 THEN strftime(t, {sql.ISO}) WHEN 3 THEN strftime(t, '%Y-%m-%d %H:%M:%S') ELSE 'not a date' END"""
 # items with the document they land in; documents numbered 7k fail, 11k are cut off
-_DOCS = f"""(SELECT *, row_number() OVER (PARTITION BY doc_no ORDER BY event_id) - 1 AS item_pos, {_SHOWN} AS pub_str,
+_DOCS = f"""(SELECT *, CAST(row_number() OVER (PARTITION BY doc_no ORDER BY event_id) - 1 AS INTEGER) AS item_pos, {_SHOWN} AS pub_str,
   concat('https://news.example/', event_id) AS link, concat('feed-', ((doc_no % 5) + 5) % 5) AS source_name_doc
   FROM (SELECT *, CAST(floor(event_id / {ITEMS_PER_DOC}.0) AS BIGINT) AS doc_no FROM {_F} AS f))"""
 _KIND = "((doc_no % 3) + 3) % 3"

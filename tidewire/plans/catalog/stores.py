@@ -232,12 +232,12 @@ ORACLES = {
     "sink_reuse": _PRODUCT_CSV,
     "sink_contract": _PRODUCT_CSV,
     "src_csv_named": f"SELECT {sql.org_name('author')} AS name FROM ({hub._first_org(_H, 'src_rank, item_pos')})",
-    "src_hub_files": f"""SELECT row_number() OVER (PARTITION BY src_rank, doc_no ORDER BY item_pos) - 1 AS item_pos, id, author, downloads, likes, tag AS tags
+    "src_hub_files": f"""SELECT CAST(row_number() OVER (PARTITION BY src_rank, doc_no ORDER BY item_pos) - 1 AS INTEGER) AS item_pos, id, author, downloads, likes, tag AS tags
       FROM (SELECT {hub._DEFAULTED}, CAST(floor(item_pos / {hub.ITEMS_PER_DOC}) AS BIGINT) AS doc_no FROM {_H} AS h)""",
     "kg_nodes": _GRAPH + "SELECT label, sha256(concat(label, chr(31), key)) AS node_id, key, name FROM nodes",
     "kg_edges": _GRAPH + "SELECT type, src_id, dst_id FROM edges",
     "sink_graph": _GRAPH + "SELECT label AS kind, count(*) AS rows FROM nodes GROUP BY 1 UNION ALL SELECT type, count(*) FROM edges GROUP BY 1",
-    "vector_topk": f"""SELECT query_id, vec_id, round(score, 6) AS score, rank FROM (
+    "vector_topk": f"""SELECT query_id, vec_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
       SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score,
         row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.v, c.v) DESC, c.vec_id) AS rank
       FROM {_UNIT} AS q, {_UNIT} AS c WHERE q.vec_id < 10 AND c.vec_id >= 10) WHERE rank <= 5""",

@@ -90,10 +90,10 @@ ORACLES = {
     "clean_html": f"SELECT page_id, clean AS text FROM {_CLEAN} AS k",
     "collapse_ws": f"SELECT doc_id, {sql.collapse('text')} AS text FROM documents",
     "chunk_payload": "SELECT doc_id, " + ", ".join(f"md5({sql.chunk('text', str(n))}) AS chunk_{n}" for n in SIZES) + " FROM documents",
-    "shrink_ladder": _LADDER.replace("{steps}", "9") + "SELECT doc_id, step, md5(body) AS text, length(body) AS length FROM ladder",
+    "shrink_ladder": _LADDER.replace("{steps}", "9") + "SELECT doc_id, step, md5(body) AS text, CAST(length(body) AS INTEGER) AS length FROM ladder",
     "shrink_fit": _LADDER.replace("{steps}", "3")
     + """SELECT doc_id, coalesce(min(CASE WHEN length(body) <= 700 THEN step END), 3) AS step,
-      coalesce(max(CASE WHEN length(body) <= 700 THEN length(body) END), min(length(body))) AS length FROM ladder GROUP BY doc_id""",
+      CAST(coalesce(max(CASE WHEN length(body) <= 700 THEN length(body) END), min(length(body))) AS INTEGER) AS length FROM ladder GROUP BY doc_id""",
     "root_domain": r"SELECT page_id, regexp_extract(lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)), '([^.]+\.)?[^.]+$', 0) AS domain FROM pages",
     "api_chunker": f"""SELECT page_id, {sql.chunk('clean', '400')} AS payload, {sql.clean_name('url')} AS name,
       md5({sql.collapse('html')}) AS flat FROM {_CLEAN} AS k""",

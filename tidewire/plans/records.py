@@ -10,6 +10,7 @@ from tidewire import fixed_values as fixed, model
 from tidewire.functions import names, rules, text
 from tidewire.functions.dates import fmt_iso, parse_date
 from tidewire.functions.links import search_text
+from tidewire.functions.once import compute_once
 from tidewire.operators import dedup, linking, ranking, resolve, signals
 from tidewire.sources import feeds, hub
 from tidewire.sources.payloads import feed_format, ok_payloads
@@ -34,7 +35,7 @@ def papers(
 
 
 def _dated(items: DataFrame, now) -> DataFrame:
-    return signals.fresh_only(items.withColumn("published", parse_date(F.col("pub_str"), now)), "published", now)
+    return signals.fresh_only(compute_once(items, "published", parse_date(F.col("pub_str"), now)), "published", now)
 
 
 def news(payloads: DataFrame, now) -> DataFrame:

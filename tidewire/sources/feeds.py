@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewire.functions.names import join_authors
+from tidewire.functions.once import compute_once
 from tidewire.functions.text import collapse_ws, fallback, strip_ws
 
 _TEXTS = "array<struct<_VALUE:string,_href:string>>"
@@ -32,9 +33,12 @@ def _text(elements: Column) -> Column:
 
 def parse_documents(payloads: DataFrame) -> DataFrame:
     """payloads + doc (channel, item, entry) and _corrupt, which holds the body of unreadable documents."""
-    parsed = payloads.withColumn("doc", F.from_xml("body", _DOCUMENT, _XML))
+    return _marked(compute_once(payloads, "doc", F.from_xml("body", _DOCUMENT, _XML)))
+
+
+def _marked(parsed: DataFrame) -> DataFrame:
     unreadable = F.col("doc").isNull() | F.col("doc._corrupt").isNotNull()
-    return parsed.withColumn("_corrupt", F.when(unreadable, F.coalesce("doc._corrupt", "body", F.lit(""))))
+    return parsed.withColumn("_corrupt", F.when(unreadable, F.coalesce("body", F.lit(""))))
 
 
 def _rss_items(doc: Column) -> Column:
@@ -86,9 +90,7 @@ def json_jobs(payloads: DataFrame) -> DataFrame:
             F.coalesce(fallback(j["publication_date"], j["pubDate"]), F.lit("")).alias("pub_str"),
         ),
     )
-    parsed = payloads.withColumn("doc", F.from_json("body", _JOBS, _JSON))
-    unreadable = F.col("doc").isNull() | F.col("doc._corrupt").isNotNull()
-    return _exploded(parsed.withColumn("_corrupt", F.when(unreadable, F.col("body"))), items)
+    return _exploded(_marked(compute_once(payloads, "doc", F.from_json("body", _JOBS, _JSON))), items)
 
 
 def _paper(entry: Column) -> Column:
