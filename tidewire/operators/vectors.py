@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidewire.functions.once import compute_once
 from tidewire.operators.bounds import rows_within
 
 # Executors get these functions with the task: they need numpy and pyarrow, not this package.
@@ -192,17 +193,18 @@ def semantic_dedup(
         bits = min(48, max(8, vectors.count().bit_length()))
     rows = vectors.where(F.col(vector).isNotNull())
     distinct = rows.groupBy(vector).agg(F.min(id_col).alias("_first"))
-    keyed = distinct.withColumn("_keys", band_keys(F.col(vector), dims, bands, bits))
-    banded = keyed.select("_first", vector, F.posexplode("_keys").alias("_band", "_key"))
+    keyed = compute_once(distinct, "_keys", band_keys(F.col(vector), dims, bands, bits))
+    banded = keyed.select("_first", F.posexplode("_keys").alias("_band", "_key"))
     heads = banded.groupBy("_band", "_key").agg(F.min("_first").alias("_head"))
-    head_vectors = distinct.select(F.col("_first").alias("_head"), F.col(vector).alias("_head_vector"))
     if bands << bits <= _BROADCAST_HEADS:  # there is at most one head per band and key
         heads = F.broadcast(heads)
-    named = banded.join(heads, ["_band", "_key"])
-    pairs = named.where(F.col("_first") != F.col("_head")).select("_first", vector, "_head").distinct()
-    scored = pairs.join(head_vectors, "_head").withColumn("_cos", cosine(F.col(vector), F.col("_head_vector")))
+    # ids alone travel until the candidate pairs are known; then each side's vector joins in
+    pairs = banded.join(heads, ["_band", "_key"]).where(F.col("_first") != F.col("_head")).select("_first", "_head").distinct()
+    own = pairs.join(distinct.withColumnRenamed(vector, "_own"), "_first")
+    both = own.join(distinct.select(F.col("_first").alias("_head"), F.col(vector).alias("_other")), "_head")
+    scored = compute_once(both, "_cos", cosine(F.col("_own"), F.col("_other")))
     near = scored.where(F.col("_cos") >= threshold).groupBy("_first").agg(F.min("_head").alias("_near"))
-    firsts = distinct.select(vector, "_first").join(near, "_first", "left")
+    firsts = distinct.join(near, "_first", "left")
     joined = rows.join(firsts, vector)
     copy = F.when(F.col(id_col) != F.col("_first"), F.coalesce("_near", "_first")).otherwise(F.col("_near"))
     return joined.withColumn("copy_of", copy).drop("_first", "_near")
