@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, functions as F
 
 from tidewire import fixed_values as fixed
+from tidewire.functions.once import bind
 from tidewire.functions.text import collapse_ws, non_empty
 
 # day, month, year, hour, minute, second, zone of a mail date; the weekday is ignored
@@ -33,9 +34,7 @@ def _with_groups(text: Column, pattern: str, count: int, build: Callable[..., Co
     """build(group 1, ..., group count), with a single pass of the pattern; absent groups are empty."""
     marks = "|".join(f"${i}" for i in range(1, count + 1))
     parts = F.split(F.regexp_replace(text, pattern, marks), r"\|")
-    # the one-element transform binds the parts once for all their uses
-    built = F.transform(F.array(parts), lambda p: build(*[F.get(p, F.lit(i)) for i in range(count)]))
-    return F.when(text.rlike(pattern), F.get(built, F.lit(0)))
+    return F.when(text.rlike(pattern), bind(parts, lambda p: build(*[F.get(p, F.lit(i)) for i in range(count)])))
 
 
 def _month_number(name: Column) -> Column:
@@ -92,8 +91,8 @@ def parse_date(text: Column, now: datetime | str | Column) -> Column:
 
     Spoken dates: now, today, yesterday, 'N seconds|minutes|hours|days|weeks ago', 'Month d, yyyy [hh:mm[:ss]]'.
     """
-    flat = collapse_ws(text)
-    return F.coalesce(_mail_date(flat), _iso_date(flat), _spoken_date(flat, now_literal(now)))
+    moment = now_literal(now)
+    return bind(collapse_ws(text), lambda flat: F.coalesce(_mail_date(flat), _iso_date(flat), _spoken_date(flat, moment)))
 
 
 def fmt_iso(moment: Column) -> Column:

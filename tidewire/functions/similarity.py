@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tidewire.functions.once import bind
 from tidewire.functions.text import collapse_ws
 
 WORD_BITS = 61  # S + u stays below 2^62, so additions never overflow a bigint
@@ -26,8 +27,11 @@ def token_sort(text: Column) -> Column:
 
 def position_masks(text: Column) -> Column:
     """map<character, array<bigint>>: the character's positions as bits, 61 to a word."""
-    chars = characters(text)
-    words = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length(text) - 1) / WORD_BITS).cast("int")))
+    return bind(characters(text), _masks_of)
+
+
+def _masks_of(chars: Column) -> Column:
+    words = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(chars) - 1) / WORD_BITS).cast("int")))
 
     def mask(char: Column, word: Column) -> Column:
         part = F.slice(chars, word * WORD_BITS + 1, WORD_BITS)
@@ -49,7 +53,7 @@ def _power_of_two(exponent: Column) -> Column:
 def lcs_length(chars: Column, masks: Column, length: Column) -> Column:
     """Longest common subsequence of a character array and a string given by its masks and length."""
     full = F.lit(_FULL).cast("bigint")
-    hits = F.transform(chars, lambda c: F.try_element_at(masks, c))
+    hits = bind(masks, lambda bound: F.transform(chars, lambda c: F.try_element_at(bound, c)))
     # bits at and above the length never get cleared, so the zeros are the matches
     matched_in = lambda state: F.lit(WORD_BITS) - F.bit_count(state)
     one_word = F.aggregate(
@@ -91,5 +95,9 @@ def edit_budget(m: Column, n: Column, threshold: float) -> Column:
 
 def token_sort_ratio(left: Column, right: Column) -> Column:
     """0..100 similarity of two names, insensitive to word order, sensitive to case."""
-    a, b = token_sort(left), token_sort(right)
-    return indel_score(lcs_length(characters(a), position_masks(b), F.length(b)), F.length(a), F.length(b))
+
+    def score(pair: Column) -> Column:
+        a, b = pair["a"], pair["b"]
+        return indel_score(lcs_length(characters(a), position_masks(b), F.length(b)), F.length(a), F.length(b))
+
+    return bind(F.struct(token_sort(left).alias("a"), token_sort(right).alias("b")), score)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from tidewire import fixed_values as fixed
+from tidewire.functions.once import bind
 
 _SPACES = f"[{fixed.WHITESPACE}]+"
 
@@ -38,25 +39,30 @@ def clean_html(raw: Column) -> Column:
 def chunk_payload(text: Column, max_chars: Column | int = fixed.CHUNK_CHARS) -> Column:
     """At most max_chars characters, ending at the last full stop where the cut text has one."""
     limit = F.lit(max_chars) if isinstance(max_chars, int) else max_chars
-    head = F.substring(text, F.lit(1), limit)
+    return F.when(F.length(text) <= limit, text).otherwise(_to_last_stop(F.substring(text, F.lit(1), limit)))
+
+
+def _to_last_stop(head: Column) -> Column:
     after_stop = F.instr(F.reverse(head), ".") - 1  # characters behind the last full stop, -1 without one
-    sentence = F.substring(head, F.lit(1), F.length(head) - after_stop)
-    return F.when(F.length(text) <= limit, text).when(after_stop >= 0, sentence).otherwise(head)
+    return F.when(after_stop >= 0, F.substring(head, F.lit(1), F.length(head) - after_stop)).otherwise(head)
 
 
 def shrink_ladder(text: Column, max_chars: int = fixed.CHUNK_CHARS, steps: int = 3) -> Column:
     """array<struct<step,text,length>>: the first chunk, then each rung cut to half of the one before."""
-    first = chunk_payload(text, max_chars)
 
     def rung(step: Column, body: Column) -> Column:
         return F.struct(step.alias("step"), body.alias("text"), F.length(body).alias("length"))
 
-    def shorter(done: Column, step: Column) -> Column:
-        last = F.element_at(done, -1)
+    def halved(last: Column, step: Column) -> Column:
         half = F.floor(last["length"] / 2).cast("int")
-        return F.concat(done, F.array(rung(step, chunk_payload(last["text"], half))))
+        cut = bind(F.substring(last["text"], F.lit(1), half), _to_last_stop)
+        return bind(F.when(last["length"] <= half, last["text"]).otherwise(cut), lambda body: rung(step, body))
+
+    def longer(done: Column, step: Column) -> Column:
+        return F.concat(done, F.array(bind(F.element_at(done, -1), lambda last: halved(last, step))))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.array(rung(F.lit(0), first)), shorter)
+    first = bind(chunk_payload(text, max_chars), lambda body: rung(F.lit(0), body))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.array(first), longer)
 
 
 def fit_to_budget(ladder: Column, budget: int) -> Column:

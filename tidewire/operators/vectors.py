@@ -23,6 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_ROWS = 4096
 _NEAREST = "struct<similarity:double,order:bigint>"
 _BROADCAST_HEADS = 100_000
+_SCORES_AT_ONCE = 4_000_000
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -61,37 +62,33 @@ def _split(bucket: DataFrame) -> Iterator[list]:
     return (part for h in (0, 1) for part in _split(bucket.where(halves == h)))
 
 
+def _chunks(matrix: np.ndarray, others: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first row, rows) of pieces whose product with that many other vectors stays small."""
+    size = max(1, _SCORES_AT_ONCE // max(1, others))
+    return ((at, matrix[at : at + size]) for at in range(0, len(matrix), size))
+
+
+def _best_of(q: np.ndarray, score: np.ndarray, ident: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The k best per query of flat candidates; equal scores go to the smaller id."""
+    order = np.lexsort((ident, -score, q))
+    q, score, ident = q[order], score[order], ident[order]
+    place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
+    kept = place < k
+    return q[kept], score[kept], ident[kept], place[kept]
+
+
 def vector_topk(
     corpus: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """(query_id, vec_id, score, rank) of the k nearest vectors by cosine per query; ties go to the smaller id.
 
-    Every task keeps k rows (and ties) per query and batch, so what is shuffled does not grow with the corpus rows.
+    Every task keeps k rows per query while its vectors pass, so neither its memory nor what is shuffled grows with
+    the corpus. More queries than one block holds take one pass over the corpus per block.
     """
-    id_type = corpus.schema[id_col].dataType.simpleString()
-    schema = f"query_id {queries.schema[id_col].dataType.simpleString()}, {id_col} {id_type}, score double"
     found = None
     for query_ids, matrix in _blocks(queries, id_col, vector):
-
-        def search(batches, query_ids=query_ids, matrix=matrix):
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                scores = matrix @ _unit(_matrix(batch.column(1))).T
-                scores = np.where(np.isnan(scores), -np.inf, scores)
-                keep = min(k, scores.shape[1])
-                bar = np.partition(scores, scores.shape[1] - keep, axis=1)[:, scores.shape[1] - keep]
-                q, row = np.nonzero((scores >= bar[:, None]) & np.isfinite(scores))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([query_ids[i] for i in q], pa.int64()),
-                        batch.column(0).take(pa.array(row)),
-                        pa.array(scores[q, row]),
-                    ],
-                    names=["query_id", id_col, "score"],
-                )
-
-        part = corpus.select(id_col, vector).where(F.col(vector).isNotNull()).mapInArrow(search, schema)
+        part = corpus.select(F.col(id_col).cast("bigint"), vector).where(F.col(vector).isNotNull())
+        part = part.mapInArrow(_search(np.array(query_ids, dtype=np.int64), matrix, k), f"query_id bigint, {id_col} bigint, score double")
         found = part if found is None else found.unionByName(part)
     if found is None:
         raise ValueError("no query vectors")
@@ -99,6 +96,28 @@ def vector_topk(
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def _search(query_ids: np.ndarray, matrix: np.ndarray, k: int):
+    def search(batches):
+        q, score, ident = np.array([], np.int64), np.array([], np.float64), np.array([], np.int64)
+        bar = np.full(len(query_ids), -np.inf)  # a query with k candidates takes nothing below its last one
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for at, rows in _chunks(_unit(_matrix(batch.column(1))), len(query_ids)):
+                scores = np.nan_to_num(matrix @ rows.T, nan=-np.inf)
+                cut = scores.shape[1] - min(k, scores.shape[1])
+                low = np.maximum(bar, np.partition(scores, cut, axis=1)[:, cut])
+                new_q, row = np.nonzero((scores >= low[:, None]) & np.isfinite(scores))
+                q, score, ident, place = _best_of(
+                    np.concatenate([q, new_q]), np.concatenate([score, scores[new_q, row]]), np.concatenate([ident, ids[at + row]]), k
+                )
+                bar[q[place == k - 1]] = score[place == k - 1]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(query_ids[q]), pa.array(ident), pa.array(score)], names=["query_id", "id", "score"]
+        )
+
+    return search
+
+
 def label_centroids(vectors: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
     """(label, centroid): mean vector per label. Each batch sends one sum per label."""
 
@@ -141,11 +160,12 @@ def _nearest_in(labels: list[int], matrix: np.ndarray):
 
     @F.arrow_udf(_NEAREST)
     def nearest(vecs: pa.Array) -> pa.Array:
-        scores = np.nan_to_num(_unit(_matrix(vecs)) @ units.T, nan=-np.inf)
-        best = scores.argmax(axis=1)
-        return pa.StructArray.from_arrays(
-            [pa.array(scores[np.arange(len(best)), best]), pa.array(-ordered[best])], names=["similarity", "order"]
-        )
+        best, top = np.zeros(len(vecs), np.int64), np.zeros(len(vecs))
+        for at, rows in _chunks(_unit(_matrix(vecs)), len(units)):
+            scores = np.nan_to_num(rows @ units.T, nan=-np.inf)
+            place = slice(at, at + len(rows))
+            best[place], top[place] = scores.argmax(axis=1), scores.max(axis=1)
+        return pa.StructArray.from_arrays([pa.array(top), pa.array(-ordered[best])], names=["similarity", "order"])
 
     return nearest
 

@@ -14,6 +14,7 @@ from tidewire.sources import payloads as landed
 from tidewire.streaming import dedup as stream_dedup, intake
 
 c = F.col
+ROWS_PER_FILE, FILES_PER_TRIGGER = 10_000, 100
 
 
 def sightings(spark, sf):
@@ -114,19 +115,19 @@ def src_stream(spark, sf):
 
 
 def sink_checkpoint(spark, sf):
-    """Documents stored in files of at most 100 rows and taken in a few files per trigger, over a restart."""
+    """Documents stored in files of a fixed number of rows and taken in some files per trigger, over a restart."""
     session.configure(spark)
     out = session.fresh_path(spark, "sink-checkpoint")
     docs = fx.table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     schema = docs.schema
-    docs.where("doc_id % 2 = 0").write.option("maxRecordsPerFile", 100).mode("append").parquet(f"{out}/in")
+    docs.where("doc_id % 2 = 0").write.option("maxRecordsPerFile", ROWS_PER_FILE).mode("append").parquet(f"{out}/in")
 
     def take_in():
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(f"{out}/in")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(f"{out}/in")
         _run(intake.append_stream(stream, f"{out}/rows", f"{out}/log"))
 
     take_in()
-    docs.where("doc_id % 2 = 1").write.option("maxRecordsPerFile", 100).mode("append").parquet(f"{out}/in")
+    docs.where("doc_id % 2 = 1").write.option("maxRecordsPerFile", ROWS_PER_FILE).mode("append").parquet(f"{out}/in")
     take_in()
     return spark.read.parquet(f"{out}/rows")
 
