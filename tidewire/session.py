@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,13 +26,14 @@ def build_session(app_name: str = "tidewire", master: str | None = None, **optio
     return configure(builder.getOrCreate())
 
 
+@cache
+def _test_root() -> str:
+    return tempfile.mkdtemp(prefix="tidewire-")
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors see: the cluster's setting, or a temporary one where none is set (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidewire-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    """The folder that all executors see: the cluster's setting, or a temporary one where none is set (tests)."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or _test_root()).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
