@@ -49,7 +49,7 @@ def as_dict(mapping):
     return {r.raw_name: (r.canonical_name, r.match_type, r.score) for r in mapping.collect()}
 
 
-def random_names(seed, count, alphabet="abAB io"):
+def random_names(seed, count, alphabet="abAB ioé𝒳"):
     rng = random.Random(seed)
     made = {"".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 14))) for _ in range(count)}
     return sorted(n for n in made if n.strip())

@@ -13,6 +13,7 @@ from tidewire.functions.once import bind
 from tidewire.functions.text import collapse_ws
 
 WORD_BITS = 61  # S + u stays below 2^62, so additions never overflow a bigint
+SET_BITS = 62
 _FULL = (1 << WORD_BITS) - 1
 
 
@@ -46,6 +47,12 @@ def _masks_of(chars: Column) -> Column:
     )
 
 
+def character_set(chars: Column) -> Column:
+    """The characters as bits of a bigint. One insertion or deletion changes at most one bit."""
+    bit = lambda c: _power_of_two(F.ascii(c) % SET_BITS)
+    return F.aggregate(chars, F.lit(0).cast("bigint"), lambda acc, c: acc.bitwiseOR(bit(c)))
+
+
 def _power_of_two(exponent: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), exponent)
 

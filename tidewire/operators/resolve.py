@@ -12,6 +12,7 @@ Both give the same rows.
 from __future__ import annotations
 
 import json
+import math
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,9 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidewire import fixed_values as fixed
 from tidewire.functions.links import spread_missing
 from tidewire.functions.names import clean_name, is_blank
-from tidewire.functions.once import compute_once
+from tidewire.functions.once import bind, compute_once
 from tidewire.functions.similarity import (
+    SET_BITS,
     WORD_BITS,
+    character_set,
     characters,
     edit_budget,
     indel_score,
@@ -33,7 +36,7 @@ from tidewire.functions.text import non_empty, strip_ws
 from tidewire.operators.bounds import rows_within
 
 INLINE_LIMIT = 2000
-_ENTRY = "array<struct<pos:int,canonical:string,sorted:string,n:int,masks:map<string,array<bigint>>>>"
+_ENTRY = "array<struct<pos:int,canonical:string,sorted:string,n:int,low:int,high:int,chars:bigint,masks:map<string,array<bigint>>>>"
 
 
 def dictionary_frame(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
@@ -51,26 +54,31 @@ def distinct_names(*sources: DataFrame) -> DataFrame:
     return union.where(~is_blank(F.col("raw_name"))).distinct()
 
 
-def _entry(row) -> dict:
-    """A dictionary row as the literal holds it; the same sorted form and masks that columns get."""
+def _entry(row, threshold: float) -> dict:
+    """A dictionary row as the literal holds it: the same sorted form, character set and masks that columns get,
+    and the shortest and longest name that can reach the threshold."""
     text = " ".join(sorted(row["form"].split()))
     masks: dict[str, list[int]] = {}
     for place, char in enumerate(text):
         words = masks.setdefault(char, [0] * -(-len(text) // WORD_BITS))
         words[place // WORD_BITS] |= 1 << place % WORD_BITS
-    return {"pos": row["pos"], "canonical": row["canonical"], "sorted": text, "n": len(text), "masks": masks}
+    return {
+        "pos": row["pos"], "canonical": row["canonical"], "sorted": text, "n": len(text),
+        "low": math.ceil(len(text) * threshold / (200.0 - threshold) - 1e-9),
+        "high": math.floor(len(text) * (200.0 - threshold) / threshold + 1e-9) if threshold > 0 else 2**31 - 1,
+        "chars": sum(1 << bit for bit in {ord(char) % SET_BITS for char in text}), "masks": masks,
+    }
 
 
 class Dictionary:
-    """A dictionary prepared for lookups: checked for size once, literal when small."""
+    """A dictionary prepared for lookups: checked for size once, its rows at hand when it is small."""
 
     def __init__(self, entries: DataFrame, inline_limit: int = INLINE_LIMIT, processor: str | None = None):
         self.processor = processor
         named = entries.select(F.col("pos").cast("int"), "canonical").withColumn("key", F.lower("canonical"))
         named = named.withColumn("form", self.processed(F.col("canonical")))
-        rows = rows_within(named, inline_limit)
-        self.literal = None
-        if rows is None:
+        self.rows = rows_within(named, inline_limit)
+        if self.rows is None:
             self.entries = (
                 named.withColumn("sorted", token_sort(F.col("form")))
                 .drop("form")
@@ -78,8 +86,7 @@ class Dictionary:
                 .withColumn("masks", position_masks(F.col("sorted")))
             )
         else:
-            self.literal = F.from_json(F.lit(json.dumps([_entry(r) for r in rows], ensure_ascii=False)), _ENTRY)
-            found = {r["key"]: r["canonical"] for r in sorted(rows, key=lambda r: r["pos"])}
+            found = {r["key"]: r["canonical"] for r in sorted(self.rows, key=lambda r: r["pos"])}
             keys = pa.table({"key": pa.array(found.keys(), pa.string()), "found": pa.array(found.values(), pa.string())})
             self.small = F.broadcast(entries.sparkSession.createDataFrame(keys))
 
@@ -89,7 +96,18 @@ class Dictionary:
 
     def lookup(self) -> DataFrame:
         """One canonical name per lower-cased key; the later position wins."""
-        return self.small if self.literal is not None else self._latest()
+        return self._latest() if self.rows is None else self.small
+
+    def literal(self, threshold: float) -> Column:
+        """All entries as one constant array."""
+        entries = [_entry(row, threshold) for row in self.rows]
+        return F.from_json(F.lit(json.dumps(entries, ensure_ascii=False)), _ENTRY)
+
+    def budgets(self, threshold: float) -> Column:
+        """Edits allowed by the sum of two lengths, for all sums that can reach the threshold; NULL beyond."""
+        longest = max((len(row["form"]) for row in self.rows), default=0)
+        sums = math.floor(longest * 200.0 / threshold + 1e-9) if threshold > 0 else 0
+        return F.lit([math.floor(total * (100.0 - threshold) / 100.0 + 1e-9) for total in range(sums + 1)])
 
     def _latest(self) -> DataFrame:
         return self.entries.groupBy("key").agg(F.max_by("canonical", "pos").alias("found"))
@@ -111,34 +129,34 @@ def add_cleaned_exact(names: DataFrame, dictionary: Dictionary) -> DataFrame:
     return keyed.join(found, "k", "left").drop("k")
 
 
-def _length_fits(m: Column, n: Column, threshold: float) -> Column:
-    return F.least(m, n) * 200.0 >= (m + n) * threshold - 1e-9
+def _close_enough(target: dict[str, Column], entry: dict[str, Column], edits: Column) -> Column:
+    """No pair within the edits fails: neither its character sets nor its strings differ by more than its insertions
+    and deletions. The cheap test goes first."""
+    sets_differ_by = F.bit_count(target["set"].bitwiseXOR(entry["set"]))
+    return (sets_differ_by <= edits) & (F.call_function("levenshtein", target["text"], entry["text"], edits) >= 0)
 
 
-def _close_enough(left: Column, right: Column, m: Column, n: Column, threshold: float) -> Column:
-    """No pair at or above the threshold fails: its edit distance is at most its insertions plus deletions."""
-    distance = F.call_function("levenshtein", left, right, edit_budget(m, n, threshold))
-    return _length_fits(m, n, threshold) & (distance >= 0)
+def _best_inline(t: Column, dictionary: Dictionary, threshold: float) -> Column:
+    """struct<score,order,canonical> of the best entry at or above the threshold, NULL without one."""
+    size, budgets = t["size"], dictionary.budgets(threshold)
 
+    def near(d: Column) -> Column:
+        edits = F.get(budgets, size + d["n"]) if threshold > 0 else size + d["n"]
+        close = _close_enough({"text": t["text"], "set": t["set"]}, {"text": d["sorted"], "set": d["chars"]}, edits)
+        return (size >= d["low"]) & (size <= d["high"]) & close
 
-def _best_inline(target: Column, chars: Column, m: Column, entries: Column, threshold: float) -> Column:
-    """struct<score,order,canonical> of the best entry at or above the threshold, NULL without one."""
-    near = F.filter(entries, lambda d: _close_enough(target, d["sorted"], m, d["n"], threshold))
-    scored = F.transform(
-        near,
-        lambda d: F.struct(
-            indel_score(lcs_length(chars, d["masks"], d["n"]), m, d["n"]).alias("score"),
-            (-d["pos"]).alias("order"),
-            d["canonical"].alias("canonical"),
-        ),
-    )
-    return F.array_max(F.filter(scored, lambda s: s["score"] >= threshold))
+    def scored(d: Column) -> Column:
+        score = indel_score(lcs_length(t["chars"], d["masks"], d["n"]), size, d["n"])
+        return F.struct(score.alias("score"), (-d["pos"]).alias("order"), d["canonical"].alias("canonical"))
+
+    found = F.transform(F.filter(dictionary.literal(threshold), near), scored)
+    return F.array_max(F.filter(found, lambda s: s["score"] >= threshold))
 
 
 def best_matches(targets: DataFrame, dictionary: Dictionary, threshold: float) -> DataFrame:
     """Best entry at or above the threshold for each distinct target: (target, best)."""
     sized = targets.select("target").distinct()
-    if dictionary.literal is not None:
+    if dictionary.rows is not None:
         best = _with_best(sized, dictionary, threshold).select("target", "best")
     else:
         best = _best_by_segments(sized.withColumn("m", F.length("target")), dictionary.entries, threshold)
@@ -147,10 +165,17 @@ def best_matches(targets: DataFrame, dictionary: Dictionary, threshold: float) -
 
 def _with_best(df: DataFrame, dictionary: Dictionary, threshold: float) -> DataFrame:
     """df(target) + best, by the literal dictionary; NULL targets stay without one."""
+    text = F.col("target")
+    parts = bind(
+        characters(text),
+        lambda chars: F.struct(
+            text.alias("text"), F.length(text).alias("size"), chars.alias("chars"), character_set(chars).alias("set")
+        ),
+    )
     # split once per target, not once per entry
-    split = compute_once(df, "_t", F.struct("target", characters(F.col("target")).alias("chars"), F.length("target").alias("m")))
-    best = _best_inline(F.col("_t.target"), F.col("_t.chars"), F.col("_t.m"), dictionary.literal, threshold)
-    return compute_once(split, "best", F.when(F.col("target").isNotNull(), best)).drop("_t")
+    split = compute_once(df, "_t", F.when(text.isNotNull(), parts))
+    best = _best_inline(F.col("_t"), dictionary, threshold)
+    return compute_once(split, "best", F.when(text.isNotNull(), best)).drop("_t")
 
 
 def _other_lengths(length: Column, threshold: float) -> Column:
@@ -197,16 +222,21 @@ def _segment_keys(df: DataFrame, text: str, length: str, is_entry: bool, thresho
 
 
 def _best_by_segments(targets: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
+    c = F.col
     longest = entries.agg(F.max("n")).first()[0] or 0
-    reachable = targets.where(F.col("m") * threshold <= longest * (200.0 - threshold))
-    left = _segment_keys(reachable, "target", "m", False, threshold).withColumnRenamed("m", "tm")
-    right = _segment_keys(entries.drop("key"), "sorted", "n", True, threshold)
-    pairs = left.join(right, ["k_m", "k_n", "k_i", "k_part"]).where(
-        _close_enough(F.col("target"), F.col("sorted"), F.col("tm"), F.col("n"), threshold)
-    )
-    score = indel_score(lcs_length(characters(F.col("target")), F.col("masks"), F.col("n")), F.col("tm"), F.col("n"))
-    best = F.max(F.struct(score.alias("score"), (-F.col("pos")).alias("order"), "canonical"))
-    return pairs.groupBy("target").agg(best.alias("best"))
+    reachable = targets.where(c("m") * threshold <= longest * (200.0 - threshold))
+    reachable = compute_once(reachable, "set", character_set(characters(c("target"))))
+    left = _segment_keys(reachable, "target", "m", False, threshold)
+    slim = compute_once(entries.select("pos", "sorted", "n"), "chars", character_set(characters(c("sorted"))))
+    right = _segment_keys(slim, "sorted", "n", True, threshold)
+    edits = edit_budget(c("m"), c("n"), threshold)  # joined lengths are near enough by their keys
+    near = _close_enough({"text": c("target"), "set": c("set")}, {"text": c("sorted"), "set": c("chars")}, edits)
+    pairs = left.join(right, ["k_m", "k_n", "k_i", "k_part"]).where(near).select("target", "m", "pos").distinct()
+    # the masks join in when few pairs are left
+    scored = pairs.join(entries.select("pos", "canonical", "n", "masks"), "pos")
+    score = indel_score(lcs_length(characters(c("target")), c("masks"), c("n")), c("m"), c("n"))
+    best = F.max(F.struct(score.alias("score"), (-c("pos")).alias("order"), "canonical"))
+    return scored.groupBy("target").agg(best.alias("best"))
 
 
 def add_fuzzy(names: DataFrame, dictionary: Dictionary, threshold: float) -> DataFrame:
@@ -214,7 +244,7 @@ def add_fuzzy(names: DataFrame, dictionary: Dictionary, threshold: float) -> Dat
     text = dictionary.processed(F.coalesce(non_empty(F.col("cleaned")), F.col("stripped")))
     missed = F.col("exact_name").isNull() & F.col("cleaned_name").isNull()
     targeted = names.withColumn("target", F.when(missed, token_sort(text)))
-    if dictionary.literal is not None:
+    if dictionary.rows is not None:
         return _with_best(targeted, dictionary, threshold).drop("target")
     wanted = targeted.where(F.col("target").isNotNull())
     best = best_matches(wanted, dictionary, threshold).select(F.col("target").alias("k"), "best")
