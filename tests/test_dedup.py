@@ -67,6 +67,12 @@ def test_change_between_equals_lag(spark):
     assert sorted(map(str, got.select(*expected.columns).collect())) == sorted(map(str, expected.collect()))
 
 
+def test_change_between_keeps_rows_without_key(spark):
+    rows = spark.createDataFrame([(1, START, None, 5), (2, START + timedelta(days=3), None, 9)], "event_id long, ts timestamp, sig string, stars int")
+    got = dedup.change_between(rows, "sig", "ts", "event_id", "stars", name="gained").orderBy("event_id").collect()
+    assert [r.gained for r in got] == [None, 4]
+
+
 def test_signatures_against_store(spark):
     seen = spark.createDataFrame([("s1",), ("hot",)], "sig string")
     got = dedup.dedup_signatures(sightings(spark), seen, "sig", ["ts", "event_id"])
@@ -102,8 +108,9 @@ def test_stream_dedup_equals_batch(spark, tmp_path):
 def test_stream_step_can_be_repeated(spark):
     rows = sightings(spark, 6)
     early, late = rows.where(F.col("ts") < START + timedelta(days=20)), rows.where(F.col("ts") >= START + timedelta(days=20))
-    kept, state = stream_dedup.step(early, None, "sig", "ts", "event_id", 7)
-    again, _ = stream_dedup.step(late, state, "sig", "ts", "event_id", 7)
+    first, second = (stream_dedup.reduce_batch(part, "sig", "ts", "event_id", 7) for part in (early, late))
+    kept, state = stream_dedup.step(first, None, "sig", "ts", 7)
+    again, _ = stream_dedup.step(second, state, "sig", "ts", 7)
     both = sorted(r.event_id for r in kept.unionByName(again).collect())
     assert both == plain_rule(rows.collect())
     assert read_none(spark)

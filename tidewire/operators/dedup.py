@@ -76,9 +76,10 @@ def change_between(
     closing = cut.groupBy(F.col(key), F.col("_bucket")).agg(
         F.max(F.struct(F.col(ts), F.col(tie), F.col(value).alias("value"))).alias("_close")
     )
-    opening = closing.select(
-        key, "_bucket", F.lag("_close.value").over(Window.partitionBy(key).orderBy("_bucket")).alias("_opening")
-    )
+    before = F.lag("_close.value").over(Window.partitionBy(key).orderBy("_bucket"))
+    opening = closing.select(F.col(key).alias("_key"), F.col("_bucket").alias("_edge"), before.alias("_opening"))
     inside = F.lag(value).over(Window.partitionBy(key, "_bucket").orderBy(ts, tie))
-    joined = cut.withColumn("_inside", inside).join(opening, [key, "_bucket"])
-    return joined.withColumn(name, F.col(value) - F.coalesce("_inside", "_opening")).drop("_bucket", "_inside", "_opening")
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_bucket").eqNullSafe(F.col("_edge"))
+    joined = cut.withColumn("_inside", inside).join(opening, same, "left")
+    changed = joined.withColumn(name, F.col(value) - F.coalesce("_inside", "_opening"))
+    return changed.drop("_bucket", "_inside", "_key", "_edge", "_opening")

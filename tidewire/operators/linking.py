@@ -14,7 +14,7 @@ from tidewire.operators.dedup import first_per_key
 
 def first_links(links: DataFrame) -> DataFrame:
     """(arxiv_id, repository_url) of each paper's first-ranked link only, when it has a URL."""
-    first = first_per_key(links, ["arxiv_id"], ["rank"])
+    first = first_per_key(links, ["arxiv_id"], ["rank", "repository_url"])
     return first.where(non_empty(F.col("repository_url")).isNotNull()).select("arxiv_id", "repository_url")
 
 
@@ -43,11 +43,13 @@ def link_repos(
     owners: Sequence[str] = tuple(fixed.GENERIC_OWNERS),
     compat: bool = False,
 ) -> DataFrame:
-    """papers(paper_url, search_text, ...) + github_url, github_stars: link in the text, else the snapshot's.
+    """papers(paper_url, search_text, ...) without search_text, + github_url, github_stars: link in the text, else the
+    snapshot's.
 
-    Papers with a link in their text carry a spread key through the lookup, so they crowd no task.
+    The text goes no further than its own task, and papers with a link in it carry a spread key through the lookup, so
+    they crowd no other.
     """
-    texted = papers.withColumn("text_link", extract_repo_link(F.col("search_text"), owners, compat))
+    texted = papers.withColumn("text_link", extract_repo_link(F.col("search_text"), owners, compat)).drop("search_text")
     keyed = texted.withColumn("arxiv_id", F.when(F.col("text_link").isNull(), arxiv_id(F.col("paper_url"))))
     linked = lookup_code_link(keyed, links)
     resolved = linked.withColumn("github_url", F.coalesce("text_link", "repository_url"))

@@ -40,26 +40,22 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 
 
 def _blocks(small: DataFrame, id_col: str, vector: str) -> Iterator[tuple[list, np.ndarray]]:
-    """The small side in blocks of at most BLOCK_ROWS rows; one block when it fits, else one per hash range."""
-    chosen = small.select(id_col, vector).where(F.col(vector).isNotNull())
-    rows = rows_within(chosen, BLOCK_ROWS)
-    if rows is not None:
-        parts = [rows]
-    else:
-        count = 2 * -(-chosen.count() // BLOCK_ROWS)
-        bucket = F.pmod(F.xxhash64(id_col), F.lit(count))
-        parts = (part for b in range(count) for part in _split(chosen.where(bucket == b)))
-    for part in parts:
-        if part:
-            yield [r[0] for r in part], _unit(np.array([r[1] for r in part], dtype=np.float64))
-
-
-def _split(bucket: DataFrame) -> Iterator[list]:
-    rows = rows_within(bucket, BLOCK_ROWS)
-    if rows is not None:
-        return iter([rows])
-    halves = F.pmod(F.hash(*bucket.columns[:1]), F.lit(2))
-    return (part for h in (0, 1) for part in _split(bucket.where(halves == h)))
+    """The small side in blocks of at most BLOCK_ROWS rows; one block when it fits, else split by a hash of the id."""
+    chosen = small.select(id_col, vector).where(F.col(vector).isNotNull()).dropDuplicates([id_col])
+    for rows in _split(chosen, id_col, 0):
+        if rows:
+            yield [r[0] for r in rows], _unit(np.array([r[1] for r in rows], dtype=np.float64))
+
+
+def _split(rows: DataFrame, id_col: str, level: int) -> Iterator[list]:
+    fetched = rows_within(rows, BLOCK_ROWS)
+    if fetched is not None:
+        yield fetched
+        return
+    count = 2 * -(-rows.count() // BLOCK_ROWS)
+    bucket = F.pmod(F.xxhash64(id_col, F.lit(level)), F.lit(count))
+    for number in range(count):
+        yield from _split(rows.where(bucket == number), id_col, level + 1)
 
 
 def _chunks(matrix: np.ndarray, others: int) -> Iterator[tuple[int, np.ndarray]]:

@@ -21,21 +21,24 @@ def _state(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     return spark.read.parquet(f"{path}/state/batch={batch_id - 1}")
 
 
-def step(batch: DataFrame, state: DataFrame | None, signature: str, ts: str, tie: str, days: int) -> tuple[DataFrame, DataFrame]:
-    """(kept rows, new state) of one batch; state is (signature, last)."""
-    span = days * 86400 * 1_000_000
-    bucket = F.floor(F.unix_micros(ts) / F.lit(span))
+def reduce_batch(batch: DataFrame, signature: str, ts: str, tie: str, days: int) -> DataFrame:
+    """First row and last moment of each signature and bucket of the term's length."""
+    bucket = F.floor(F.unix_micros(ts) / F.lit(days * 86400 * 1_000_000))
     first = F.min(F.struct(F.col(ts), F.col(tie), F.struct(*batch.columns).alias("row")))
-    buckets = batch.groupBy(F.col(signature).alias("_sig"), bucket.alias("_bucket")).agg(
+    return batch.groupBy(F.col(signature).alias("_sig"), bucket.alias("_bucket")).agg(
         first.alias("_first"), F.max(ts).alias("_last")
     )
+
+
+def step(buckets: DataFrame, state: DataFrame | None, signature: str, ts: str, days: int) -> tuple[DataFrame, DataFrame]:
+    """(kept rows, new state) of a reduced batch; state is (signature, last)."""
     before = F.lag("_last").over(Window.partitionBy("_sig").orderBy("_bucket"))
     chained = buckets.withColumn("_before", before)
     if state is not None:
         old = state.select(F.col(signature).alias("_sig"), F.col("last").alias("_stored"))
         chained = chained.join(old, "_sig", "left").withColumn("_before", F.greatest("_before", "_stored"))
     gap = F.unix_micros(F.col("_first")[ts]) - F.unix_micros(F.col("_before"))
-    kept = chained.where(F.col("_before").isNull() | (gap > span)).select("_first.row.*")
+    kept = chained.where(F.col("_before").isNull() | (gap > days * 86400 * 1_000_000)).select("_first.row.*")
 
     seen = buckets.groupBy(F.col("_sig").alias(signature)).agg(F.max("_last").alias("last"))
     if state is not None:
@@ -55,12 +58,14 @@ def dedup_ttl_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        kept, seen = step(batch, _state(spark, path, batch_id), signature, ts, tie, days)
+        buckets = reduce_batch(batch, signature, ts, tie, days).persist()
+        kept, seen = step(buckets, _state(spark, path, batch_id), signature, ts, days)
         kept.write.mode("overwrite").parquet(f"{path}/kept/batch={batch_id}")
-        newest = batch.agg(F.max(ts).alias("newest")).first()["newest"]
+        newest = buckets.agg(F.max("_last").alias("newest")).first()["newest"]
         if newest is not None:
             seen = seen.where(F.col("last") >= F.lit(newest) - F.expr(f"INTERVAL {days} DAYS"))
         seen.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        buckets.unpersist()
 
     return (
         stream.writeStream.foreachBatch(write)
