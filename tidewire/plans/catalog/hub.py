@@ -58,12 +58,6 @@ def limit_target(spark, sf):
     return ranking.limit_target(first_seen_products(spark, sf), 100)
 
 
-def seen_anti(spark, sf):
-    """Items whose id an earlier run, which had each third item, did not see."""
-    rows = items(spark, sf).select("src_rank", "item_pos", "id")
-    return dedup.seen_anti(rows, rows.where("item_pos % 3 = 0"), "id").select("src_rank", "item_pos", "id")
-
-
 def _each(name, column):
     return lambda spark, sf: items(spark, sf).select("item_pos", column().alias(name))
 
@@ -89,7 +83,6 @@ QUERIES = {
     "first_seen_orgs": first_seen_orgs,
     "first_seen_products": first_seen_products,
     "limit_target": limit_target,
-    "seen_anti": seen_anti,
     "author_from_id": _each("author", lambda: fn.author_from_id(c("author"), c("id"))),
     "valid_author": valid_author,
     "product_org": _each("org", lambda: fn.product_org(c("id"))),
@@ -128,8 +121,6 @@ ORACLES = {
     "first_seen_orgs": f"SELECT src_rank, item_pos, author, downloads, likes FROM ({_first_org(_H, 'src_rank, item_pos')})",
     "first_seen_products": f"SELECT src_rank, item_pos, id, likes FROM ({_first_product(_H, 'src_rank, item_pos')})",
     "limit_target": f"SELECT src_rank, item_pos, id, likes FROM ({_first_product(_H, 'src_rank, item_pos')}) ORDER BY 1, 2 LIMIT 100",
-    "seen_anti": f"""SELECT src_rank, item_pos, id FROM {_H} AS h
-      WHERE id NOT IN (SELECT id FROM {_H} AS e WHERE item_pos % 3 = 0)""",
     "author_from_id": f"SELECT item_pos, {_AUTHOR} AS author FROM {_H} AS h",
     "valid_author": f"SELECT item_pos, author FROM (SELECT item_pos, {_AUTHOR} AS author FROM {_H} AS h) WHERE length(author) >= 2",
     "product_org": f"SELECT item_pos, {sql.product_org()} AS org FROM {_H} AS h",

@@ -105,6 +105,12 @@ def _resolved(**options):
     return query
 
 
+def seen_anti(spark, sf):
+    """Papers that the stored link snapshot does not know yet."""
+    keyed = papers(spark, sf).select("doc_id", fn.arxiv_id(c("paper_url")).alias("arxiv_id"))
+    return dedup.seen_anti(keyed, links(spark, sf), "arxiv_id").select("doc_id", "arxiv_id")
+
+
 def star_history(spark, sf):
     snapshots = fx.derive(spark, sf, fx.STAR_SNAPSHOTS)
     changed = dedup.change_between(snapshots, "repo", "snapshot_ts", "snap_id", "stars", bucket="month", name="gained")
@@ -129,6 +135,7 @@ QUERIES = {
     "resolve_and_enrich": _resolved(),
     "api_matcher": _resolved(owners=SHORT_OWNERS, compat=True),
     "repo_search_topk": lambda s, d: linking.search_repos(repos(s, d), "Repo-1"),
+    "seen_anti": seen_anti,
     "star_history": star_history,
     "plan_papers": plan_papers,
 }
@@ -177,6 +184,7 @@ ORACLES = {
     "api_matcher": _linked("search_text", "doc_id", True, SHORT_OWNERS),
     "repo_search_topk": f"""SELECT concat(owner, '/', repo) AS full_name, stars FROM {_STARS} AS s WHERE contains(lower(repo), 'repo-1')
       ORDER BY stars DESC, 1 LIMIT 5""",
+    "seen_anti": f"SELECT doc_id, arxiv_id FROM {_P} AS p WHERE arxiv_id NOT IN (SELECT arxiv_id FROM ({fx.oracle(fx.LINKS)}) AS l)",
     "star_history": f"""SELECT repo, snap_id, stars, stars - lag(stars) OVER (PARTITION BY repo ORDER BY snapshot_ts, snap_id) AS gained
       FROM ({fx.oracle(fx.STAR_SNAPSHOTS)}) AS s""",
     "plan_papers": f"""SELECT '1.0' AS "schemaVersion", 'RESEARCH_PAPER' AS "recordType", {_TITLE} AS content_title, {_AUTHORS} AS content_authors,

@@ -27,9 +27,9 @@ def _startups(spark, sf):
 
 
 def sink_csv_overwrite(spark, sf):
-    """Startup records written over other ones and read back as text."""
+    """Startup records written over product records and read back as text."""
     path = session.fresh_path(spark, "csv") + "/startups"
-    files.write_csv(records.startups(hub.items(spark, sf).where("src_rank = 0"), fx.NOW), "STARTUP", path)
+    files.write_csv(records.products(hub.items(spark, sf), fx.NOW), "PRODUCT", path)
     files.write_csv(_startups(spark, sf), "STARTUP", path)
     return _plain(tables.read_csv(spark, path))
 
@@ -129,9 +129,10 @@ def _embeddings(spark, sf):
 
 
 def vector_topk(spark, sf):
+    """The five vectors nearest to each label's mean vector."""
     rows = _embeddings(spark, sf)
-    found = vectors.vector_topk(rows.where("vec_id >= 10"), rows.where("vec_id < 10"), 5)
-    return found.withColumn("score", F.round("score", 6))
+    means = vectors.label_centroids(rows).select(c("label").alias("vec_id"), c("centroid").alias("embedding"))
+    return vectors.vector_topk(rows, means, 5).withColumn("score", F.round("score", 6))
 
 
 def topic_cluster(spark, sf):
@@ -238,9 +239,9 @@ ORACLES = {
     "kg_edges": _GRAPH + "SELECT type, src_id, dst_id FROM edges",
     "sink_graph": _GRAPH + "SELECT label AS kind, count(*) AS rows FROM nodes GROUP BY 1 UNION ALL SELECT type, count(*) FROM edges GROUP BY 1",
     "vector_topk": f"""SELECT query_id, vec_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
-      SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score,
-        row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.v, c.v) DESC, c.vec_id) AS rank
-      FROM {_UNIT} AS q, {_UNIT} AS c WHERE q.vec_id < 10 AND c.vec_id >= 10) WHERE rank <= 5""",
+      SELECT CAST(label AS BIGINT) AS query_id, vec_id, list_cosine_similarity(centroid, v) AS score,
+        row_number() OVER (PARTITION BY label ORDER BY list_cosine_similarity(centroid, v) DESC, vec_id) AS rank
+      FROM {_CENTROIDS} AS q, (SELECT vec_id, v FROM {_UNIT} AS u) AS k) WHERE rank <= 5""",
     "topic_cluster": f"""SELECT vec_id, cluster, round(similarity, 6) AS similarity FROM (
       SELECT vec_id, c.label AS cluster, list_cosine_similarity(v, centroid) AS similarity,
         row_number() OVER (PARTITION BY vec_id ORDER BY list_cosine_similarity(v, centroid) DESC, c.label) AS nth
