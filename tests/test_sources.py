@@ -46,6 +46,16 @@ def test_feed_items_of_both_shapes(spark):
     ]
 
 
+def test_rss_items_with_atom_elements(spark):
+    body = (
+        '<rss xmlns:atom="http://www.w3.org/2005/Atom"><channel><atom:link href="https://n/self"/><item><title>A</title>'
+        '<atom:link href="https://n/1"/><atom:updated>2024-01-15</atom:updated></item>'
+        '<item><link>https://n/2</link><atom:link href="https://n/x"/><pubDate/><atom:updated>2024-01-15</atom:updated></item></channel></rss>'
+    )
+    got = feeds.feed_items(landed(spark, body)).orderBy("item_pos").collect()
+    assert [(r.title, r.link, r.pub_str) for r in got] == [("A", "https://n/1", "2024-01-15"), ("", "https://n/2", "")]
+
+
 def test_atom_papers(spark):
     got = feeds.atom_papers(landed(spark, ATOM)).orderBy("item_pos").collect()
     assert [(r.title, r.authors, r.paper_url, r.published, r.comment) for r in got] == [

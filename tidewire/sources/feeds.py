@@ -12,7 +12,10 @@ from tidewire.functions.once import compute_once
 from tidewire.functions.text import collapse_ws, fallback, strip_ws
 
 _TEXTS = "array<struct<_VALUE:string,_href:string>>"
-_ITEM = f"struct<title:{_TEXTS},link:{_TEXTS},pubDate:{_TEXTS}>"
+_ITEM = (
+    f"struct<title:{_TEXTS},link:{_TEXTS},pubDate:{_TEXTS},`atom:title`:{_TEXTS},`atom:link`:{_TEXTS},"
+    f"`atom:published`:{_TEXTS},`atom:updated`:{_TEXTS},`a10:updated`:{_TEXTS}>"
+)
 _ENTRY = (
     f"struct<id:{_TEXTS},title:{_TEXTS},summary:{_TEXTS},published:{_TEXTS},updated:{_TEXTS},link:{_TEXTS},"
     f"author:array<struct<name:{_TEXTS}>>,`arxiv:comment`:{_TEXTS}>"
@@ -31,6 +34,11 @@ def _text(elements: Column) -> Column:
     return F.coalesce(_first(elements), F.lit(""))
 
 
+def _present(*elements: Column) -> Column:
+    """The first of several elements that is there, be it empty."""
+    return F.coalesce(*[F.when(F.size(e) > 0, e) for e in elements])
+
+
 def parse_documents(payloads: DataFrame) -> DataFrame:
     """payloads + doc (channel, item, entry) and _corrupt, which holds the body of unreadable documents."""
     return _marked(compute_once(payloads, "doc", F.from_xml("body", _DOCUMENT, _XML)))
@@ -46,12 +54,14 @@ def _rss_items(doc: Column) -> Column:
 
 
 def feed_items(payloads: DataFrame) -> DataFrame:
-    """Items of RSS documents, else entries of Atom documents: item_pos, title, link, pub_str."""
+    """Items of RSS documents, else entries of Atom documents: item_pos, title, link, pub_str.
+
+    RSS items may carry Atom elements under the prefixes atom and a10; they stand in for missing RSS ones.
+    """
     doc = F.col("doc")
 
     def unified(title: Column, link: Column, *dates: Column) -> Column:
-        # a date element that is there counts, even when it is empty
-        date = F.coalesce(*[F.when(F.size(d) > 0, _text(d)) for d in dates], F.lit(""))
+        date = _text(_present(*dates))
         href = fallback(_first(link), _first(link, "_href"))
         return F.struct(
             collapse_ws(_text(title)).alias("title"),
@@ -59,7 +69,11 @@ def feed_items(payloads: DataFrame) -> DataFrame:
             strip_ws(date).alias("pub_str"),
         )
 
-    items = F.transform(_rss_items(doc), lambda i: unified(i["title"], i["link"], i["pubDate"]))
+    def of_item(i: Column) -> Column:
+        title, link = _present(i["title"], i["atom:title"]), _present(i["link"], i["atom:link"])
+        return unified(title, link, i["pubDate"], i["atom:published"], i["atom:updated"], i["a10:updated"])
+
+    items = F.transform(_rss_items(doc), of_item)
     entries = F.transform(doc["entry"], lambda e: unified(e["title"], e["link"], e["published"], e["updated"]))
     chosen = F.when(F.size(items) > 0, items).otherwise(entries)
     return _exploded(parse_documents(payloads), chosen)
