@@ -110,6 +110,12 @@ def test_later_duplicate_wins_exact_lookup(spark):
         assert as_dict(resolve.resolve_entities(names, canon, inline_limit=limit)) == {"acme": ("ACME", "EXACT", 100.0)}
 
 
+def test_empty_dictionary_leaves_fallbacks(spark):
+    canon = resolve.dictionary_frame(spark).limit(0)
+    got = as_dict(resolve.resolve_entities(names_frame(spark, ["Acme Inc.", "Inc."]), canon))
+    assert got == {"Acme Inc.": ("Acme", "FALLBACK", None), "Inc.": ("Inc.", "FALLBACK", None)}
+
+
 def test_resolve_plan_has_one_shuffle_and_no_cross_join(spark):
     names = resolve.distinct_names(names_frame(spark, list(GOLDEN)))
     plan = resolve.resolve_entities(names, resolve.dictionary_frame(spark))._jdf.queryExecution().executedPlan().toString()

@@ -38,6 +38,8 @@ from tidewire.operators.bounds import rows_within
 INLINE_LIMIT = 2000
 _ENTRY = "array<struct<pos:int,canonical:string,sorted:string,n:int,low:int,high:int,chars:bigint,masks:map<string,array<bigint>>>>"
 
+_BEST = "struct<score:double,order:int,canonical:string>"
+
 
 def dictionary_frame(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
     """(pos, canonical) of an ordered name list; the fixed one by default."""
@@ -178,22 +180,26 @@ def _with_best(df: DataFrame, dictionary: Dictionary, threshold: float) -> DataF
     return compute_once(split, "best", F.when(text.isNotNull(), best)).drop("_t")
 
 
-def _other_lengths(length: Column, threshold: float) -> Column:
-    """Lengths at which a string of the given length can still reach the threshold."""
+def _other_lengths(length: Column, threshold: float, known: list[int] | None) -> Column:
+    """Lengths at which a string of the given length can still reach the threshold, of the known ones if given."""
     low = F.ceil(length * F.lit(threshold / (200.0 - threshold)) - F.lit(1e-9)).cast("int")
     high = F.floor(length * F.lit((200.0 - threshold) / threshold) + F.lit(1e-9)).cast("int")
+    if known is not None:
+        return F.filter(F.lit(known), lambda other: (other >= low) & (other <= high))
     first = F.greatest(F.lit(1), low)
     return F.sequence(first, F.greatest(first, high))
 
 
-def _segment_keys(df: DataFrame, text: str, length: str, is_entry: bool, threshold: float) -> DataFrame:
+def _segment_keys(
+    df: DataFrame, text: str, length: str, is_entry: bool, threshold: float, known: list[int] | None = None
+) -> DataFrame:
     """A row per segment key (m, n, i, part) of each string: name length, entry length, segment number and text.
 
     An entry sends its segments as they stand; a name sends, for each segment, every piece of its length that lies
     no further from its place than the allowed insertions and deletions can move it.
     """
     c = F.col
-    paired = df.where(c(length) > 0).withColumn("other", F.explode(_other_lengths(c(length), threshold)))
+    paired = df.where(c(length) > 0).withColumn("other", F.explode(_other_lengths(c(length), threshold, known)))
     m, n = ("other", length) if is_entry else (length, "other")
     sized = paired.withColumns({"m": c(m), "n": c(n)}).withColumn("edits", edit_budget(c("m"), c("n"), threshold))
     needed = F.ceil((c("m") + c("n")) * F.lit(threshold / 200.0) - F.lit(1e-9)).cast("int")
@@ -223,10 +229,12 @@ def _segment_keys(df: DataFrame, text: str, length: str, is_entry: bool, thresho
 
 def _best_by_segments(targets: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
     c = F.col
-    longest = entries.agg(F.max("n")).first()[0] or 0
-    reachable = targets.where(c("m") * threshold <= longest * (200.0 - threshold))
+    lengths = sorted(entries.where(c("n") > 0).agg(F.collect_set("n")).first()[0])  # at most as many as the longest has characters
+    if not lengths:
+        return targets.where(F.lit(False)).select("target", F.lit(None).cast(_BEST).alias("best"))
+    reachable = targets.where(c("m") * threshold <= lengths[-1] * (200.0 - threshold))
     reachable = compute_once(reachable, "set", character_set(characters(c("target"))))
-    left = _segment_keys(reachable, "target", "m", False, threshold)
+    left = _segment_keys(reachable, "target", "m", False, threshold, lengths)
     slim = compute_once(entries.select("pos", "sorted", "n"), "chars", character_set(characters(c("sorted"))))
     right = _segment_keys(slim, "sorted", "n", True, threshold)
     edits = edit_budget(c("m"), c("n"), threshold)  # joined lengths are near enough by their keys
