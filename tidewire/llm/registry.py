@@ -1,7 +1,7 @@
 """All registered queries of this subpackage."""
 
-from tidewire.llm import queries_ids, queries_rules
+from tidewire.llm import queries_flow, queries_ids, queries_rules
 
-_PARTS = (queries_ids, queries_rules)
+_PARTS = (queries_ids, queries_rules, queries_flow)
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
