@@ -35,6 +35,18 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select(f"{ROW}.*")
 
 
+def row_name(key: str, text: str) -> Column:
+    """A hash that rows share only if their keys and texts are equal; null keys and texts have their place in it."""
+    return F.md5(F.concat_ws(" ", F.coalesce(F.col(key).cast("string"), F.lit("none")), F.md5(whole_text(text))))
+
+
+def without(df: DataFrame, names: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows of df whose name (row_name) is not in the column "name" of a stored table. Spark broadcasts the names if their
+    measured size is small, and else moves the rows."""
+    rows = packed(df, name=row_name(key, text))
+    return unpacked(rows.join(names.select("name"), "name", "left_anti"))
+
+
 def span_digest(spans: Column) -> tuple[Column, Column]:
     """(joined text, lower-case hex SHA-256) of an array of span strings."""
     joined = F.array_join(spans, ",")

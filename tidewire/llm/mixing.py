@@ -20,7 +20,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewire.llm.common import ROW, packed, stored, unpacked, whole_text
+from tidewire.llm.common import ROW, packed, row_name, stored, unpacked, whole_text
 
 #: Slots of a period: weights are rounded to multiples of 1/RESOLUTION, at least one.
 RESOLUTION = 1000
@@ -98,17 +98,13 @@ def _source(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("none"))
 
 
-def _content(key: str, text: str) -> Column:
-    return F.md5(F.concat_ws(" ", F.coalesce(F.col(key).cast("string"), F.lit("none")), F.md5(whole_text(text))))
-
-
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, source, block, release, due, slot, place (within the slot), phase, content.
 
     Without weights, those of tempered_weights are aimed at. Slots count from 0 through all phases. content, a hash of key
     and text, tells rows apart that have one key.
     """
-    content = _content(key, text)
+    content = row_name(key, text)
     order = F.md5(F.coalesce(F.col(key).cast("string"), F.md5(whole_text(text))))
     rows = stored(
         docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), _source(source).alias("name"), order.alias("order"), content.alias("content"))
@@ -154,5 +150,5 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key:
 def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """All rows of docs in the order of the mix: written out, the files in order of name hold the slots in order."""
     mixed = mix(docs, weights, key, source, text).groupBy("content").agg(F.min("slot").alias("slot"), F.min("place").alias("place"))
-    rows = packed(docs, content=_content(key, text)).join(mixed, "content")
+    rows = packed(docs, content=row_name(key, text)).join(mixed, "content")
     return unpacked(rows.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(ROW))
