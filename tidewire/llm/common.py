@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewire.llm.keymap import key_map, maybe_in
 from tidewire.session import fresh_path
 
 #: Column that holds a whole input row while an operator works, so that no column of the input can clash with its own.
@@ -41,10 +42,11 @@ def row_name(key: str, text: str) -> Column:
 
 
 def without(df: DataFrame, names: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows of df whose name (row_name) is not in the column "name" of a stored table. Spark broadcasts the names if their
-    measured size is small, and else moves the rows."""
+    """Rows of df whose name (row_name) is not in the column "name" of a stored table. Only rows that may be in it move."""
     rows = packed(df, name=row_name(key, text))
-    return unpacked(rows.join(names.select("name"), "name", "left_anti"))
+    marked = rows.withColumn("maybe", maybe_in(key_map(names.select("name")), F.col("name")))
+    checked = marked.where("maybe").join(names.select("name"), "name", "left_anti")
+    return unpacked(marked.where("not maybe").select(ROW).unionByName(checked.select(ROW)))
 
 
 def span_digest(spans: Column) -> tuple[Column, Column]:

@@ -14,39 +14,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewire.llm.common import ROW, packed, stored, unpacked, whole_text
+from tidewire.llm.keymap import key_map, maybe_in
 
 #: Characters whose hash is the second level.
 PREFIX_CHARS = 256
-#: Bits of the map of shared keys: half a megabyte, whatever the number of rows.
-MAP_BITS = 22
-
-
-def _slot(*key: Column) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(1 << MAP_BITS))
 
 
 def _shared(rows: DataFrame, *key: Column) -> Column:
-    """A bitmap, as an array of longs, with the bit of each key that more than one row has."""
-    columns = [k.alias(f"k{i}") for i, k in enumerate(key)]
+    """The map of the keys that more than one row has."""
     names = [f"k{i}" for i in range(len(key))]
-    slots = rows.select(*columns).groupBy(*names).count().where("count > 1").select(_slot(*map(F.col, names)).alias("slot"))
-    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"))
-    dense = rows.sparkSession.range(1 << (MAP_BITS - 6)).withColumnRenamed("id", "word").join(words, "word", "left")
-    ordered = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits"))))
-    return dense.agg(ordered.getField("bits")).scalar()
-
-
-def _marked(bitmap: Column, *key: Column) -> Column:
-    slot = _slot(*key)
-    word = F.get(bitmap, F.shiftright(slot, 6).cast("int"))
-    return F.call_function("shiftrightunsigned", word, slot.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    counts = rows.select(*(k.alias(name) for k, name in zip(key, names))).groupBy(*names).count()
+    return key_map(counts.where("count > 1").select(*names))
 
 
 def _may_repeat(texts: DataFrame) -> Column:
     """Whether a row (column text) may have a copy, after the levels of length and prefix."""
     length, prefix = F.octet_length("text"), F.xxhash64(F.substring("text", 1, PREFIX_CHARS))
-    same_length = texts.where(_marked(_shared(texts, length), length))
-    return _marked(_shared(same_length, length, prefix), length, prefix)
+    same_length = texts.where(maybe_in(_shared(texts, length), length))
+    return maybe_in(_shared(same_length, length, prefix), length, prefix)
 
 
 def copy_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", digest_all: bool = False) -> DataFrame:

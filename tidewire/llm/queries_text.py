@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewire.llm.common import table
-from tidewire.llm import language
+from tidewire.llm import language, near_dedup
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -11,5 +11,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs)).drop("name")
 
 
-QUERIES = {"op8_language_id": op8_language_id}
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents")).drop("name")
+
+
+QUERIES = {"op8_language_id": op8_language_id, "op9_near_dedup": op9_near_dedup}
 ORACLES: dict[str, str] = {}
