@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidewire.llm.arrow_slices import slices
 from tidewire.llm.common import row_name, stored, without
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -75,7 +76,7 @@ def gram_slots(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _gram_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         langs = np.array(batch.column(0).to_pylist(), object)
         texts = batch.column(1).to_pylist()
         for lang in sorted(set(langs)):
@@ -106,7 +107,7 @@ def _scorer(table: np.ndarray) -> Callable:
     small = table.astype(np.float32)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             slots, counts = gram_slots(batch.column("text").to_pylist())
             likelihood = np.zeros((len(counts), small.shape[1]))
             ends = np.cumsum(counts)

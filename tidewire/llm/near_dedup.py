@@ -2,13 +2,14 @@
 
 A shingle weighs tf * idf. Its document frequency is counted over all documents in 2^DF_BITS hashed buckets, so that the
 table has one size at any scale: a shingle of a share f of the documents counts as f plus the even load of a bucket, which
-does not depend on the number of documents. idf runs from 1 to 2 only, so that the shingles that the copies of a large group
-share still outweigh those that tell them apart. Weights are rounded to eighths of a power of two; with so few different
-weights, and ICWS's random numbers drawn from a pool of 65,536 by the shingle's hash, a sample is a table look-up.
+does not depend on the number of documents. idf runs from 1 to 1.5 only, so that the shingles that the copies of a large group
+share still outweigh those that tell them apart. Weights are rounded to 1/32 powers of two; with so few different weights,
+and ICWS's random numbers drawn from a pool of 65,536 by the shingle's hash, a sample is a table look-up.
 
-Texts with an equal band of samples meet in a bucket. In each round every text is compared with one text of each of its
-buckets that lies in another class, by the exact weighted Jaccard similarity; links of at least THRESHOLD join classes.
-Rounds, each with other partners, go on until one brings no link. So no bucket is cut, and none gives all its pairs.
+Texts with an equal band of samples meet in a bucket. Buckets of up to SMALL_BUCKET texts compare all of them, by the exact
+weighted Jaccard similarity; links of at least THRESHOLD join classes. In larger buckets every text is compared with one text
+that lies in another class, in rounds with other partners each, until a round brings no link. So no bucket is cut, and
+none gives pairs that grow with the square of its size.
 
 Equal texts are one node from the start and need no links. A text of fewer than five words is one shingle; null and empty
 texts have none and are a class of their own. Rows without a key take part; a class of such rows alone has a null id. Of
@@ -27,6 +28,7 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
+from tidewire.llm.arrow_slices import slices
 from tidewire.llm.common import ROW, packed, row_name, stored, unpacked, whole_text, without
 from tidewire.llm.keymap import key_map, maybe_in
 
@@ -35,9 +37,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE, THRESHOLD = 5, 0.8
 #: Samples in all and per band: a pair at the threshold misses all bands with a chance of 1e-5.
 SAMPLES, BAND = 48, 3
+#: Texts of a bucket that are all compared with each other.
+SMALL_BUCKET = 16
 DF_BITS = 18
 #: Steps of weights per power of two, and steps in all: tf up to 2^31.
-STEPS, LEVELS = 8, 256
+STEPS, LEVELS = 32, 1024
 _POOL_BITS = 16
 _BLOCK = 4096
 _PIECE = 1 << 16
@@ -85,7 +89,7 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
 def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of one task: counts of the documents per bucket, in blocks; block -1 has their number."""
     counts, documents = np.zeros(1 << DF_BITS, np.int64), 0
-    for batch in batches:
+    for batch in slices(batches):
         documents += batch.num_rows
         for hashes, _ in shingles(batch.column(0)):
             np.add.at(counts, _bucket(hashes), 1)
@@ -108,7 +112,7 @@ def _count_rows(blocks: Iterable[tuple[int, np.ndarray]]) -> pa.RecordBatch:
 
 
 def idf_table(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """idf of each bucket: 1 + ln(1 + N / df) / ln(1 + buckets). The table is of fixed size, summed up on the executors."""
+    """idf of each bucket: 1 + ln(1 + N / df) / (2 ln(1 + buckets)). The table is of fixed size, summed up on the executors."""
     parts = docs.select(whole_text(text).alias("text")).mapInArrow(_frequencies, "block int, counts binary")
     sums = parts.repartition("block").mapInArrow(_summed, "block int, counts binary").toArrow()
     counts, documents = np.zeros(1 << DF_BITS), 0
@@ -118,7 +122,7 @@ def idf_table(docs: DataFrame, text: str = "text") -> np.ndarray:
             documents = int(found[0])
         else:
             counts[block * _BLOCK : (block + 1) * _BLOCK] = found
-    return (1 + np.log1p(documents / np.maximum(counts, 1)) / np.log1p(1 << DF_BITS)).astype(np.float32)
+    return (1 + np.log1p(documents / np.maximum(counts, 1)) / (2 * np.log1p(1 << DF_BITS))).astype(np.float32)
 
 
 def levels_of(hashes: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -184,7 +188,7 @@ class Sampler:
 def _signer(idf: np.ndarray) -> Callable:
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler()
-        for batch in batches:
+        for batch in slices(batches):
             found: list = [[] for _ in range(batch.num_rows)]
             held: list = []
 
@@ -213,7 +217,7 @@ def _signer(idf: np.ndarray) -> Callable:
 def _verifier(idf: np.ndarray) -> Callable:
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, None)
-        for batch in batches:
+        for batch in slices(batches, "b_text"):
             names, lead_texts = batch.column("a").to_pylist(), batch.column("a_text")
             similar = np.zeros(batch.num_rows)
             for row, (hashes, counts) in enumerate(shingles(batch.column("b_text"))):
@@ -256,7 +260,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = stored(docs.select(F.col(key).alias("doc_id"), row_name(key, text).alias("name"), node.alias("node"), body.alias("text")).mapInArrow(_signer(idf), kinds), "near-signed")
     nodes = rows.groupBy("node").agg(F.first("bands").alias("bands"))
     placed = nodes.select("node", F.explode("bands").alias("bucket"))
-    crowded = placed.groupBy("bucket").count().where("count > 1").select("bucket")
+    crowded = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     met = stored(placed.join(crowded, "bucket"), "near-met")
     chosen = met.select("node").distinct()
     likely = maybe_in(key_map(chosen), F.col("node"))
@@ -267,10 +271,14 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     roots = spark.createDataFrame([], "node string, root string")
     number = 0
     while True:
-        classed = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        order = F.xxhash64("node", F.lit(number))
+        classed = met.where(f"size > {SMALL_BUCKET}").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        order = F.xxhash64("node", "bucket", F.lit(number))
         leads = classed.groupBy("bucket").agg(F.min_by("node", order).alias("a"), F.min_by("root", order).alias("a_root"))
-        pairs = classed.join(leads, "bucket").where("root <> a_root").select("a", F.col("node").alias("b")).distinct()
+        pairs = classed.join(leads, "bucket").where("root <> a_root").select("a", F.col("node").alias("b"))
+        if number == 0:
+            few = met.where(f"size <= {SMALL_BUCKET}").select("bucket", "node")
+            pairs = pairs.unionByName(few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), "bucket").where("a < b").select("a", "b"))
+        pairs = pairs.distinct()
         new = stored(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
         both = new.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b").join(
             texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
