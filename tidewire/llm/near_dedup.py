@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidewire.llm.arrow_slices import slices
 from tidewire.llm.common import ROW, packed, row_name, stored, unpacked, whole_text, without
 from tidewire.llm.keymap import key_map, maybe_in
+from tidewire.session import fresh_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -256,8 +257,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     idf = idf_table(docs, text)
     body = whole_text(text)
     node = F.substring(F.sha2(body, 256), 1, 32)
-    kinds = f"doc_id {dict(docs.dtypes)[key]}, name string, node string, bands array<long>"
-    rows = stored(docs.select(F.col(key).alias("doc_id"), row_name(key, text).alias("name"), node.alias("node"), body.alias("text")).mapInArrow(_signer(idf), kinds), "near-signed")
+    signed = f"doc_id {dict(docs.dtypes)[key]}, name string, node string, bands array<long>"
+    rows = stored(docs.select(F.col(key).alias("doc_id"), row_name(key, text).alias("name"), node.alias("node"), body.alias("text")).mapInArrow(_signer(idf), signed), "near-signed")
     nodes = rows.groupBy("node").agg(F.first("bands").alias("bands"))
     placed = nodes.select("node", F.explode("bands").alias("bucket"))
     crowded = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -267,9 +268,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     texts = stored(docs.select(node.alias("node"), body.alias("text")).where(likely).join(chosen, "node", "left_semi").dropDuplicates(["node"]), "near-texts")
 
     spark = docs.sparkSession
-    links = tried = spark.createDataFrame([], "a string, b string")
-    roots = spark.createDataFrame([], "node string, root string")
-    number = 0
+    verified = fresh_path(spark, "llm/near-verified")
+    roots, number, kinds = spark.createDataFrame([], "node string, root string"), 0, "a string, b string, similarity double"
     while True:
         classed = met.where(f"size > {SMALL_BUCKET}").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         order = F.xxhash64("node", "bucket", F.lit(number))
@@ -279,15 +279,20 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             few = met.where(f"size <= {SMALL_BUCKET}").select("bucket", "node")
             pairs = pairs.unionByName(few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), "bucket").where("a < b").select("a", "b"))
         pairs = pairs.distinct()
-        new = stored(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        both = new.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b").join(
+        if number:
+            pairs = pairs.join(spark.read.schema(kinds).parquet(verified), ["a", "b"], "left_anti")
+        both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b").join(
             texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
-        seen = stored(both.select("a", "b", "a_text", "b_text").mapInArrow(_verifier(idf), "a string, b string, similarity double"), "near-verified")
-        fresh = seen.where(F.col("similarity") >= THRESHOLD).select("a", "b")
-        if fresh.isEmpty():
+        both.select("a", "b", "a_text", "b_text").mapInArrow(_verifier(idf), kinds).write.parquet(f"{verified}/round={number}")
+        fresh = spark.read.schema(kinds).parquet(f"{verified}/round={number}").where(F.col("similarity") >= THRESHOLD)
+        if fresh.isEmpty() and number:
             break
-        links, tried, number = links.unionByName(fresh), tried.unionByName(seen.select("a", "b")), number + 1
-        roots = components(links)
+        # Classes so far are single nodes to the round's links.
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b")) if number else None
+        links = fresh.select("a", "b")
+        roots = components(links.unionByName(known) if known is not None else links)
+        number += 1
+    links = spark.read.schema(kinds).parquet(verified).where(F.col("similarity") >= THRESHOLD)
 
     ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     linked = ends.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
