@@ -33,6 +33,8 @@ TRAIN_ROWS = 4000
 MAX_LANGUAGES = 200
 #: Buckets of hashed n-grams of GRAM bytes.
 GRAM_BITS, GRAM = 16, 4
+#: Count that a slot has without any n-gram.
+UNSEEN = 0.01
 #: Weight of the text's likelihood, as neighbouring n-grams are not independent.
 TEXT_WEIGHT = 0.25
 #: Pseudo-counts of a level's parent, and of a declaration or suffix.
@@ -82,7 +84,7 @@ def _gram_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang in sorted(set(langs)):
             slots, _ = gram_slots([t for t, own in zip(texts, langs) if own == lang])
             found, counts = np.unique(slots, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found)), pa.array(found.astype(np.int32)), pa.array(counts.astype(np.int64))], ["lang", "slot", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found.astype(np.int32)), pa.array(counts.astype(np.int64))], ["lang", "slot", "n"])
 
 
 def train(docs: DataFrame, columns: Columns = Columns()) -> tuple[list[str], np.ndarray]:
@@ -97,7 +99,7 @@ def train(docs: DataFrame, columns: Columns = Columns()) -> tuple[list[str], np.
     langs = sorted(set(rows.column("lang").to_pylist()))
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    table = np.full((1 << GRAM_BITS, len(langs)), 0.1)
+    table = np.full((1 << GRAM_BITS, len(langs)), UNSEEN)
     place = {lang: i for i, lang in enumerate(langs)}
     np.add.at(table, (rows.column("slot").to_numpy(), [place[x] for x in rows.column("lang").to_pylist()]), rows.column("n").to_numpy())
     return langs, np.log(table / table.sum(axis=0))

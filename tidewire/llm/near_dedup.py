@@ -7,8 +7,8 @@ share still outweigh those that tell them apart. Weights are rounded to 1/32 pow
 and ICWS's random numbers drawn from a pool of 65,536 by the shingle's hash, a sample is a table look-up.
 
 Texts with an equal band of samples meet in a bucket. Buckets of up to SMALL_BUCKET texts compare all of them, by the exact
-weighted Jaccard similarity; links of at least THRESHOLD join classes. In larger buckets every text is compared with one text
-that lies in another class, in rounds with other partners each, until a round brings no link. So no bucket is cut, and
+weighted Jaccard similarity; links of at least THRESHOLD join classes. In larger buckets every text is compared with a few
+that lie in other classes, in rounds with other partners each, until a round brings no link. So no bucket is cut, and
 none gives pairs that grow with the square of its size.
 
 Equal texts are one node from the start and need no links. A text of fewer than five words is one shingle; null and empty
@@ -40,6 +40,9 @@ SHINGLE, THRESHOLD = 5, 0.8
 SAMPLES, BAND = 48, 3
 #: Texts of a bucket that are all compared with each other.
 SMALL_BUCKET = 16
+#: Partners of a larger bucket's texts in the first and in each later round. The first brings most of a large
+#: class together; only what is left needs many.
+PARTNERS = (1, 12)
 DF_BITS = 18
 #: Steps of weights per power of two, and steps in all: tf up to 2^31.
 STEPS, LEVELS = 32, 1024
@@ -242,7 +245,7 @@ def components(links: DataFrame) -> DataFrame:
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         edges = stored(hung.unionByName(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
@@ -269,12 +272,15 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     spark = docs.sparkSession
     verified = fresh_path(spark, "llm/near-verified")
-    roots, number, kinds = spark.createDataFrame([], "node string, root string"), 0, "a string, b string, similarity double"
+    roots, number, kinds = spark.createDataFrame([], "node string, root string, members long"), 0, "a string, b string, similarity double"
     while True:
-        classed = met.where(f"size > {SMALL_BUCKET}").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        order = F.xxhash64("node", "bucket", F.lit(number))
-        leads = classed.groupBy("bucket").agg(F.min_by("node", order).alias("a"), F.min_by("root", order).alias("a_root"))
-        pairs = classed.join(leads, "bucket").where("root <> a_root").select("a", F.col("node").alias("b"))
+        classed = met.where(f"size > {SMALL_BUCKET}").select("bucket", "node").join(roots, "node", "left").select(
+            "bucket", "node", F.coalesce("root", "node").alias("root"), F.coalesce("members", F.lit(1)).alias("members"))
+        orders = [F.xxhash64("node", "bucket", F.lit(number), F.lit(i)) for i in range(PARTNERS[min(number, len(PARTNERS) - 1)])]
+        partners = F.array(*(F.struct(F.min_by("node", x).alias("a"), F.min_by("root", x).alias("a_root"), F.min_by("members", x).alias("a_members")) for x in orders))
+        leads = classed.groupBy("bucket").agg(partners.alias("leads")).select("bucket", F.inline("leads"))
+        # The members of a large class need not meet each small one: the small one's meet some of theirs.
+        pairs = classed.join(leads, "bucket").where("root <> a_root and members <= a_members").select("a", F.col("node").alias("b"))
         if number == 0:
             few = met.where(f"size <= {SMALL_BUCKET}").select("bucket", "node")
             pairs = pairs.unionByName(few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), "bucket").where("a < b").select("a", "b"))
@@ -290,7 +296,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         # Classes so far are single nodes to the round's links.
         known = roots.select(F.col("node").alias("a"), F.col("root").alias("b")) if number else None
         links = fresh.select("a", "b")
-        roots = components(links.unionByName(known) if known is not None else links)
+        found = components(links.unionByName(known) if known is not None else links)
+        roots = stored(found.join(found.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "root"), "near-roots")
         number += 1
     links = spark.read.schema(kinds).parquet(verified).where(F.col("similarity") >= THRESHOLD)
 

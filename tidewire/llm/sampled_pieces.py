@@ -13,7 +13,7 @@ units; equal units share their edges and backward sums, and all units of a megab
 The model file's pieces are taken as they are. It holds a BPE order rather than probabilities, so a piece weighs
 1 / (RANK_SHIFT + order), and a byte 1 / vocabulary. Encoding is exact: spaces become U+2581 behind one added in front,
 and what the vocabulary lacks, a literal U+2581 included, becomes bytes. Random numbers come from hashes of row key, sample
-and place. Null and empty texts have one segmentation, without pieces. A text with fewer than k segmentations gives them
+and place; draws have 24 bits, so chances below 2^-24 are met only in what is split off. Null and empty texts have one segmentation, without pieces. A text with fewer than k segmentations gives them
 all, each with inclusion 1. Repeated rows give equal samples.
 """
 
@@ -188,8 +188,7 @@ class Lattice:
             if distance <= n:
                 score[:, -1] = self.weights[pieces[at, wide - 1]]
             top = score.max(axis=1)
-            raised = np.exp((score - top[:, None]).astype(np.float32))
-            sums = np.cumsum(raised, axis=1, dtype=np.float32)
+            sums = np.cumsum(np.exp(score - top[:, None]), axis=1)
             beta[at] = top + np.log(sums[:, -1])
             sums /= sums[:, -1:]
             ladder[at, :wide] = sums
@@ -297,7 +296,7 @@ class Sampler:
         """By sample: ids, their number per text, log_prob, value, exists; and the value left after the last."""
         self._prepare(texts)
         n, docs = len(self.codes), len(texts)
-        salt = lambda number: _mixed(seeds.astype(np.uint64) + np.uint64(number) * np.uint64(_MULTIPLIER))
+        salt = lambda number: _mixed(seeds.astype(np.uint64) + np.uint64(number * _MULTIPLIER % 2**64))
         full = np.flatnonzero(self.ends > self.firsts)
         heads = self.firsts[full]
         tokens, logs = np.full(n, -1, np.int32), np.zeros(n)
@@ -357,7 +356,7 @@ class Sampler:
             taken = path["tokens"] >= 0
             path["ids"] = self.lattice.vocabulary.ids[path["tokens"][taken]]
             path["counts"] = np.bincount(self.owner[taken], minlength=docs)
-            path["log_prob"] = np.bincount(self.owner, path["logs"], minlength=docs)
+            path["log_prob"] = np.bincount(self.owner, path["logs"], minlength=docs).astype(np.float64)
             odds = path["log_prob"] - left
             with np.errstate(over="ignore"):
                 path["log_inclusion"] = np.where(odds < -30, odds, np.log(-np.expm1(-np.exp(np.maximum(odds, -30)))))
