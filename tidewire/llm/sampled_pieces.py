@@ -37,7 +37,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 RANK_SHIFT = 3.0
 #: Places of remembered units, and bytes of text of a slice.
-REMEMBERED, SLICE_BYTES = 200_000, 1 << 21
+REMEMBERED, SLICE_BYTES = 250_000, 1 << 19
 SPACE, SPACE_MARK = 0x20, 0x2581
 #: Codes that stand for bytes, beyond those of characters; a literal space mark is coded as its bytes.
 BYTE_CODE = 0x110000
@@ -215,20 +215,25 @@ class Sampler:
         begins = np.zeros(len(names), np.int64)
         begins[known] = self.name_codes[found[known]]
         new = np.flatnonzero(~known)
-        new = new[np.argsort(counts[new] < 2, kind="stable")]
+        new = new[np.argsort(-counts[new], kind="stable")]
         own = np.cumsum(sizes[new]) - sizes[new]
         total = int(sizes[new].sum())
         places = np.repeat(like[new] - own, sizes[new]) + np.arange(total)
         fresh = self.lattice.edges(self.codes[places], own, sizes[new])
         begins[new] = self.remembered + own
-        kept = slice(0, self.remembered)
-        self.pieces, self.ladder, self.beta = (np.concatenate((a[kept], b)) for a, b in zip((self.pieces, self.ladder, self.beta), fresh))
-        again = new[counts[new] >= 2]
-        if self.remembered + sizes[again].sum() <= REMEMBERED:
-            self.remembered += int(sizes[again].sum())
-            names_, starts = np.concatenate((self.names, names[again])), np.concatenate((self.name_codes, begins[again]))
-            order = np.argsort(names_)
-            self.names, self.name_codes = names_[order], starts[order]
+        if len(self.pieces) < self.remembered + total:
+            kept = slice(0, self.remembered)
+            room = (self.remembered + total) // 2 * 3
+            self.pieces, self.ladder, self.beta = (
+                np.concatenate((a[kept], np.empty((room - self.remembered, *a.shape[1:]), a.dtype))) for a in (self.pieces, self.ladder, self.beta))
+        for held, own_edges in zip((self.pieces, self.ladder, self.beta), fresh):
+            held[self.remembered : self.remembered + total] = own_edges
+        fits = (counts[new] >= 2) & (self.remembered + own + sizes[new] <= REMEMBERED)
+        again = new[: int(fits.argmin()) if not fits.all() else len(new)]  # the most frequent ones lie first
+        self.remembered += int(sizes[again].sum())
+        names_, starts = np.concatenate((self.names, names[again])), np.concatenate((self.name_codes, begins[again]))
+        order = np.argsort(names_)
+        self.names, self.name_codes = names_[order], starts[order]
         return begins
 
     def _prepare(self, texts: list[str]) -> None:
@@ -264,8 +269,7 @@ class Sampler:
             edge = self.edge_at[at]
             own = self.owner[at]
             draw = _uniform(salt[own] + (at - self.firsts[own]).astype(np.uint64)).astype(np.float32)
-            step = (self.ladder[edge] <= draw[:, None]).sum(axis=1)
-            step[draw >= 1] = 0
+            step = (self.ladder[edge] > draw[:, None]).argmax(axis=1)
             taken = pieces[edge * lengths + step]
             ends = self.unit_ends[at]
             after = at + step + 1
