@@ -24,10 +24,11 @@ def comparable(rows, columns):
 
 
 def test_only_searches_without_a_definite_answer_lack_an_oracle():
-    assert set(QUERIES) - set(ORACLES) == {"topic_kmeans"} and set(ORACLES) <= set(QUERIES)
+    apart = {name for name in QUERIES if name.startswith("op") or name == "pipeline"}  # tested with their own part
+    assert set(QUERIES) - set(ORACLES) - apart == set() and set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(name for name in QUERIES if not name.startswith("op") and name != "pipeline"))
 def test_query(spark, oracle, name):
     result = QUERIES[name](spark, SMALL)
     rows = comparable([tuple(r) for r in result.collect()], result.columns)

@@ -36,11 +36,14 @@ def signals(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def startups(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Products already stored in sufficient number are kept as they are."""
+    """Products already stored in the wanted number are kept as they are; without a target they are always made anew."""
     items = records.hub_rows(spark.read.parquet(args.payloads))
     write_csv(records.startups(items, args.now, args.target), "STARTUP", f"{args.out}/startups")
-    target = args.target or 1
-    reuse_or_compute(spark, f"{args.out}/products", "PRODUCT", target, lambda: records.products(items, args.now, args.target))
+    products, path = records.products(items, args.now, args.target), f"{args.out}/products"
+    if args.target:
+        reuse_or_compute(spark, path, "PRODUCT", args.target, lambda: products)
+    else:
+        write_csv(products, "PRODUCT", path)
 
 
 def mapping(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -62,14 +62,7 @@ DEFAULT_PRODUCT_ORG = "Independent"
 DEFAULT_JSON_COMPANY = "AI Enterprise"
 DEFAULT_RSS_COMPANY = "AI Startup"
 
-# Feed registries in crawl order.
-NEWS_FEEDS = [
-    ("The Verge AI", "https://www.theverge.com/rss/index.xml"),
-    ("TechCrunch AI", "https://techcrunch.com/category/artificial-intelligence/feed/"),
-    ("VentureBeat AI", "https://venturebeat.com/category/ai/feed/"),
-    ("MIT Technology Review AI", "https://www.technologyreview.com/feed/"),
-    ("Ars Technica AI", "https://feeds.arstechnica.com/arstechnica/index"),
-]
+# Feed registry in crawl order.
 JOB_FEEDS = [
     ("Remotive AI Jobs", "https://remotive.com/api/remote-jobs?category=software-dev&search=AI"),
     ("Remotive Data & ML", "https://remotive.com/api/remote-jobs?category=data"),
@@ -92,3 +85,6 @@ RETRY_STATUSES = [429, 413]
 
 # Dedup retention.
 DEDUP_TTL_DAYS = 7
+
+# Owners of site pages, short form.
+SHORT_OWNERS = ["topics", "features", "about", "pricing", "explore"]

@@ -2,19 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 
 def rows_within(df: DataFrame, limit: int) -> list | None:
     """The rows, when there are at most limit of them; else None. Never fetches more than limit + 1."""
     rows = df.limit(limit + 1).collect()
     return rows if len(rows) <= limit else None
-
-
-def is_within(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
-def broadcast_within(df: DataFrame, limit: int) -> DataFrame:
-    """Broadcast hint for a checked small side; beyond the limit the join is left to shuffle."""
-    return F.broadcast(df) if is_within(df, limit) else df

@@ -77,7 +77,7 @@ class Dictionary:
 
     def __init__(self, entries: DataFrame, inline_limit: int = INLINE_LIMIT, processor: str | None = None):
         self.processor = processor
-        named = entries.select(F.col("pos").cast("int"), "canonical").withColumn("key", F.lower("canonical"))
+        named = entries.select(F.col("pos").cast("int"), "canonical").where("canonical IS NOT NULL").withColumn("key", F.lower("canonical"))
         named = named.withColumn("form", self.processed(F.col("canonical")))
         self.rows = rows_within(named, inline_limit)
         if self.rows is None:

@@ -79,15 +79,15 @@ def vector_topk(
     """(query_id, vec_id, score, rank) of the k nearest vectors by cosine per query; ties go to the smaller id.
 
     Every task keeps k rows per query while its vectors pass, so neither its memory nor what is shuffled grows with
-    the corpus. More queries than one block holds take one pass over the corpus per block.
+    the corpus. More queries than one block holds take one pass over the corpus per block; none give no rows.
     """
     found = None
     for query_ids, matrix in _blocks(queries, id_col, vector):
         part = corpus.select(F.col(id_col).cast("bigint"), vector).where(F.col(vector).isNotNull())
         part = part.mapInArrow(_search(np.array(query_ids, dtype=np.int64), matrix, k), f"query_id bigint, {id_col} bigint, score double")
         found = part if found is None else found.unionByName(part)
-    if found is None:
-        raise ValueError("no query vectors")
+    if found is None:  # no queries, no neighbours
+        found = corpus.select(F.lit(0).cast("bigint").alias("query_id"), F.col(id_col).cast("bigint"), F.lit(0.0).alias("score")).limit(0)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), id_col))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 

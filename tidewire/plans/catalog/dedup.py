@@ -61,9 +61,13 @@ def _run(query):
 def stream_fresh(spark, sf):
     session.configure(spark)
     out = session.fresh_path(spark, "stream-fresh")
-    admitted = intake.admit_fresh(_arrivals(event_stream(spark, sf))).select("event_id", "event_type")
+    admitted = intake.admit_fresh(_arrivals(event_stream(spark, sf))).drop("arrival_ts")
     _run(intake.append_stream(admitted, f"{out}/rows", f"{out}/log"))
-    return spark.read.parquet(f"{out}/rows")
+    return _shown(spark.read.parquet(f"{out}/rows"))
+
+
+def _shown(events):
+    return events.select("event_id", fmt_iso(c("ts")).alias("ts"), "user_id", "event_type", "value", "props")
 
 
 def stream_append(spark, sf):
@@ -71,9 +75,8 @@ def stream_append(spark, sf):
     session.configure(spark)
     out = session.fresh_path(spark, "stream-append")
     for _ in range(2):
-        rows = event_stream(spark, sf).select("event_id", "user_id", "event_type")
-        _run(intake.append_stream(rows, f"{out}/rows", f"{out}/log", ["event_type"]))
-    return spark.read.parquet(f"{out}/rows").select("event_id", "user_id", "event_type")
+        _run(intake.append_stream(event_stream(spark, sf), f"{out}/rows", f"{out}/log", ["event_type"]))
+    return _shown(spark.read.parquet(f"{out}/rows"))
 
 
 def stream_dedup_ttl(spark, sf):
@@ -92,12 +95,11 @@ def stream_dedup_ttl(spark, sf):
 
 
 def stream_telemetry(spark, sf):
-    """Hours that the watermark has closed: all but the last ones."""
+    """All hours: counts of each batch, added up."""
     session.configure(spark)
     out = session.fresh_path(spark, "stream-telemetry")
-    hourly = intake.hourly_counts(event_stream(spark, sf), "ts", "event_type")
-    _run(intake.append_stream(hourly, f"{out}/rows", f"{out}/log"))
-    return spark.read.parquet(f"{out}/rows").withColumn("hour", fmt_iso(c("hour")))
+    _run(intake.count_hours(event_stream(spark, sf), "ts", "event_type", f"{out}/counts", f"{out}/log"))
+    return intake.read_hours(spark, f"{out}/counts", "event_type").withColumn("hour", fmt_iso(c("hour")))
 
 
 def src_stream(spark, sf):
@@ -109,16 +111,16 @@ def src_stream(spark, sf):
         F.lit("web").alias("source_name"), "url", F.lit(200).alias("status"), c("html").alias("body"),
         F.lit(fx.NOW).cast("timestamp").alias("fetched_at"),
     ).write.parquet(f"{out}/in")
-    stream = landed.read_payload_stream(spark, f"{out}/in").select("url", "domain")
+    stream = landed.read_payload_stream(spark, f"{out}/in").select("url", "domain", "body")
     _run(intake.append_stream(stream, f"{out}/rows", f"{out}/log", ["domain"]))
-    return spark.read.parquet(f"{out}/rows").select("domain", "url")
+    return spark.read.parquet(f"{out}/rows").select("domain", "url", "body")
 
 
 def sink_checkpoint(spark, sf):
     """Documents stored in files of a fixed number of rows and taken in some files per trigger, over a restart."""
     session.configure(spark)
     out = session.fresh_path(spark, "sink-checkpoint")
-    docs = fx.table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    docs = fx.table(spark, sf, "documents")
     schema = docs.schema
     docs.where("doc_id % 2 = 0").write.option("maxRecordsPerFile", ROWS_PER_FILE).mode("append").parquet(f"{out}/in")
 
@@ -150,6 +152,7 @@ _TTL = f"""SELECT event_id, strftime(ts, {sql.ISO}) AS ts, sig FROM (
   SELECT event_id, ts, sig, lag(ts) OVER (PARTITION BY sig ORDER BY ts, event_id) AS before FROM
     (SELECT *, {_SIG} AS sig FROM {_S} AS s)) WHERE before IS NULL OR ts - before > INTERVAL 7 DAYS"""
 _LATE = "CASE WHEN event_id % 50 = 49 THEN -1 ELSE event_id % 48 END"
+_EVENT = f"event_id, strftime(ts, {sql.ISO}) AS ts, user_id, event_type, value, props"
 
 ORACLES = {
     "content_hash": f"""SELECT event_id, sha256(concat(lower(trim(name)), chr(31), strftime(ts, {sql.ISO}), chr(31), url)) AS hash
@@ -158,12 +161,10 @@ ORACLES = {
     "dedup_url_title": f"""WITH s AS (SELECT event_id, ts, sha256(concat(lower(trim(url)), chr(31), lower(trim(name)))) AS sig FROM {_S} AS raw)
       SELECT event_id, sig FROM (SELECT *, row_number() OVER (PARTITION BY sig ORDER BY ts, event_id) AS nth FROM s
         WHERE ts >= TIMESTAMP '2024-01-02 00:00:00' AND sig NOT IN (SELECT sig FROM s AS old WHERE ts < TIMESTAMP '2024-01-02 00:00:00')) WHERE nth = 1""",
-    "stream_fresh": f"SELECT event_id, event_type FROM events WHERE {_LATE} BETWEEN 0 AND 24",
-    "stream_append": "SELECT event_id, user_id, event_type FROM events",
+    "stream_fresh": f"SELECT {_EVENT} FROM events WHERE {_LATE} BETWEEN 0 AND 24",
+    "stream_append": f"SELECT {_EVENT} FROM events",
     "stream_dedup_ttl": _TTL,
-    # the watermark stops a day before the newest event; hours that end by then are out
-    "stream_telemetry": f"""SELECT strftime(date_trunc('hour', ts), {sql.ISO}) AS hour, event_type, count(*) AS records FROM events
-      WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 24 HOURS FROM events AS e) GROUP BY 1, 2""",
-    "src_stream": r"""SELECT regexp_extract(lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)), '([^.]+\.)?[^.]+$', 0) AS domain, url FROM pages""",
-    "sink_checkpoint": "SELECT doc_id, lang, n_chars FROM documents",
+    "stream_telemetry": f"SELECT strftime(date_trunc('hour', ts), {sql.ISO}) AS hour, event_type, count(*) AS records FROM events GROUP BY 1, 2",
+    "src_stream": r"""SELECT regexp_extract(lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)), '([^.]+\.)?[^.]+$', 0) AS domain, url, html AS body FROM pages""",
+    "sink_checkpoint": "SELECT doc_id, text, lang, source, n_chars FROM documents",
 }

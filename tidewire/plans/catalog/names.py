@@ -27,10 +27,17 @@ def _mapping(spark, sf, **options):
     return resolve.resolve_entities(_names(spark, sf), resolve.dictionary_frame(spark), **options)
 
 
-def _tiers(spark, sf):
-    table = resolve.Dictionary(resolve.dictionary_frame(spark))
-    equi = resolve.add_cleaned_exact(resolve.add_exact(_names(spark, sf), table), table)
-    return resolve.add_fuzzy(equi, table, fixed.FUZZY_THRESHOLD)
+def _exact_tier(found: str):
+    """Names that one of the two exact tiers finds; the fuzzy tier has no part in it."""
+
+    def query(spark, sf):
+        table = resolve.Dictionary(resolve.dictionary_frame(spark))
+        tiers = resolve.add_exact(_names(spark, sf), table)
+        if found == "cleaned_name":
+            tiers = resolve.add_cleaned_exact(tiers, table)
+        return tiers.where(c(found).isNotNull()).select("raw_name", c(found).alias("canonical_name"), F.lit(100.0).alias("score"))
+
+    return query
 
 
 def _of_type(kind, *columns):
@@ -99,8 +106,8 @@ QUERIES = {
     "argmax_match": argmax_match,
     "distinct_names": _names,
     "union_distinct_names": union_distinct_names,
-    "er_exact": _of_type("EXACT", "raw_name", "canonical_name", "score"),
-    "er_cleaned_exact": _of_type("CLEANED_EXACT", "raw_name", "canonical_name", "score"),
+    "er_exact": _exact_tier("exact_name"),
+    "er_cleaned_exact": _exact_tier("cleaned_name"),
     "er_fuzzy": _of_type("FUZZY", "raw_name", "canonical_name", "score"),
     "er_fallback": _of_type("FALLBACK", "raw_name", "canonical_name"),
     "er_resolve": _mapping,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewire import model
+from tidewire import fixed_values as fixed, model
 from tidewire.functions import links as fn, names
 from tidewire.functions.dates import fmt_iso
 from tidewire.operators import dedup, linking
@@ -15,7 +15,6 @@ from tidewire.sources import feeds
 
 c = F.col
 ENTRIES_PER_DOC = 10
-SHORT_OWNERS = ["topics", "features", "about", "pricing", "explore"]
 
 
 def papers(spark, sf):
@@ -44,7 +43,7 @@ def _named(row_id):
 def payloads(spark, sf):
     """Atom pages of at most ENTRIES_PER_DOC papers; failed pages are among them."""
     rows = fx.derive(spark, sf, fx.PAPERS)
-    escaped = F.replace(F.replace(c("comment"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    escaped = lambda text: F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     ident = c("doc_id").cast("string")
     authors = F.array_join(
         F.transform(_named(c("doc_id")), lambda n: F.concat(F.lit("<author><name>"), n, F.lit("</name></author>"))), ""
@@ -53,8 +52,8 @@ def payloads(spark, sf):
         F.lit("<entry><id>"), c("paper_url"), F.lit("</id>"),
         F.when(c("doc_id") % 8 != 0, F.concat(F.lit("<title>On\n  item "), ident, F.lit("</title>"))).otherwise(""),
         F.lit("<published>2024-01-01T00:00:00Z</published>"), authors,
-        F.lit("<summary>Paper "), ident, F.lit("</summary>"),
-        F.when(c("comment").isNotNull(), F.concat(F.lit("<arxiv:comment>"), escaped, F.lit("</arxiv:comment>"))).otherwise(""),
+        F.lit("<summary>"), escaped(F.coalesce("summary", F.lit(""))), F.lit("</summary>"),
+        F.when(c("comment").isNotNull(), F.concat(F.lit("<arxiv:comment>"), escaped(c("comment")), F.lit("</arxiv:comment>"))).otherwise(""),
         F.lit("</entry>"),
     )
     numbered = rows.withColumn("src_rank", F.floor(c("doc_id") / ENTRIES_PER_DOC).cast("bigint"))
@@ -82,7 +81,7 @@ def owner_blocklist(spark, sf):
     owner = fn.repo_parts(c("search_text"))["owner"]
     found = papers(spark, sf).select("doc_id", owner.alias("owner")).where(c("owner").isNotNull())
     return found.select(
-        "doc_id", "owner", fn.generic_owner(c("owner")).alias("generic"), fn.generic_owner(c("owner"), SHORT_OWNERS).alias("generic_short")
+        "doc_id", "owner", fn.generic_owner(c("owner")).alias("generic"), fn.generic_owner(c("owner"), fixed.SHORT_OWNERS).alias("generic_short")
     )
 
 
@@ -133,7 +132,7 @@ QUERIES = {
     "lookup_code_link": lookup_code_link,
     "enrich_stars": enrich_stars,
     "resolve_and_enrich": _resolved(),
-    "api_matcher": _resolved(owners=SHORT_OWNERS, compat=True),
+    "api_matcher": _resolved(owners=fixed.SHORT_OWNERS, compat=True),
     "repo_search_topk": lambda s, d: linking.search_repos(repos(s, d), "Repo-1"),
     "seen_anti": seen_anti,
     "star_history": star_history,
@@ -162,13 +161,12 @@ def _linked(text: str, columns: str, compat: bool = False, owners=None) -> str:
 
 
 _OWNER = "regexp_extract(search_text, '(?i)https?://github\\.com/([a-zA-Z0-9_-]+)/[a-zA-Z0-9_.-]+', 1)"
-_PAPER_TEXT = "concat('Paper ', doc_id, ' ', coalesce(comment, ''))"
 _TITLE = "CASE WHEN doc_id % 8 <> 0 THEN concat('On item ', doc_id) ELSE '' END"
 _PAGED = f"SELECT *, CAST(floor(doc_id / {ENTRIES_PER_DOC}) AS BIGINT) AS page FROM {_P} AS paged"
 
 ORACLES = {
     "src_atom_papers": f"""SELECT page AS src_rank, CAST(row_number() OVER (PARTITION BY page ORDER BY doc_id) - 1 AS INTEGER) AS item_pos, {_TITLE} AS title,
-      '2024-01-01T00:00:00Z' AS published, {_AUTHORS} AS authors, paper_url, concat('Paper ', doc_id) AS summary,
+      '2024-01-01T00:00:00Z' AS published, {_AUTHORS} AS authors, paper_url, coalesce(summary, '') AS summary,
       coalesce(comment, '') AS comment FROM ({_PAGED}) WHERE page % 13 <> 5""",
     "authors_join": f"SELECT doc_id, {_AUTHORS} AS authors FROM {_P} AS p",
     "search_text": f"SELECT doc_id, search_text FROM {_P} AS p",
@@ -181,7 +179,7 @@ ORACLES = {
     "lookup_code_link": f"SELECT doc_id, arxiv_id, repository_url FROM {_P} AS p LEFT JOIN {_FIRST} AS f USING (arxiv_id)",
     "enrich_stars": _starred(f"SELECT doc_id, {sql.link('search_text')} AS github_url FROM {_P} AS raw", "doc_id"),
     "resolve_and_enrich": _linked("search_text", "doc_id"),
-    "api_matcher": _linked("search_text", "doc_id", True, SHORT_OWNERS),
+    "api_matcher": _linked("search_text", "doc_id", True, fixed.SHORT_OWNERS),
     "repo_search_topk": f"""SELECT concat(owner, '/', repo) AS full_name, stars FROM {_STARS} AS s WHERE contains(lower(repo), 'repo-1')
       ORDER BY stars DESC, 1 LIMIT 5""",
     "seen_anti": f"SELECT doc_id, arxiv_id FROM {_P} AS p WHERE arxiv_id NOT IN (SELECT arxiv_id FROM ({fx.oracle(fx.LINKS)}) AS l)",
@@ -189,5 +187,5 @@ ORACLES = {
       FROM ({fx.oracle(fx.STAR_SNAPSHOTS)}) AS s""",
     "plan_papers": f"""SELECT '1.0' AS "schemaVersion", 'RESEARCH_PAPER' AS "recordType", {_TITLE} AS content_title, {_AUTHORS} AS content_authors,
       paper_url AS content_paper_url, github_url AS content_github_url, github_stars AS content_github_stars,
-      '2024-01-01T00:00:00Z' AS content_published_date FROM ({_linked(_PAPER_TEXT, 'doc_id, paper_url')}) WHERE floor(doc_id / {ENTRIES_PER_DOC}) % 13 <> 5""",
+      '2024-01-01T00:00:00Z' AS content_published_date FROM ({_linked('search_text', 'doc_id, paper_url')}) WHERE floor(doc_id / {ENTRIES_PER_DOC}) % 13 <> 5""",
 }

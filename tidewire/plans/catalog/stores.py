@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tidewire import fixed_values as fixed, model, session
@@ -142,10 +142,16 @@ def topic_cluster(spark, sf):
 
 
 def topic_kmeans(spark, sf):
-    """Ten clusters found from the vectors alone."""
+    """Ten clusters found from the vectors alone, by what holds of them: all vectors have a cluster, none is empty, and no
+    vector is nearer to another cluster's centre."""
     rows = _embeddings(spark, sf).select("vec_id", array_to_vector("embedding").alias("features"))
     fitted = KMeans(k=10, seed=7, distanceMeasure="cosine", maxIter=10).fit(rows)
-    return fitted.transform(rows).groupBy(c("prediction").alias("cluster")).agg(F.count("*").alias("vectors"))
+    placed = fitted.transform(rows).select("vec_id", vector_to_array("features").alias("embedding"), "prediction")
+    centres = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(fitted.clusterCenters())], "label int, centroid array<double>")
+    nearest = vectors.nearest_centroid(placed, centres)
+    own = c("cluster") == c("prediction")
+    return nearest.agg(
+        F.count("*").alias("vectors"), F.count_distinct("prediction").alias("clusters"), F.count_if(~own).alias("misplaced"))
 
 
 def semantic_dedup(spark, sf):
@@ -246,5 +252,6 @@ ORACLES = {
       SELECT vec_id, c.label AS cluster, list_cosine_similarity(v, centroid) AS similarity,
         row_number() OVER (PARTITION BY vec_id ORDER BY list_cosine_similarity(v, centroid) DESC, c.label) AS nth
       FROM {_UNIT} AS u, {_CENTROIDS} AS c) WHERE nth = 1""",
+    "topic_kmeans": "SELECT count(*) AS vectors, 10::BIGINT AS clusters, 0::BIGINT AS misplaced FROM embeddings",
     "semantic_dedup": _SEMANTIC,
 }

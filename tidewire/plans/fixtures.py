@@ -97,8 +97,8 @@ FROM {pages}
 
 ATTEMPTS = """
 SELECT user_id AS doc_id, CAST(event_id % 3 + 1 AS INT) AS tier, event_id AS attempt,
-  CASE WHEN event_type IN ('purchase') THEN 200 WHEN event_type = 'error' THEN 429 WHEN event_type = 'view' THEN 413 ELSE 500 END AS status, props AS payload
-FROM {events} WHERE user_id % 4 <> 0 OR event_type <> 'purchase'
+  CASE WHEN event_type = 'purchase' AND user_id % 4 <> 0 THEN 200 WHEN event_type = 'error' THEN 429 WHEN event_type = 'view' THEN 413 ELSE 500 END AS status, props AS payload
+FROM {events}
 """
 
 PAYLOADS = """

@@ -32,8 +32,13 @@ def _test_root() -> str:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that all executors see: the cluster's setting, or a temporary one where none is set (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _test_root()).rstrip("/")
+    """The folder that all executors see: the cluster's setting. Only a local master may do without, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local") or "cluster" in spark.conf.get("spark.master", ""):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = _test_root()
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
