@@ -23,6 +23,27 @@ CASES = [
     ("3 hours ago", "2024-01-15T09:00:00Z"),
     ("2 weeks ago", "2024-01-01T12:00:00Z"),
     ("January 5, 2024", "2024-01-05T00:00:00Z"),
+    ("2024-01-15T10:30Z", "2024-01-15T10:30:00Z"),
+    ("20240115", "2024-01-15T00:00:00Z"),
+    ("20240115T103000Z", "2024-01-15T10:30:00Z"),
+    ("2024-W03-1", "2024-01-15T00:00:00Z"),
+    ("2024-01-15T10:30:00,5+02", "2024-01-15T08:30:00Z"),
+    ("Mon Jan 15 10:30:00 2024", "2024-01-15T10:30:00Z"),
+    ("Mon Jan 15 10:30:00 EST 2024", "2024-01-15T15:30:00Z"),
+    ("Jan 15 2024 10:30:00 GMT", "2024-01-15T10:30:00Z"),
+    ("15 Jan 2024 10.30.00 GMT", "2024-01-15T10:30:00Z"),
+    ("3 months ago", "2023-10-15T12:00:00Z"),
+    ("1 year ago", "2023-01-15T12:00:00Z"),
+    ("in 2 hours", "2024-01-15T14:00:00Z"),
+    ("2 days 3 hours ago", "2024-01-13T09:00:00Z"),
+    ("01/15/2024", "2024-01-15T00:00:00Z"),
+    ("2024/01/15 9:05 PM", "2024-01-15T21:05:00Z"),
+    ("January 5, 2024 12:30 AM", "2024-01-05T00:30:00Z"),
+    ("Friday, January 5, 2024 at 1:00 pm EST", "2024-01-05T18:00:00Z"),
+    ("2024-13-01", None),
+    ("13/45/2024", None),
+    ("2 hours", None),
+    ("in 2 hours ago", None),
     ("32 Jan 2024 10:00:00 GMT", None),
     ("2024", None),
     ("not a date", None),

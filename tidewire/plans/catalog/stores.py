@@ -19,7 +19,6 @@ from tidewire.sources import hub as hub_source, tables
 c = F.col
 DIMS = 64
 THRESHOLD = 0.95
-BANDS, BITS = 12, 8
 
 
 def _startups(spark, sf):
@@ -156,7 +155,7 @@ def topic_kmeans(spark, sf):
 
 def semantic_dedup(spark, sf):
     rows = fx.derive(spark, sf, fx.VECTORS, turned=fx.TURNED_SPARK)
-    return vectors.semantic_dedup(rows, DIMS, THRESHOLD, BANDS, BITS).select("vec_id", "copy_of")
+    return vectors.semantic_dedup(rows, DIMS, THRESHOLD).select("vec_id", "copy_of")
 
 
 QUERIES = {
@@ -216,19 +215,12 @@ nodes AS (
 _UNIT = "(SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
 _CENTROIDS = """(SELECT label, list(x ORDER BY spot) AS centroid FROM (
   SELECT label, spot, sum(v[spot]) / count(*) AS x FROM (SELECT label, embedding::DOUBLE[] AS v, unnest(range(1, 65)) AS spot FROM embeddings) GROUP BY 1, 2) GROUP BY 1)"""
-_SIGNS = ", ".join("[" + ", ".join(str(int(x)) for x in row) + "]::DOUBLE[]" for row in vectors.plane_signs(BANDS * BITS, DIMS))
+# every pair is compared, whatever the engine does to avoid that
 _SEMANTIC = f"""WITH vecs AS ({fx.oracle(fx.VECTORS, turned=fx.TURNED_ORACLE)}
-), firsts AS (SELECT embedding, min(vec_id) AS first FROM vecs GROUP BY embedding
-), planes AS (SELECT unnest(range({BANDS * BITS})) AS plane, unnest([{_SIGNS}]) AS signs
-), banded AS (
-  SELECT first, plane // {BITS} AS band,
-    sum(CASE WHEN list_dot_product(embedding::DOUBLE[], signs) >= 0 THEN 1::BIGINT << (plane % {BITS})::INT ELSE 0 END) AS key
-  FROM firsts, planes GROUP BY 1, 2
-), heads AS (SELECT band, key, min(first) AS head FROM banded GROUP BY 1, 2
+), firsts AS (SELECT embedding, embedding::DOUBLE[] AS v, min(vec_id) AS first FROM vecs GROUP BY embedding
 ), near AS (
-  SELECT first, min(head) AS near FROM (SELECT DISTINCT first, head FROM banded JOIN heads USING (band, key) WHERE first <> head) AS p
-  JOIN firsts AS f USING (first) JOIN firsts AS h ON h.first = p.head
-  WHERE list_cosine_similarity(f.embedding::DOUBLE[], h.embedding::DOUBLE[]) >= {THRESHOLD} GROUP BY first
+  SELECT f.first, min(h.first) AS near FROM firsts AS f JOIN firsts AS h ON h.first < f.first
+  WHERE list_cosine_similarity(f.v, h.v) >= {THRESHOLD} GROUP BY f.first
 )
 SELECT vec_id, CASE WHEN vec_id <> first THEN coalesce(near, first) ELSE near END AS copy_of
 FROM vecs JOIN firsts USING (embedding) LEFT JOIN near USING (first)"""
