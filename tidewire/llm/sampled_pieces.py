@@ -37,12 +37,13 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 RANK_SHIFT = 3.0
 #: Places of remembered units, and bytes of text of a slice.
-REMEMBERED, SLICE_BYTES = 250_000, 1 << 19
+REMEMBERED, SLICE_BYTES = 250_000, 1 << 18
 SPACE, SPACE_MARK = 0x20, 0x2581
 #: Codes that stand for bytes, beyond those of characters; a literal space mark is coded as its bytes.
 BYTE_CODE = 0x110000
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _TABLE_BITS = 19
+_BELOW_ONE = np.float32(1 - 2**-24)
 
 
 @dataclass(frozen=True)
@@ -98,7 +99,7 @@ class Lattice:
     def __init__(self, vocabulary: Vocabulary):
         starts = np.concatenate(([0], vocabulary.ends[:-1]))
         self.vocabulary, self.starts, self.sizes = vocabulary, starts, vocabulary.ends - starts
-        self.longest = int(self.sizes.max())
+        self.longest = -(-int(self.sizes.max()) // 8) * 8  # rows of edges are whole words of bytes
         known: dict[int, int] = {}
         for n, (start, size) in enumerate(zip(starts.tolist(), self.sizes.tolist())):
             key = 0
@@ -170,6 +171,8 @@ class Lattice:
         left = np.repeat(starts + sizes, sizes) - np.arange(total)
         alive, key, rest = np.arange(total), np.zeros(total, np.uint64), left
         for k in range(n):
+            if not len(alive):
+                break
             key = key * np.uint64(_MULTIPLIER) + codes[alive + k] + np.uint64(1)
             found = self._find(key)
             pieces[alive, k] = np.maximum(found, -1)
@@ -269,7 +272,12 @@ class Sampler:
             edge = self.edge_at[at]
             own = self.owner[at]
             draw = _uniform(salt[own] + (at - self.firsts[own]).astype(np.uint64)).astype(np.float32)
-            step = (self.ladder[edge] > draw[:, None]).argmax(axis=1)
+            # Edges whose chances end at or below the draw, counted eight bytes at a time.
+            passed = (self.ladder[edge] <= np.minimum(draw, _BELOW_ONE)[:, None]).view(np.uint64)
+            counted = (passed * np.uint64(0x0101010101010101)) >> np.uint64(56)
+            step = counted[:, 0].astype(np.int64)
+            for column in range(1, counted.shape[1]):
+                step += counted[:, column].astype(np.int64)
             taken = pieces[edge * lengths + step]
             ends = self.unit_ends[at]
             after = at + step + 1
