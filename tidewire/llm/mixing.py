@@ -132,7 +132,8 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key:
     before = Window.partitionBy("name").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("name", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     within = F.row_number().over(Window.partitionBy("name", "bucket").orderBy("order", "content"))
-    ranked = rows.withColumn("within", within).join(F.broadcast(offsets), ["name", "bucket"]).withColumn("rank", F.col("offset") + F.col("within") - 1)
+    # The rows lie by source and bucket already, for their numbers within.
+    ranked = rows.withColumn("within", within).join(offsets, ["name", "bucket"]).withColumn("rank", F.col("offset") + F.col("within") - 1)
     # Phases in which a source took no block repeat its first block: the last of them is the one that took it.
     phase = F.size(F.filter("firsts", lambda first: first <= F.col("block"))) - 1
     phased = ranked.withColumn("block", F.floor(F.col("rank") / BLOCK_ROWS)).join(sources, "name").withColumn("phase", phase)

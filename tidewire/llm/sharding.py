@@ -17,7 +17,7 @@ from tidewire.llm.common import stored, whole_text
 
 #: Hex digits of the key's hash that make a bucket: 4,096 buckets a shard.
 BUCKET_DIGITS = 3
-#: Shards that one call may have; with the buckets, it bounds the table of offsets that is broadcast.
+#: Shards that one call may have.
 MAX_SHARDS = 1024
 _HASH_DIGITS = 13
 
@@ -52,6 +52,6 @@ def assign_shards(docs: DataFrame, weights: Sequence[float], grown: Sequence[flo
     offsets = rows.groupBy("shard", "bucket").count().select(
         "shard", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     within = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("doc_id", "size", "text_crc32"))
-    # At most MAX_SHARDS * 16^BUCKET_DIGITS offsets of a few bytes each.
-    return rows.withColumn("within", within).join(F.broadcast(offsets), ["shard", "bucket"]).select(
+    # The rows lie by shard and bucket already, for their numbers within.
+    return rows.withColumn("within", within).join(offsets, ["shard", "bucket"]).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("offset") + F.col("within") - 1).cast("long").alias("slot"), "grown_shard")
