@@ -146,3 +146,16 @@ def test_sql_functions_equal_columns(spark):
         F.expr("tw_chunk_payload(x, 9)") == text.chunk_payload(F.col("x"), 9),
     )
     assert all(all(r) for r in both.collect())
+
+
+def test_failover_chain_counts_the_halvings_before_success(spark):
+    from tidewire.operators.extraction import failover_chain
+
+    tries = [
+        (1, 1, 1, 413), (1, 1, 2, 429), (1, 1, 3, 413), (1, 1, 4, 200), (1, 2, 5, 413), (1, 2, 6, 200),  # the fourth try is not made
+        (2, 1, 1, 500), (2, 1, 2, 413), (2, 2, 3, 200),  # a fatal status ends its tier
+        (3, 1, 1, 413), (3, 2, 2, 500),
+    ]
+    rows = spark.createDataFrame([(*t, f"p{t[2]}") for t in tries], "doc_id long, tier int, attempt long, status int, payload string")
+    found = {r.doc_id: (r.tier, r.attempt, r.payload, r.shrinks) for r in failover_chain(rows).collect()}
+    assert found == {1: (2, 6, "p6", 3), 2: (2, 3, "p3", 0), 3: (None, None, None, None)}

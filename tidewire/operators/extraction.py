@@ -54,6 +54,30 @@ def select_first_success(
     return tiers.groupBy("doc_id").agg(best.alias("_best")).select("doc_id", "_best.tier", "_best.attempt", "_best.payload")
 
 
+def failover_chain(
+    attempts: DataFrame,
+    tier_attempts: int = fixed.TIER_ATTEMPTS,
+    retry_statuses: Sequence[int] = tuple(fixed.RETRY_STATUSES),
+) -> DataFrame:
+    """(doc_id, tier, attempt, payload, shrinks): the first success as in select_first_success, and how often the text was
+    halved before, that is the 413s that were tried in its tier and in earlier ones; all NULL but doc_id without success."""
+    place = F.row_number().over(Window.partitionBy("doc_id", "tier").orderBy("attempt"))
+    tried = attempts.withColumn("_place", place).where(F.col("_place") <= tier_attempts)
+    # At most tier_attempts tries of a tier, and one row for each of a document's tiers.
+    tries = F.sort_array(F.collect_list(F.struct("attempt", "status", "payload")))
+    tiers = tried.groupBy("doc_id", "tier").agg(tries.alias("_tries"))
+    last = F.try_element_at(F.filter("_tries", lambda t: ~t["status"].isin(*retry_statuses)), F.lit(1))
+    stopped = tiers.withColumn("_last", last)
+    too_large = F.filter("_tries", lambda t: (t["status"] == 413) & (F.col("_last").isNull() | (t["attempt"] < F.col("_last.attempt"))))
+    won = F.coalesce(F.col("_last.status") == 200, F.lit(False))
+    steps = stopped.select("doc_id", F.struct(
+        "tier", won.alias("won"), F.size(too_large).alias("shrunk"), F.col("_last.attempt").alias("attempt"), F.col("_last.payload").alias("payload")).alias("_step"))
+    chains = steps.groupBy("doc_id").agg(F.sort_array(F.collect_list("_step")).alias("_chain"))
+    best = chains.withColumn("_best", F.try_element_at(F.filter("_chain", lambda s: s["won"]), F.lit(1)))
+    shrinks = F.aggregate(F.filter("_chain", lambda s: s["tier"] <= F.col("_best.tier")), F.lit(0), lambda a, s: a + s["shrunk"])
+    return best.select("doc_id", "_best.tier", "_best.attempt", "_best.payload", F.when(F.col("_best").isNotNull(), shrinks).alias("shrinks"))
+
+
 def split_outcomes(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(extracted, exhausted)."""
     extracted = outcomes.where(F.col("tier").isNotNull())

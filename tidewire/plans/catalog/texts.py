@@ -54,7 +54,15 @@ def tier_exhausted(spark, sf):
     return extraction.split_outcomes(tier_failover_select(spark, sf))[1]
 
 
+def plan_extract_records(spark, sf):
+    """Pages through cleaning, cutting, tiers with halved texts and typed validation."""
+    done = records.extracted_startups(fx.derive(spark, sf, fx.HTML), fx.derive(spark, sf, fx.EXTRACTIONS))
+    return done.select(
+        "page_id", "tier", "attempt", "shrinks", F.md5("sent").alias("sent"), "reason", "record.entityName", "record.employeeCount")
+
+
 QUERIES = {
+    "plan_extract_records": plan_extract_records,
     "clean_html": lambda s, d: fx.derive(s, d, fx.HTML).select("page_id", text.clean_html(c("html")).alias("text")),
     "collapse_ws": lambda s, d: fx.table(s, d, "documents").select("doc_id", text.collapse_ws(c("text")).alias("text")),
     "chunk_payload": chunk_payload,
@@ -86,7 +94,20 @@ _ATTEMPTS = f"""WITH placed AS (
 )
 """
 
+_EXTRACT = _ATTEMPTS.replace(fx.oracle(fx.ATTEMPTS), fx.oracle(fx.EXTRACTIONS)).replace("WITH placed", f"""WITH RECURSIVE rungs(page_id, step, body) AS (
+  SELECT page_id, 0, {sql.chunk('clean', '4000')} FROM {_CLEAN} AS k
+  UNION ALL SELECT page_id, step + 1, {sql.chunk('body', 'CAST(floor(length(body) / 2) AS BIGINT)')} FROM rungs WHERE step < 9
+), placed""", 1)
+
 ORACLES = {
+    "plan_extract_records": _EXTRACT + """, first AS (SELECT * FROM won WHERE nth = 1),
+shrunk AS (SELECT f.doc_id, count(t.attempt) AS shrinks FROM first AS f LEFT JOIN tried AS t
+  ON t.doc_id = f.doc_id AND t.status = 413 AND t.fatal = 0 AND (t.tier < f.tier OR t.tier = f.tier AND t.attempt < f.attempt) GROUP BY 1)
+SELECT p.page_id, tier, attempt, CAST(shrinks AS INTEGER) AS shrinks, md5(body) AS sent,
+  CASE WHEN tier IS NULL THEN 'exhausted' WHEN attempt % 5 = 0 THEN 'corrupt' WHEN attempt % 5 = 1 THEN 'missing entityName' END AS reason,
+  CASE WHEN attempt % 5 > 1 THEN concat('E', p.page_id) END AS "entityName", CASE WHEN attempt % 5 > 1 THEN CAST(attempt % 90 AS INTEGER) END AS "employeeCount"
+FROM pages AS p LEFT JOIN first AS f ON f.doc_id = p.page_id LEFT JOIN shrunk AS s ON s.doc_id = p.page_id
+LEFT JOIN rungs AS r ON r.page_id = p.page_id AND r.step = s.shrinks""",
     "clean_html": f"SELECT page_id, clean AS text FROM {_CLEAN} AS k",
     "collapse_ws": f"SELECT doc_id, {sql.collapse('text')} AS text FROM documents",
     "chunk_payload": "SELECT doc_id, " + ", ".join(f"md5({sql.chunk('text', str(n))}) AS chunk_{n}" for n in SIZES) + " FROM documents",

@@ -101,6 +101,12 @@ SELECT user_id AS doc_id, CAST(event_id % 3 + 1 AS INT) AS tier, event_id AS att
 FROM {events}
 """
 
+# The same attempts, with typed records as what a success brings, some of them broken.
+EXTRACTIONS = ATTEMPTS.replace("props AS payload", """CASE event_id % 5
+  WHEN 0 THEN concat('{{"source_name":"s","source_url":"u","entityName":"E', user_id, '"')
+  WHEN 1 THEN concat('{{"source_name":"s","source_url":"u","collectedAt":"c"}}')
+  ELSE concat('{{"source_name":"s","source_url":"u","entityName":"E', user_id, '","employeeCount":', event_id % 90, ',"collectedAt":"c"}}') END AS payload""")
+
 PAYLOADS = """
 SELECT p_partkey AS rec_id, CASE p_partkey % 4
   WHEN 0 THEN concat('{{"source_name":"s","source_url":"u","entityName":"', p_name, '","employeeCount":', p_size, ',"collectedAt":"2024-01-01T00:00:00Z"}}')
