@@ -7,8 +7,9 @@ share still outweigh those that tell them apart. Weights are rounded to 1/32 pow
 and ICWS's random numbers drawn from a pool of 65,536 by the shingle's hash, a sample is a table look-up.
 
 Texts with an equal band of samples meet in a bucket. Buckets of up to SMALL_BUCKET texts compare all of them, by the exact
-weighted Jaccard similarity; links of at least THRESHOLD join classes. In larger buckets every text is compared with a few
-that lie in other classes, in rounds with other partners each, until a round brings no link. So no bucket is cut, and
+weighted Jaccard similarity; links of at least THRESHOLD join classes. Larger buckets are refined: their texts meet again where
+two of their bands agree, so that mostly similar ones do. In refined buckets that are still large every text is compared with
+a few that lie in other classes, in rounds with other partners each, until a round brings no link. So no bucket is cut, and
 none gives pairs that grow with the square of its size.
 
 Equal texts are one node from the start and need no links. A text of fewer than five words is one shingle; null and empty
@@ -40,9 +41,10 @@ SHINGLE, THRESHOLD = 5, 0.8
 SAMPLES, BAND = 48, 3
 #: Texts of a bucket that are all compared with each other.
 SMALL_BUCKET = 16
-#: Partners of a larger bucket's texts in the first and in each later round. The first brings most of a large
-#: class together; only what is left needs many.
-PARTNERS = (1, 12)
+#: Distances of the two bands that make a refined bucket: 32 of them, of which a pair at the threshold shares 8 on average.
+REFINED = (1, 3)
+#: Partners of a large refined bucket's texts in the first and in each later round.
+PARTNERS = (1, 2)
 DF_BITS = 18
 #: Steps of weights per power of two, and steps in all: tf up to 2^31.
 STEPS, LEVELS = 32, 1024
@@ -252,6 +254,12 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
+def _with_sizes(placed: DataFrame) -> DataFrame:
+    """Rows of buckets that hold more than one text, with the bucket's size."""
+    sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return placed.join(sizes, "bucket")
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, class_id (largest key of the class), class_size, n_links, kept, name (see row_name).
 
@@ -263,9 +271,14 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     signed = f"doc_id {dict(docs.dtypes)[key]}, name string, node string, bands array<long>"
     rows = stored(docs.select(F.col(key).alias("doc_id"), row_name(key, text).alias("name"), node.alias("node"), body.alias("text")).mapInArrow(_signer(idf), signed), "near-signed")
     nodes = rows.groupBy("node").agg(F.first("bands").alias("bands"))
-    placed = nodes.select("node", F.explode("bands").alias("bucket"))
-    crowded = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    met = stored(placed.join(crowded, "bucket"), "near-met")
+    placed = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    coarse = stored(_with_sizes(placed), "near-coarse")
+    bands = SAMPLES // BAND
+    own = coarse.where(f"size > {SMALL_BUCKET}").groupBy("node").agg(F.collect_list(F.struct("band", "bucket")).alias("own"))
+    beside = lambda x: F.filter("own", lambda y: F.pmod(y["band"] - x["band"], F.lit(bands)).isin(*REFINED))
+    twos = F.flatten(F.transform("own", lambda x: F.transform(beside(x), lambda y: F.xxhash64(x["bucket"], y["bucket"]))))
+    fine = _with_sizes(own.select("node", F.explode(twos).alias("bucket")))
+    met = stored(coarse.where(f"size <= {SMALL_BUCKET}").select("node", "bucket", "size").unionByName(fine), "near-met")
     chosen = met.select("node").distinct()
     likely = maybe_in(key_map(chosen), F.col("node"))
     texts = stored(docs.select(node.alias("node"), body.alias("text")).where(likely).join(chosen, "node", "left_semi").dropDuplicates(["node"]), "near-texts")
