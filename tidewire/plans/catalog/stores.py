@@ -82,6 +82,13 @@ def src_hub_files(spark, sf):
     return rows.select("item_pos", "id", "author", "downloads", "likes", F.array_join("tags", ",").alias("tags"))
 
 
+def _kept(df, label):
+    """df written once to the shared folder, for what reads it several times."""
+    path = session.fresh_path(df.sparkSession, "graph-inputs") + "/" + label
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _graph_inputs(spark, sf):
     items = hub.items(spark, sf)
     dictionary = resolve.dictionary_frame(spark)
@@ -89,12 +96,12 @@ def _graph_inputs(spark, sf):
     raw = first.select(names.clean_org_name(c("author")).alias("raw_name"))
     owners = paper_queries.repos(spark, sf).select(c("owner").alias("raw_name"))
     mapping = resolve.resolve_entities(resolve.distinct_names(raw, owners), dictionary)
-    organizations = mapping.select(c("canonical_name").alias("org"))
+    organizations = _kept(mapping.select(c("canonical_name").alias("org")), "organizations")
     products = dedup.first_seen_products(items).select(
         rules.hub_url(c("id"), c("list_url")).alias("product_url"), names.product_org(c("id")).alias("org")
     )
     linked = paper_queries._resolved()(spark, sf).withColumn("title", F.concat(F.lit("Paper "), c("doc_id").cast("string")))
-    papers = linked.select(F.concat(F.lit("p/"), c("doc_id").cast("string")).alias("paper_url"), "title", "github_url")
+    papers = _kept(linked.select(F.concat(F.lit("p/"), c("doc_id").cast("string")).alias("paper_url"), "title", "github_url"), "papers")
     items_ = signal_queries.dated(spark, sf).where("published IS NOT NULL")
     event = c("event_id")
     jobs = items_.select(
