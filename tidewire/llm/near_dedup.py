@@ -43,8 +43,8 @@ SAMPLES, BAND = 48, 3
 SMALL_BUCKET = 16
 #: Distances of the two bands that make a refined bucket: 32 of them, of which a pair at the threshold shares 8 on average.
 REFINED = (1, 3)
-#: Partners of a large refined bucket's texts in the first and in each later round.
-PARTNERS = (1, 2)
+#: Partners of a large refined bucket's texts in the first, second, third and each later round.
+PARTNERS = (1, 2, 4, 8)
 DF_BITS = 18
 #: Steps of weights per power of two, and steps in all: tf up to 2^31.
 STEPS, LEVELS = 32, 1024
