@@ -122,6 +122,45 @@ def test_near_groups_match_all_pairs(spark):
     assert found[2].n_links > 0 and found[texts.index("short one")].n_links == 0
 
 
+def class_of(spark, texts):
+    found = near_dedup.near_groups(docs(spark, texts)).collect()
+    return [r.class_id for r in sorted(found, key=lambda r: r.doc_id)]
+
+
+def same_classes(found, want):
+    return len(set(zip(found, want))) == len(set(found)) == len(set(want))
+
+
+def sparse_pairs():
+    """Texts that share a template and are not near, and few pairs that just are, by half of their own words."""
+    template = [f"t{i}" for i in range(150)]
+    texts = [" ".join(template + [f"o{i}_{k}" for k in range(22)]) for i in range(500)]
+    return texts + [" ".join(template + [f"o{i}_{k}" if k < 12 else f"c{i}_{k}" for k in range(22)]) for i in range(0, 500, 25)]
+
+
+def test_sparse_pairs_of_a_large_bucket_are_all_found(spark):
+    texts = sparse_pairs()
+    want, links = brute_classes(texts, near_dedup.idf_table(docs(spark, texts)))
+    assert len(links) == 20
+    assert same_classes(class_of(spark, texts), want)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 1 << 30))
+def test_prefixes_hold_the_first_shared_shingle_of_every_near_pair(seed):
+    draw = random.Random(seed)
+    words = [f"w{i}" for i in range(30)]
+    base = draw.choices(words, k=draw.randrange(5, 80))
+    other = base[draw.randrange(3) :] + draw.choices(words, k=draw.randrange(4))
+    idf, rarity = (np.random.default_rng(seed + k).uniform(1, 1.5, 1 << near_dedup.DF_BITS).astype(np.float32) for k in range(2))
+    own = [(h, near_dedup.weights_of(near_dedup.levels_of(h, c, idf))) for h, c in near_dedup.shingles(pa.array([" ".join(base), " ".join(other)]))]
+    similar = near_dedup.weighted_jaccard(*own)
+    first, second = (dict(zip(*near_dedup.prefixes(x, rarity))) for x in own)
+    bound = near_dedup.THRESHOLD / (1 + near_dedup.THRESHOLD) * sum(w.sum() for _, w in own)
+    reached = any(min(first[h], second[h]) >= bound - near_dedup.SLACK for h in first.keys() & second.keys())
+    assert reached or similar < near_dedup.THRESHOLD
+
+
 def test_near_groups_on_awkward_rows(spark):
     found = near_dedup.near_groups(awkward(spark)).collect()
     assert len(found) == 9

@@ -7,10 +7,12 @@ share still outweigh those that tell them apart. Weights are rounded to 1/32 pow
 and ICWS's random numbers drawn from a pool of 65,536 by the shingle's hash, a sample is a table look-up.
 
 Texts with an equal band of samples meet in a bucket. Buckets of up to SMALL_BUCKET texts compare all of them, by the exact
-weighted Jaccard similarity; links of at least THRESHOLD join classes. Larger buckets are refined: their texts meet again where
-two of their bands agree, so that mostly similar ones do. In refined buckets that are still large every text is compared with
-a few that lie in other classes, in rounds with other partners each, until a round brings no link. So no bucket is cut, and
-none gives pairs that grow with the square of its size.
+weighted Jaccard similarity; links of at least THRESHOLD join classes. The texts of larger buckets are joined in two steps.
+First rounds that only save work: the texts meet again where two of their bands agree, and in what is still large every text
+is compared with a few that lie in other classes, with other partners each round, until a round brings no link. Then an exact
+step: of all texts that lie in a large bucket, any two of different classes are compared that can reach THRESHOLD by a prefix
+filter (see prefixes), which loses no pair. So a pair is compared, or its texts are in one class already, if it shares any
+band, whatever the sizes of its buckets; the large ones' texts are even joined without a common band.
 
 Equal texts are one node from the start and need no links. A text of fewer than five words is one shingle; null and empty
 texts have none and are a class of their own. Rows without a key take part; a class of such rows alone has a null id. Of
@@ -45,6 +47,8 @@ SMALL_BUCKET = 16
 REFINED = (1, 3)
 #: Partners of a large refined bucket's texts in the first, second, third and each later round.
 PARTNERS = (1, 2, 4, 8)
+#: What sums of weights may differ by when added up in another order.
+SLACK = 1e-6
 DF_BITS = 18
 #: Steps of weights per power of two, and steps in all: tf up to 2^31.
 STEPS, LEVELS = 32, 1024
@@ -149,6 +153,20 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(shared / (a[1].sum() + b[1].sum() - shared)) if shared else 0.0
 
 
+def prefixes(own: tuple[np.ndarray, np.ndarray], rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, rests) of the first shingles of (hashes, weights), by rarity and hash; a rest is the weight from there on.
+
+    Two texts of similarity THRESHOLD t and total weights v, w share a weight of at least t / (1 + t) * (v + w), which is at
+    least t * max(v, w). So the first shingle that they share has a rest of that much in both, and lies in both prefixes, those
+    of rests of at least t times the total.
+    """
+    hashes, weights = own
+    order = np.lexsort((hashes, -rarity[_bucket(hashes)]))
+    rests = np.cumsum(weights[order][::-1])[::-1]
+    held = rests >= THRESHOLD * weights.sum() - SLACK
+    return hashes[order][held], rests[held]
+
+
 class Sampler:
     """ICWS with pooled random numbers: ln a = ln c - r (t - beta) - r, t = floor(ln w / r + beta); the least a is sampled."""
 
@@ -236,6 +254,41 @@ def _verifier(idf: np.ndarray) -> Callable:
     return verify
 
 
+def _prefixer(idf: np.ndarray, rarity: np.ndarray) -> Callable:
+    def prefix(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = []
+            for hashes, counts in shingles(batch.column("text")):
+                weights = weights_of(levels_of(hashes, counts, idf))
+                found.append((*prefixes((hashes, weights), rarity), weights.sum()))
+            sizes = [len(hashes) for hashes, _, _ in found]
+            owners = batch.column("node").take(pa.array(np.repeat(np.arange(len(found)), sizes)))
+            yield pa.RecordBatch.from_arrays(
+                [owners, pa.array(np.concatenate([h for h, _, _ in found]).astype(np.int64)), pa.array(np.concatenate([r for _, r, _ in found])),
+                 pa.array(np.repeat([w for _, _, w in found], sizes))], ["node", "shingle", "rest", "total"])
+
+    return prefix
+
+
+def unjoined_pairs(texts: DataFrame, roots: DataFrame, idf: np.ndarray) -> DataFrame:
+    """(a, b): all pairs of texts (node, text) of different classes that may have a similarity of THRESHOLD, and few others.
+
+    roots (node, root, members) has the classes of more than one text.
+    """
+    first = stored(texts.mapInArrow(_prefixer(idf, idf_table(texts)), "node string, shingle long, rest double, total double"), "near-prefixes")
+    placed = first.join(roots, "node", "left").select(
+        "shingle", "node", "rest", "total", F.coalesce("root", "node").alias("root"), F.coalesce("members", F.lit(1)).alias("members"))
+    # Of two classes one is not the shingle's main one, so texts of the main one need not meet each other.
+    mains = placed.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.max_by("root", F.struct("members", "root")).alias("main"))
+    shared = stored(placed.join(mains.where("least < most").select("shingle", "main"), "shingle"), "near-shared")
+    side = lambda x: shared.select("shingle", *(F.col(c).alias(f"{x}_{c}") for c in ("node", "rest", "total", "root", "main")))
+    needed = (F.col("a_total") + F.col("b_total")) * F.lit(THRESHOLD / (1 + THRESHOLD)) - F.lit(SLACK)
+    met = side("a").where("a_root <> a_main").join(side("b").drop("b_main"), "shingle").where(
+        (F.col("a_root") != F.col("b_root")) & (F.least("a_rest", "b_rest") >= needed)
+        & ((F.col("b_root") == F.col("a_main")) | (F.col("a_node") < F.col("b_node"))))
+    return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of all nodes of the links (a, b), by alternating large and small stars until nothing changes."""
     def summary(edges):
@@ -286,32 +339,45 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     spark = docs.sparkSession
     verified = fresh_path(spark, "llm/near-verified")
     roots, number, kinds = spark.createDataFrame([], "node string, root string, members long"), 0, "a string, b string, similarity double"
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        """The links among the pairs that no round has compared yet, in the same direction."""
+        pairs = pairs.distinct()
+        if number:
+            pairs = pairs.join(spark.read.schema(kinds).parquet(verified), ["a", "b"], "left_anti")
+        both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b").join(
+            texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
+        both.select("a", "b", "a_text", "b_text").mapInArrow(_verifier(idf), kinds).write.parquet(f"{verified}/round={number}")
+        return spark.read.schema(kinds).parquet(f"{verified}/round={number}").where(F.col("similarity") >= THRESHOLD)
+
+    def joined(fresh: DataFrame) -> DataFrame:
+        """Classes with the fresh links; those so far are single nodes to them."""
+        links = fresh.select("a", "b")
+        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b")) if number else None
+        found = components(links.unionByName(known) if known is not None else links)
+        return stored(found.join(found.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "root"), "near-roots")
+
     while True:
         classed = met.where(f"size > {SMALL_BUCKET}").select("bucket", "node").join(roots, "node", "left").select(
             "bucket", "node", F.coalesce("root", "node").alias("root"), F.coalesce("members", F.lit(1)).alias("members"))
         orders = [F.xxhash64("node", "bucket", F.lit(number), F.lit(i)) for i in range(PARTNERS[min(number, len(PARTNERS) - 1)])]
         partners = F.array(*(F.struct(F.min_by("node", x).alias("a"), F.min_by("root", x).alias("a_root"), F.min_by("members", x).alias("a_members")) for x in orders))
         leads = classed.groupBy("bucket").agg(partners.alias("leads")).select("bucket", F.inline("leads"))
-        # The members of a large class need not meet each small one: the small one's meet some of theirs.
+        # The members of a large class need not meet each small one: the small one's meet some of theirs, and the exact step all.
         pairs = classed.join(leads, "bucket").where("root <> a_root and members <= a_members").select("a", F.col("node").alias("b"))
         if number == 0:
             few = met.where(f"size <= {SMALL_BUCKET}").select("bucket", "node")
             pairs = pairs.unionByName(few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), "bucket").where("a < b").select("a", "b"))
-        pairs = pairs.distinct()
-        if number:
-            pairs = pairs.join(spark.read.schema(kinds).parquet(verified), ["a", "b"], "left_anti")
-        both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b").join(
-            texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
-        both.select("a", "b", "a_text", "b_text").mapInArrow(_verifier(idf), kinds).write.parquet(f"{verified}/round={number}")
-        fresh = spark.read.schema(kinds).parquet(f"{verified}/round={number}").where(F.col("similarity") >= THRESHOLD)
+        fresh = verify(pairs)
         if fresh.isEmpty() and number:
             break
-        # Classes so far are single nodes to the round's links.
-        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b")) if number else None
-        links = fresh.select("a", "b")
-        found = components(links.unionByName(known) if known is not None else links)
-        roots = stored(found.join(found.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "root"), "near-roots")
+        roots = joined(fresh)
         number += 1
+    number += 1
+    large = texts.join(met.where(f"size > {SMALL_BUCKET}").select("node"), "node", "left_semi")
+    fresh = verify(unjoined_pairs(large, roots, idf))
+    if not fresh.isEmpty():
+        roots = joined(fresh)
     links = spark.read.schema(kinds).parquet(verified).where(F.col("similarity") >= THRESHOLD)
 
     ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
