@@ -161,6 +161,18 @@ def test_prefixes_hold_the_first_shared_shingle_of_every_near_pair(seed):
     assert reached or similar < near_dedup.THRESHOLD
 
 
+def test_the_size_of_a_bucket_changes_no_pair(spark, monkeypatch):
+    draw, texts = random.Random(6), []
+    for i in range(900):  # pairs just above the threshold, of which some share no two bands at a refined distance
+        base = [f"p{i}_{k}" for k in range(draw.randrange(60, 100))]
+        texts += [" ".join(base), " ".join(base[: int(len(base) * 0.815) + 1])]
+    small = class_of(spark, texts)
+    monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 1)
+    large = class_of(spark, texts)
+    missed = sum(small[i] == small[i + 1] and large[i] != large[i + 1] for i in range(0, len(texts), 2))
+    assert missed == 0 and len(set(small)) < 950
+
+
 def test_near_groups_on_awkward_rows(spark):
     found = near_dedup.near_groups(awkward(spark)).collect()
     assert len(found) == 9

@@ -39,11 +39,12 @@ from tidewire.session import fresh_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: Samples in all and per band: a pair at the threshold misses all bands with a chance of 1e-5.
+#: Samples in all and per band: a pair at the threshold misses all bands with a chance of 1e-5. That is the chance to miss a
+#: pair at all, whatever the sizes of its buckets; two texts that both lie in large buckets are not missed even then.
 SAMPLES, BAND = 48, 3
 #: Texts of a bucket that are all compared with each other.
 SMALL_BUCKET = 16
-#: Distances of the two bands that make a refined bucket: 32 of them, of which a pair at the threshold shares 8 on average.
+#: Distances of the two bands that make a refined bucket. They save comparisons; pairs without such bands meet in the exact step.
 REFINED = (1, 3)
 #: Partners of a large refined bucket's texts in the first, second, third and each later round.
 PARTNERS = (1, 2, 4, 8)
@@ -332,7 +333,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     twos = F.flatten(F.transform("own", lambda x: F.transform(beside(x), lambda y: F.xxhash64(x["bucket"], y["bucket"]))))
     fine = _with_sizes(own.select("node", F.explode(twos).alias("bucket")))
     met = stored(coarse.where(f"size <= {SMALL_BUCKET}").select("node", "bucket", "size").unionByName(fine), "near-met")
-    chosen = met.select("node").distinct()
+    chosen = coarse.select("node").distinct()
     likely = maybe_in(key_map(chosen), F.col("node"))
     texts = stored(docs.select(node.alias("node"), body.alias("text")).where(likely).join(chosen, "node", "left_semi").dropDuplicates(["node"]), "near-texts")
 
@@ -374,7 +375,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         roots = joined(fresh)
         number += 1
     number += 1
-    large = texts.join(met.where(f"size > {SMALL_BUCKET}").select("node"), "node", "left_semi")
+    large = texts.join(own.select("node"), "node", "left_semi")
     fresh = verify(unjoined_pairs(large, roots, idf))
     if not fresh.isEmpty():
         roots = joined(fresh)
