@@ -34,8 +34,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of each text, in the order of docs."""
-    return sampled_pieces.sample_segmentations(docs)
+    """Sampled segmentations of each text with its slot and place in the mix, worked out again from the rows, as Spark does not
+    read the files of the stage before in order. mix_slot, mix_place and sample give the order of the mix."""
+    return sampled_pieces.sample_segmentations(mixing.in_mixed_order(docs, places=True), carried=mixing.PLACES)
 
 
 STAGES = [
@@ -51,7 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another, each written to the shared folder and read again."""
+    """The stages one after another, each written to the shared folder and read again.
+
+    The rows come as Spark reads them; their order in the mix is that of mix_slot, mix_place and sample.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = fresh_path(spark, f"llm/pipeline-{name}")

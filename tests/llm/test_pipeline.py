@@ -59,3 +59,15 @@ def test_each_stage_against_its_brute_force(spark, made):
 
 def test_run_gives_the_last_stage(spark, made):
     assert corpus_pipeline.run(spark, made[0]).count() == made[1][-1].count()
+
+
+def test_the_mix_can_be_read_from_the_written_result(spark, made, tmp_path):
+    near = made[1][3]
+    want = {r.doc_id: (r.slot, r.place) for r in mixing.mix(near).collect()}
+    # Files of the mixed rows in an order that is not the mix's, as Spark may read them.
+    made[1][4].repartition(5, "text").write.parquet(f"{tmp_path}/mixed")
+    corpus_pipeline.encode_pieces(spark, spark.read.parquet(f"{tmp_path}/mixed"), made[0]).repartition(7, "doc_id").write.parquet(f"{tmp_path}/pieces")
+    for pieces in (made[1][5], spark.read.parquet(f"{tmp_path}/pieces")):
+        rows = pieces.orderBy("mix_slot", "mix_place", "sample").where("sample = 0").collect()
+        assert [r.doc_id for r in rows] == sorted(want, key=want.get)
+        assert all((r.mix_slot, r.mix_place) == want[r.doc_id] for r in rows)

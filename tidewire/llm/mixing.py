@@ -28,6 +28,8 @@ RESOLUTION = 1000
 MAX_SOURCES = 200
 #: Rows of a block.
 BLOCK_ROWS = 32
+#: Columns of a row's slot and its place within, where in_mixed_order adds them.
+PLACES = ("mix_slot", "mix_place")
 #: Hex digits of the row's hash that divide a source for numbering.
 BUCKET_DIGITS = 3
 
@@ -148,8 +150,14 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key:
         (F.col("rank") % BLOCK_ROWS).alias("place"), "phase", "content")
 
 
-def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, float] | None = None, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """All rows of docs in the order of the mix: written out, the files in order of name hold the slots in order."""
+def in_mixed_order(
+    docs: DataFrame, weights: Mapping[str | None, float] | None = None, key: str = "doc_id", source: str = "source", text: str = "text", places: bool = False
+) -> DataFrame:
+    """All rows of docs in the order of the mix: written out, the files in order of name hold the slots in order.
+
+    Spark reads files in another order. With places, the columns of PLACES are added, which any reader can sort by.
+    """
     mixed = mix(docs, weights, key, source, text).groupBy("content").agg(F.min("slot").alias("slot"), F.min("place").alias("place"))
     rows = packed(docs, content=row_name(key, text)).join(mixed, "content")
-    return unpacked(rows.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(ROW))
+    ordered = rows.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
+    return ordered.select(f"{ROW}.*", *(F.col(x).alias(name) for x, name in zip(("slot", "place"), PLACES))) if places else unpacked(ordered.select(ROW))

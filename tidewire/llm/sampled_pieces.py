@@ -427,11 +427,14 @@ def _encoder(vocabulary: Vocabulary, samples: int) -> Callable:
     return encode
 
 
-def sample_segmentations(docs: DataFrame, vocabulary: Vocabulary | None = None, samples: int = SAMPLES, key: str = "doc_id", text: str = "text") -> DataFrame:
+def sample_segmentations(
+    docs: DataFrame, vocabulary: Vocabulary | None = None, samples: int = SAMPLES, key: str = "doc_id", text: str = "text", carried: tuple[str, ...] = ()
+) -> DataFrame:
     """Up to `samples` rows per input row, in falling order of value: doc_id, sample, ids, n_tokens, log_prob, perturbed,
-    log_inclusion (log of the chance to be among the samples, given the value left), round_trip (decoding gives the text)."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(key).alias("seed"), F.col(text).alias("text"))
-    kinds = f"doc_id {dict(docs.dtypes)[key]}, sample int, ids array<int>, n_tokens long, log_prob double, perturbed double, log_inclusion double, round_trip boolean"
+    log_inclusion (log of the chance to be among the samples, given the value left), round_trip (decoding gives the text). The carried columns follow doc_id."""
+    rows = docs.select(F.col(key).alias("doc_id"), *carried, F.xxhash64(key).alias("seed"), F.col(text).alias("text"))
+    own = "".join(f"`{x}` {dict(docs.dtypes)[x]}, " for x in carried)
+    kinds = f"doc_id {dict(docs.dtypes)[key]}, {own}sample int, ids array<int>, n_tokens long, log_prob double, perturbed double, log_inclusion double, round_trip boolean"
     return rows.mapInArrow(_encoder(vocabulary or load_vocabulary(), samples), kinds)
 
 
