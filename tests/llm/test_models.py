@@ -54,6 +54,23 @@ def test_held_out_languages_and_evidence(spark):
     assert all(found[i].language == ("fr" if i % 2 else "en") and found[i].kept for i in range(40))
 
 
+def test_a_rare_language_of_a_large_table_is_known(spark):
+    many = labelled(spark).crossJoin(spark.range(500).withColumnRenamed("id", "n")).selectExpr("doc_id * 500 + n as doc_id", "text", "lang", "source", "n_chars")
+    greek = "η γάτα κοιμάται στην καρέκλα και τα παιδιά παίζουν στον κήπο "
+    rare = frame(spark, [(100000 + i, greek[i:] + "με τους φίλους τους", "el", "www.c.example", 1) for i in range(3)])
+    # A key that comes in two languages and rows without a key train each language with its own texts only.
+    more = frame(spark, [(100000, ENGLISH, "en", "www.b.example", 1), (None, FRENCH, "fr", "www.a.example", 1), (None, ENGLISH, "en", "www.b.example", 1)])
+    # More languages than a table usually has, some without text.
+    tags = frame(spark, [(200000 + i, f"tag{i} " * 9, "x" + chr(97 + i // 26) + chr(97 + i % 26), "s", 1) for i in range(220)] + [(300000, None, "zz", "s", 1)])
+    rows = many.unionByName(rare).unionByName(more).unionByName(tags)
+    known, table = language.train(rows)
+    assert len(known) == 223 and {"el", "en", "fr"} <= set(known) and "zz" not in known and table.shape[1] == 223
+    assert language.train(many.unionByName(rare))[0] == ["el", "en", "fr"]
+    few = rare.unionByName(labelled(spark))
+    found = {r.doc_id: r for r in language.identify(few, language.train(many.unionByName(rare).unionByName(more))).collect()}
+    assert all(found[100000 + i].language == "el" and found[100000 + i].kept for i in range(3))
+
+
 def test_evidence_from_addresses(spark):
     rows = [(i, FRENCH if i % 2 else ENGLISH, None, None, 1) for i in range(20)]
     pages = frame(spark, rows).selectExpr("*", "if(doc_id % 2 = 1, 'https://m.site.fr/a', 'http://user@site.co.uk:80/b') as url")

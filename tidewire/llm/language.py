@@ -5,7 +5,7 @@ log P(language | all) is, up to a constant, the sum of
   - log P(declared language | language), from the declarations of all documents,
   - log P(address suffix | language), from the addresses of all documents,
   - log P(language | host), smoothed from host to registered domain to the whole corpus.
-The n-gram model is fitted on at most TRAIN_ROWS labelled rows; all other counts are grouped sums of the text posteriors of
+The n-gram model is fitted on at most LANGUAGE_ROWS rows of each declared language, so it has all of them; all other counts are grouped sums of the text posteriors of
 every document. "und" stands against the languages with evenly likely n-grams, so noise and unknown scripts go to it.
 
 A null or empty text has no n-grams and is "und", not kept. Missing declarations, addresses and hosts add nothing but the
@@ -21,16 +21,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewire.llm.arrow_slices import slices
 from tidewire.llm.common import row_name, stored, without
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Labelled rows that the n-gram model is fitted on at most, those with the smallest hashed keys, and languages at most.
-TRAIN_ROWS = 4000
-MAX_LANGUAGES = 200
+#: Rows of each declared language that the n-gram model is fitted on at most, those with the smallest hashed keys.
+LANGUAGE_ROWS = 1000
 #: Buckets of hashed n-grams of GRAM bytes.
 GRAM_BITS, GRAM = 16, 4
 #: Count that a slot has without any n-gram.
@@ -88,21 +87,28 @@ def _gram_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, columns: Columns = Columns()) -> tuple[list[str], np.ndarray]:
-    """(languages, log probabilities of the slots by language) from at most TRAIN_ROWS rows with a declared language."""
-    labelled = docs.select(F.col(columns.key).alias("id"), _primary(columns.declared).alias("lang")).where("lang is not null")
-    chosen = labelled.select("id", "lang").distinct().orderBy(F.xxhash64("id", "lang"), "id", "lang").limit(TRAIN_ROWS)
-    texts = docs.select(F.col(columns.key).alias("own"), F.col(columns.text).alias("text")).where("text is not null")
-    sample = texts.join(F.broadcast(chosen), F.col("own").eqNullSafe(F.col("id"))).select("lang", "text")
+    """(languages, log probabilities of the slots by language) from at most LANGUAGE_ROWS rows of each declared language.
+
+    A language of which no row has a text is not in the model.
+    """
+    texts = docs.select(F.col(columns.key).alias("own"), _primary(columns.declared).alias("own_lang"), F.col(columns.text).alias("text")).where("own_lang is not null and text <> ''")
+    labelled = texts.select(F.col("own").alias("id"), F.col("own_lang").alias("lang")).distinct()
+    # Each map task passes on at most LANGUAGE_ROWS rows of a language.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id", "lang"), "id"))
+    chosen = labelled.withColumn("rank", rank).where(F.col("rank") <= LANGUAGE_ROWS).drop("rank")
+    sample = texts.join(F.broadcast(chosen), F.col("own").eqNullSafe(F.col("id")) & (F.col("own_lang") == F.col("lang"))).select("lang", "text")
     counts = sample.mapInArrow(_gram_counts, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
-    # Bounded: MAX_LANGUAGES * 2^GRAM_BITS counts.
+    # At most 2^GRAM_BITS counts a language.
     rows = counts.toArrow()
-    langs = sorted(set(rows.column("lang").to_pylist()))
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    coded = rows.column("lang").combine_chunks().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    langs = sorted(names)
     table = np.full((1 << GRAM_BITS, len(langs)), UNSEEN)
     place = {lang: i for i, lang in enumerate(langs)}
-    np.add.at(table, (rows.column("slot").to_numpy(), [place[x] for x in rows.column("lang").to_pylist()]), rows.column("n").to_numpy())
-    return langs, np.log(table / table.sum(axis=0))
+    places = np.array([place[x] for x in names], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+    np.add.at(table, (rows.column("slot").to_numpy(), places), rows.column("n").to_numpy())
+    table /= table.sum(axis=0)
+    return langs, np.log(table, out=table)
 
 
 def _scorer(table: np.ndarray) -> Callable:
