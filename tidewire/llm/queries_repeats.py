@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import spelling, whitening
+from tidewire.llm import passages, spelling, whitening
 from tidewire.llm.common import table
 
 
@@ -10,11 +10,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variant_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op11_whitening": op11_whitening, "op13_spelling": op13_spelling}
+QUERIES = {"op11_whitening": op11_whitening, "op12_passages": op12_passages, "op13_spelling": op13_spelling}
 ORACLES = {
     # Near words by their deletions: one word is the other without a letter, or both lack the same place's letter.
     "op13_spelling": f"""
