@@ -4,7 +4,8 @@ The transform of a set is that of its suffixes, each string ended by a terminato
 strings' terminators in order. Merging takes no suffix of two shards in hand to compare them: the interleave starts as one
 block, shard after shard, and each round moves every entry to its predecessor's place, stably by the symbol that precedes it. After h
 rounds the blocks are the sets of suffixes that agree in h symbols (so the round in which neighbours part is the length of
-their common prefix). A suffix alone in its block stays alone whatever comes before it, so only blocks of several go on.
+their common prefix). A suffix alone in its block stays alone whatever comes before it, so only blocks of several go on. And a
+suffix takes part only if enough symbols stand before it to be the tail of one of the wanted length when the rounds end.
 """
 
 from __future__ import annotations
@@ -83,11 +84,11 @@ def merged(shards: list[tuple[np.ndarray, np.ndarray]], length: int) -> tuple[np
         on = left > 0
         at, who, left = steps[at[on]], who[on], left[on] - 1
 
-    entry, block = np.arange(len(symbols)), np.zeros(len(symbols), np.int64)
+    entry = np.flatnonzero(offset >= length)
+    block = np.zeros(len(entry), np.int64)
     for _ in range(length):
-        symbol = symbols[entry]
+        symbol = symbols[entry].astype(np.uint8)  # none of them stands at its string's start
         order = np.argsort(symbol, kind="stable")
-        order = order[: len(order) - int((symbol == END).sum())]
         symbol, entry, block = symbol[order], steps[entry[order]], block[order]
         if not len(entry):
             break
