@@ -15,10 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """df, written to the shared folder and read back: worked out once, and safe from lost executors."""
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """df, written to the shared folder (with the writer's options) and read back: worked out once, and safe from lost executors."""
     path = fresh_path(df.sparkSession, f"llm/{label}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

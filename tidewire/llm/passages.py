@@ -74,7 +74,7 @@ def _placed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]
 
 # Runs ------------------------------------------------------------------------------------------------------------------
 
-_OCCURRENCE = "anchor long, pos long, start long, windows int, echo int"
+_RUN = "anchor long, pos long, start long, windows int, echo int, h1 long, h2 long, content binary"
 
 
 def _cutter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,24 +84,26 @@ def _cutter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, base = data[ends[0] : ends[-1]].tobytes(), int(ends[0])
         spans = batch.column("spans")
         owner = np.repeat(np.arange(batch.num_rows), np.diff(spans.offsets.to_numpy()))
-        flat = dict(zip(("anchor", "start", "windows", "echo"), spans.flatten().flatten()))
-        begins = ends[owner] - base + flat["start"].to_numpy()
-        stops = begins + flat["windows"].to_numpy() + SPAN - 1
+        anchor, place = spans.flatten().flatten()
+        place = place.to_numpy()
+        start, windows, echo = place // 256, place % 256 // 2, place % 2
+        begins = ends[owner] - base + start
+        stops = begins + windows + SPAN - 1
         content = [raw[a:b] for a, b in zip(begins.tolist(), stops.tolist())]
         hashes = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in content), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
-            [flat["anchor"], batch.column("pos").take(pa.array(owner)), flat["start"], flat["windows"], flat["echo"],
+            [anchor, batch.column("pos").take(pa.array(owner)), pa.array(start), pa.array(windows.astype(np.int32)), pa.array(echo.astype(np.int32)),
              pa.array(np.ascontiguousarray(hashes[:, 0])), pa.array(np.ascontiguousarray(hashes[:, 1])), pa.array(content, pa.binary())],
             ["anchor", "pos", "start", "windows", "echo", "h1", "h2", "content"])
 
 
 def shared_runs(texts: DataFrame) -> DataFrame:
     """(anchor, pos, start, windows, echo, h1, h2, content) of all runs whose anchor the corpus has more than once."""
-    found = texts.mapInArrow(scanner, _OCCURRENCE)
-    shared = found.groupBy("anchor").agg(F.sum(F.col("echo") + 1).alias("times")).where("times > 1").select("anchor")
-    spans = found.join(shared, "anchor").groupBy("pos").agg(F.collect_list(F.struct("anchor", "start", "windows", "echo")).alias("spans"))
+    found = texts.mapInArrow(scanner, "anchor long, pos long, place long")
+    shared = found.groupBy("anchor").agg(F.sum(F.col("place") % 2 + 1).alias("times")).where("times > 1").select("anchor")
+    spans = found.join(shared, "anchor").groupBy("pos").agg(F.collect_list(F.struct("anchor", "place")).alias("spans"))
     cut = texts.join(spans, "pos").select("text", "pos", "spans")
-    return cut.mapInArrow(_cutter, f"{_OCCURRENCE}, h1 long, h2 long, content binary")
+    return cut.mapInArrow(_cutter, _RUN)
 
 
 # Transforms ------------------------------------------------------------------------------------------------------------
@@ -203,7 +205,7 @@ def _remover(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 of the bytes that stay."""
     rows, texts = _placed(docs, key, text)
-    spans = repeated_spans(stored(shared_runs(texts), "passages-runs"))
+    spans = repeated_spans(stored(shared_runs(texts), "passages-runs", compression="zstd"))
     lists = spans.groupBy("pos").agg(F.collect_list(F.struct("begin", "stop")).alias("spans"))
     cut = texts.join(lists, "pos").select("text", "pos", "spans")
     removed = cut.mapInArrow(_remover, "pos long, n_removed long, n_spans long, kept_sha256 string")

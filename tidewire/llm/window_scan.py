@@ -94,11 +94,15 @@ def runs(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]
         yield text, starts + at - ends[text], sizes, least[starts].astype(np.int64), echo
 
 
+def packed_place(start: np.ndarray, windows: np.ndarray, echo: np.ndarray) -> np.ndarray:
+    """One number for a run's start, windows (at most PLACES, so under 128) and echo."""
+    return start * 256 + windows * 2 + echo
+
+
 def scanner(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (pos, text) -> (anchor, pos, start, windows, echo)."""
+    """Rows (pos, text) -> (anchor, pos, place), see packed_place."""
     for batch in batches:
         data, ends = text_bytes(batch.column("text"))
         for text, start, windows, anchor, echo in runs(data, ends):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor), batch.column("pos").take(pa.array(text)), pa.array(start), pa.array(windows.astype(np.int32)), pa.array(echo.astype(np.int32))],
-                ["anchor", "pos", "start", "windows", "echo"])
+                [pa.array(anchor), batch.column("pos").take(pa.array(text)), pa.array(packed_place(start, windows, echo))], ["anchor", "pos", "place"])
