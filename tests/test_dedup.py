@@ -105,14 +105,48 @@ def test_stream_dedup_equals_batch(spark, tmp_path):
     assert sorted(r.event_id for r in kept.collect()) == plain_rule(rows.collect())
 
 
-def test_stream_step_can_be_repeated(spark):
-    rows = sightings(spark, 6)
-    early, late = rows.where(F.col("ts") < START + timedelta(days=20)), rows.where(F.col("ts") >= START + timedelta(days=20))
-    first, second = (stream_dedup.reduce_batch(part, "sig", "ts", "event_id", 7) for part in (early, late))
-    kept, state = stream_dedup.step(first, None, "sig", "ts", 7)
-    again, _ = stream_dedup.step(second, state, "sig", "ts", 7)
-    both = sorted(r.event_id for r in kept.unionByName(again).collect())
-    assert both == plain_rule(rows.collect())
+def test_stream_writes_changes_and_not_all_state(spark, tmp_path):
+    """Thirty small batches after a large one, a third of each being one signature: every batch equals the batch rule, and what it
+    writes does not follow the number of signatures known."""
+    base = str(tmp_path)
+    rows = [(i, START + timedelta(hours=i / 1000), f"old{i}", {"k": i}) for i in range(2000)]
+    for day in range(30):
+        at = START + timedelta(days=1 + day)
+        rows += [(10_000 + 100 * day + i, at + timedelta(minutes=i, microseconds=day), "hot" if i % 3 == 0 else f"s{i * (day + 3) % 41}", None) for i in range(60)]
+    frame = spark.createDataFrame(rows, "event_id long, ts timestamp, sig string, more map<string,int>")
+    edges = [START, *(START + timedelta(days=1 + day) for day in range(31))]
+    written = []
+    for number, (low, high) in enumerate(zip(edges, edges[1:])):
+        frame.where(F.col("ts").between(low, high - timedelta(microseconds=1))).coalesce(1).write.parquet(f"{base}/in/part={number}")
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+    query = stream_dedup.dedup_ttl_stream(stream, f"{base}/store", f"{base}/log", "sig")
+    query.awaitTermination()
+    kept = stream_dedup.read_kept(spark, f"{base}/store")
+    assert sorted(r.event_id for r in kept.collect()) == plain_rule(frame.drop("more").collect())
+    assert kept.schema == frame.schema and kept.where("more['k'] = event_id").count() == 2000
+    import glob
+    import os
+    sizes = {}
+    for name in glob.glob(f"{base}/log/state/0/*/*.changelog"):
+        batch = int(os.path.basename(name).split(".")[0].split("_")[0])
+        sizes[batch] = sizes.get(batch, 0) + os.path.getsize(name)
+    written = [sizes[b] for b in sorted(sizes)]
+    assert len(written) >= 31 and max(written[1:31]) < written[0] / 5
+
+
+def test_a_task_sends_one_row_per_signature_and_bucket():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({
+        "sig": ["a", None, "a", "b"], "bucket": [0, 0, 0, 1], "first": [5 - i, 7, 9, 3], "tie": [1, 1, 1, 1], "last": [5 - i, 7, 9, 3], "row": [f"a{i}", "n", "x", "b"]})
+        for i in range(4)]
+    found = pa.Table.from_batches(list(stream_dedup.reduce_rows(batches))).to_pylist()
+    assert sorted((str(r["sig"]), r["bucket"], r["first"], r["last"], r["row"]) for r in found) == [
+        ("None", 0, 7, 7, "n"), ("a", 0, 2, 9, "a3"), ("b", 1, 3, 3, "b")]
+    assert list(stream_dedup.reduce_rows([])) == []
+
+
+def test_store_without_batches(spark):
     assert read_none(spark)
 
 

@@ -1,78 +1,145 @@
 """Sliding-term duplicate removal on a stream.
 
-Each micro-batch is reduced to one row per signature and time bucket, joined with the last sighting of each signature
-and written under its batch number, together with the new last sightings. A batch that is repeated after a failure
-reads the state of the batch before it and overwrites its own folders, so results stay exact. A signature that makes
-up a third of the stream costs one row per bucket, where a keyed stateful operator would put it in one task.
+The last sighting of each signature is keyed state that expires by itself (transformWithState with a time to live, in RocksDB
+with a changelog), so a batch writes what it changes and not the state of all signatures. Before rows are shuffled to
+their state, each map task reduces its own to one per signature and bucket of the term's length: the first row and the last
+moment, which is all that the rule needs. A signature with a third of the stream thus costs one row per task and bucket.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tidewire import fixed_values as fixed
 
-
-def _state(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    if batch_id == 0:
-        return None
-    return spark.read.parquet(f"{path}/state/batch={batch_id - 1}")
-
-
-def reduce_batch(batch: DataFrame, signature: str, ts: str, tie: str, days: int) -> DataFrame:
-    """First row and last moment of each signature and bucket of the term's length."""
-    bucket = F.floor(F.unix_micros(ts) / F.lit(days * 86400 * 1_000_000))
-    first = F.min(F.struct(F.col(ts), F.col(tie), F.struct(*batch.columns).alias("row")))
-    return batch.groupBy(F.col(signature).alias("_sig"), bucket.alias("_bucket")).agg(
-        first.alias("_first"), F.max(ts).alias("_last")
-    )
-
-
-def step(buckets: DataFrame, state: DataFrame | None, signature: str, ts: str, days: int) -> tuple[DataFrame, DataFrame]:
-    """(kept rows, new state) of a reduced batch; state is (signature, last)."""
-    before = F.lag("_last").over(Window.partitionBy("_sig").orderBy("_bucket"))
-    chained = buckets.withColumn("_before", before)
-    if state is not None:
-        old = state.select(F.col(signature).alias("_sig"), F.col("last").alias("_stored"))
-        chained = chained.join(old, "_sig", "left").withColumn("_before", F.greatest("_before", "_stored"))
-    gap = F.unix_micros(F.col("_first")[ts]) - F.unix_micros(F.col("_before"))
-    kept = chained.where(F.col("_before").isNull() | (gap > days * 86400 * 1_000_000)).select("_first.row.*")
-
-    seen = buckets.groupBy(F.col("_sig").alias(signature)).agg(F.max("_last").alias("last"))
-    if state is not None:
-        seen = seen.unionByName(state).groupBy(signature).agg(F.max("last").alias("last"))
-    return kept, seen
+# Executors get these functions with the task: they need pandas and pyarrow, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: What the state needs; they hold while a query starts, which keeps its own copy.
+STATE_OPTIONS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Batches without data would follow each other for ever, as the clock may always end something.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+#: Rows travel as JSON, with all digits of their moments.
+_JSON = {"timestampFormat": _MICROS + "XXX", "timestampNTZFormat": _MICROS, "ignoreNullFields": "false"}
+_DAY = 86_400_000_000
+
+
+def _reduced(table: pa.Table) -> pa.Table:
+    """One row per signature and bucket: the first row by moment and tie, and the last moment."""
+    table = table.take(pc.sort_indices(table, sort_keys=[(x, "ascending") for x in ("sig", "bucket", "first", "tie")])).combine_chunks()
+    if not table.num_rows:
+        return table
+    codes = pc.fill_null(table.column("sig").combine_chunks().dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+    bucket = table.column("bucket").to_numpy()
+    leads = np.flatnonzero(np.concatenate(([True], (codes[1:] != codes[:-1]) | (bucket[1:] != bucket[:-1]))))
+    last = np.maximum.reduceat(table.column("last").to_numpy(), leads)
+    return table.take(pa.array(leads)).set_column(table.schema.get_field_index("last"), "last", pa.array(last))
+
+
+def reduce_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a task, one per signature and bucket. Rows that have been reduced are reduced again with those that follow, so that
+    a task holds little more than its result."""
+    held, waiting, rows = None, [], 0
+    for batch in batches:
+        waiting.append(batch)
+        rows += batch.num_rows
+        if held is None or rows > held.num_rows:
+            held = _reduced(pa.concat_tables([*([held] if held is not None else []), pa.Table.from_batches(waiting)]))
+            waiting, rows = [], 0
+    if waiting:
+        held = _reduced(pa.concat_tables([*([held] if held is not None else []), pa.Table.from_batches(waiting)]))
+    if held is not None:
+        yield from held.to_batches()
+
+
+def chain(before: int | None, reduced: list[tuple], term: int) -> tuple[list[str], int]:
+    """(rows that stay, last moment) of one signature, from its last moment before and the reduced rows (bucket, first, tie, last, row)
+    of any number of tasks."""
+    kept, current = [], None
+    for bucket, first, _, last, row in sorted(reduced, key=lambda r: r[:3]):
+        if bucket != current and (before is None or first - before > term):
+            kept.append(row)
+        current = bucket
+        before = last if before is None else max(before, last)
+    return kept, before
+
+
+def _processor(term: int, keep_ms: int) -> StatefulProcessor:
+    class LastSighting(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.last = handle.getValueState("last", "last bigint", keep_ms)
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+            names = ("bucket", "first", "tie", "last", "row")
+            found = [row for part in rows for row in zip(*(part[name].tolist() for name in names))]
+            known = self.last.get()
+            kept, last = chain(known[0] if known else None, found, term)
+            self.last.update((last,))
+            if kept:
+                yield pd.DataFrame({"row": kept}, dtype="object")
+
+        def close(self) -> None:
+            pass
+
+    return LastSighting()
+
+
+def kept_stream(stream: DataFrame, signature: str, ts: str, tie: str, days: int, keep_days: int) -> DataFrame:
+    """The rows of a stream (or, for tests of its parts, a table) that stay, as they came."""
+    micros = F.unix_micros(ts)
+    slim = stream.select(
+        F.col(signature).alias("sig"), F.floor(micros / F.lit(days * _DAY)).alias("bucket"), micros.alias("first"), F.col(tie).alias("tie"),
+        micros.alias("last"), F.to_json(F.struct(*stream.columns), _JSON).alias("row"))
+    kinds = ", ".join(f"{n} {t}" for n, t in slim.dtypes)
+    reduced = slim.where("first is not null").mapInArrow(reduce_rows, kinds)
+    rows = reduced.groupBy("sig").transformWithStateInPandas(
+        _processor(days * _DAY, keep_days * 86_400_000), "row string", "Append", "ProcessingTime")
+    return rows.select(F.from_json("row", stream.schema, _JSON).alias("row")).select("row.*")
+
+
+def _started(spark: SparkSession, start: Callable[[], StreamingQuery]) -> StreamingQuery:
+    """A query started under the state's options; the session's own stand again afterwards."""
+    before = {name: spark.conf.get(name, None) for name in STATE_OPTIONS}
+    try:
+        for name, value in STATE_OPTIONS.items():
+            spark.conf.set(name, value)
+        return start()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def dedup_ttl_stream(
     stream: DataFrame, path: str, checkpoint: str, signature: str, ts: str = "ts", tie: str = "event_id",
-    days: int = fixed.DEDUP_TTL_DAYS,
+    days: int = fixed.DEDUP_TTL_DAYS, lag_days: int = fixed.DEDUP_TTL_DAYS,
 ) -> StreamingQuery:
-    """Write the kept rows of all available input to path/kept/batch=N.
+    """Write the kept rows of all available input to path/kept/batch=N; a batch that is repeated overwrites its folder.
 
     Equals the batch operator when batches arrive in time order. A sighting older than the last one of its signature
-    counts as a duplicate. Signatures not seen for the term before the newest sighting leave the state.
+    counts as a duplicate; one without a moment is left out. A signature leaves the state when none was taken in for days + lag_days
+    by the clock, so rows may arrive up to lag_days later, relative to each other, than they happened.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        buckets = reduce_batch(batch, signature, ts, tie, days).persist()
-        kept, seen = step(buckets, _state(spark, path, batch_id), signature, ts, days)
-        kept.write.mode("overwrite").parquet(f"{path}/kept/batch={batch_id}")
-        newest = buckets.agg(F.max("_last").alias("newest")).first()["newest"]
-        if newest is not None:
-            seen = seen.where(F.col("last") >= F.lit(newest) - F.expr(f"INTERVAL {days} DAYS"))
-        seen.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
-        buckets.unpersist()
-
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        batch.write.mode("overwrite").parquet(f"{path}/kept/batch={batch_id}")
+
+    kept = kept_stream(stream, signature, ts, tie, days, days + lag_days)
+    writer = kept.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True)
+    return _started(stream.sparkSession, writer.start)
 
 
 def read_kept(spark: SparkSession, path: str) -> DataFrame | None:
