@@ -70,7 +70,7 @@ def test_ratio_equals_dynamic_programming(spark):
     assert all(r.r == pytest.approx(ratio(r.a, r.b), abs=1e-9) for r in got)
 
 
-@pytest.mark.parametrize("threshold", [50.0, 66.6, 80.0, 100.0])
+@pytest.mark.parametrize("threshold", [0.0, 20.0, 50.0, 66.6, 67.5, 80.0, 100.0])
 def test_fuzzy_tier_equals_brute_force(spark, threshold):
     """Neither the edit-distance filter nor the segment join may lose a pair, and ties go to the first entry."""
     names = random_names(1, 150)
@@ -93,6 +93,26 @@ def test_fuzzy_tier_equals_brute_force(spark, threshold):
         assert {r.target: (round(r.best.score, 9), r.best.canonical) for r in best} == expected
 
 
+def test_rare_grams_leave_few_of_all_pairs(spark):
+    """Word-like names at the usual threshold: no pair lost, under one in twenty compared."""
+    rng = random.Random(9)
+    syllables = ["ana", "bor", "cel", "dyn", "eth", "flo", "gra", "hyp", "ion", "jet", "kin", "lum", "mor", "neo", "orb", "pix", "qua", "rix", "sol", "tek"]
+    made = lambda: " ".join("".join(rng.choice(syllables) for _ in range(rng.randrange(2, 4))).title() for _ in range(rng.randrange(1, 3)))
+    names, dictionary = sorted({made() for _ in range(400)}), sorted({made() for _ in range(400)})
+    entries = resolve.Dictionary(resolve.dictionary_frame(spark, dictionary), 1).entries
+    targets = names_frame(spark, names).select(similarity.token_sort(F.col("raw_name")).alias("target")).distinct().withColumn("m", F.length("target"))
+    found = {(r.target, r.sorted) for r in resolve.candidate_pairs(targets, entries, 80.0).collect()}
+    sorted_form = lambda x: " ".join(sorted(x.split()))
+    near = {(sorted_form(a), sorted_form(b)) for a in names for b in dictionary if ratio(a, b) >= 80.0}
+    assert near <= found and len(found) < 0.05 * len(names) * len(dictionary)
+
+
+@pytest.mark.parametrize("threshold", [-1.0, 100.5])
+def test_thresholds_out_of_range_are_refused(spark, threshold):
+    with pytest.raises(ValueError):
+        resolve.resolve_entities(names_frame(spark, ["a"]), resolve.dictionary_frame(spark), threshold)
+
+
 @pytest.mark.parametrize("processor", [None, "lower"])
 def test_large_dictionary_path_gives_the_same_rows(spark, processor):
     names = names_frame(spark, list(GOLDEN) + random_names(3, 80) + fixed.CANONICAL_NAMES + ["STABILITY-AI", "deepseek-ai"])

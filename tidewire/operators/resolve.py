@@ -3,9 +3,8 @@
 Exact and cleaned-exact tiers are equi-joins. The fuzzy tier finds the best-scoring entry:
 - a dictionary of at most INLINE_LIMIT names (checked) becomes an array literal that each row scans behind a
   length and edit-distance filter, so the tier needs no join and no shuffle;
-- a larger one is joined on shared segments. A pair that reaches the threshold differs by at most k insertions
-  and deletions; cut into k + 1 segments, the entry keeps at least one of them whole, near its place (Li, Deng,
-  Wang, Feng, "Pass-Join", 2011). The equi-join on segments thus loses no pair.
+- a larger one is joined on rare grams (prefix filter): a pair that reaches the threshold shares a known number of grams, so one
+  of the rarest of either. The equi-join on these loses no pair, at any threshold.
 Both give the same rows.
 """
 
@@ -36,6 +35,8 @@ from tidewire.functions.text import non_empty, strip_ws
 from tidewire.operators.bounds import rows_within
 
 INLINE_LIMIT = 2000
+#: Rare grams that a candidate pair must share, where its lengths ask for so many: one more makes prefixes longer by one and pairs fewer.
+COMMON_GRAMS = 4
 _ENTRY = "array<struct<pos:int,canonical:string,sorted:string,n:int,low:int,high:int,chars:bigint,masks:map<string,array<bigint>>>>"
 
 _BEST = "struct<score:double,order:int,canonical:string>"
@@ -155,13 +156,19 @@ def _best_inline(t: Column, dictionary: Dictionary, threshold: float) -> Column:
     return F.array_max(F.filter(found, lambda s: s["score"] >= threshold))
 
 
+def _checked(threshold: float) -> None:
+    if not 0 <= threshold <= 100:
+        raise ValueError("a threshold lies between 0 and 100")
+
+
 def best_matches(targets: DataFrame, dictionary: Dictionary, threshold: float) -> DataFrame:
-    """Best entry at or above the threshold for each distinct target: (target, best)."""
+    """Best entry at or above the threshold (0 to 100) for each distinct target: (target, best)."""
+    _checked(threshold)
     sized = targets.select("target").distinct()
     if dictionary.rows is not None:
         best = _with_best(sized, dictionary, threshold).select("target", "best")
     else:
-        best = _best_by_segments(sized.withColumn("m", F.length("target")), dictionary.entries, threshold)
+        best = _best_by_grams(sized.withColumn("m", F.length("target")), dictionary.entries, threshold)
     return best.where(F.col("best.score") >= threshold)
 
 
@@ -180,71 +187,100 @@ def _with_best(df: DataFrame, dictionary: Dictionary, threshold: float) -> DataF
     return compute_once(split, "best", F.when(text.isNotNull(), best)).drop("_t")
 
 
-def _other_lengths(length: Column, threshold: float, known: list[int] | None) -> Column:
-    """Lengths at which a string of the given length can still reach the threshold, of the known ones if given."""
-    low = F.ceil(length * F.lit(threshold / (200.0 - threshold)) - F.lit(1e-9)).cast("int")
-    high = F.floor(length * F.lit((200.0 - threshold) / threshold) + F.lit(1e-9)).cast("int")
-    if known is not None:
-        return F.filter(F.lit(known), lambda other: (other >= low) & (other <= high))
-    first = F.greatest(F.lit(1), low)
-    return F.sequence(first, F.greatest(first, high))
+def _needed(m: Column, n: Column, threshold: float) -> Column:
+    """Characters that strings of lengths m and n must have in common, in order, to reach the threshold."""
+    return F.ceil((m + n) * F.lit(threshold / 200.0) - F.lit(1e-9)).cast("int")
 
 
-def _segment_keys(
-    df: DataFrame, text: str, length: str, is_entry: bool, threshold: float, known: list[int] | None = None
-) -> DataFrame:
-    """A row per segment key (m, n, i, part) of each string: name length, entry length, segment number and text.
+def _gram_size(threshold: float) -> int:
+    """Pairs of characters tell more than single ones, but only above two thirds must similar strings share any."""
+    return 2 if threshold > 67.0 else 1
 
-    An entry sends its segments as they stand; a name sends, for each segment, every piece of its length that lies
-    no further from its place than the allowed insertions and deletions can move it.
+
+def _shared_grams(m: Column, n: Column, threshold: float) -> Column:
+    """Grams that strings of lengths m and n share at least if they reach the threshold.
+
+    Single characters: those they must have in common. Pairs, with a mark at either end: of m + 1 pairs each of the m - needed
+    characters that only the one string has breaks two, and each of the n - needed of the other breaks one.
     """
+    needed = _needed(m, n, threshold)
+    return F.greatest(F.lit(1), needed if _gram_size(threshold) == 1 else 3 * needed - m - n + 1)
+
+
+def _shortest(m: Column, threshold: float) -> Column:
+    """The least length of a string that can reach the threshold with one of length m."""
+    return F.ceil(m * F.lit(threshold / (200.0 - threshold)) - F.lit(1e-9)).cast("int")
+
+
+def _grams(text: Column, threshold: float) -> Column:
+    """array<string>: the grams of a text, equal ones told apart by a number, so that common grams count as often as they occur."""
+    def pieces(chars: Column) -> Column:
+        if _gram_size(threshold) == 1:
+            return chars
+        marked = F.concat(F.array(F.lit("")), chars, F.array(F.lit("")))
+        return F.transform(F.sequence(F.lit(1), F.size(chars) + 1), lambda i: F.concat_ws("\x1f", F.get(marked, i - 1), F.get(marked, i)))
+
+    def numbered(grams: Column) -> Column:
+        before = lambda g, i: F.size(F.filter(F.slice(grams, F.lit(1), i), lambda other: other == g))
+        return F.transform(grams, lambda g, i: F.concat_ws("\x1e", g, before(g, i).cast("string")))
+
+    return bind(bind(characters(text), pieces), numbered)
+
+
+def _rare_grams(strings: DataFrame, text: str, length: str, counts: DataFrame, threshold: float) -> DataFrame:
+    """(text, length, gram, at): the first grams of each string, rarest first, as many as it takes to meet all similar strings."""
     c = F.col
-    paired = df.where(c(length) > 0).withColumn("other", F.explode(_other_lengths(c(length), threshold, known)))
-    m, n = ("other", length) if is_entry else (length, "other")
-    sized = paired.withColumns({"m": c(m), "n": c(n)}).withColumn("edits", edit_budget(c("m"), c("n"), threshold))
-    needed = F.ceil((c("m") + c("n")) * F.lit(threshold / 200.0) - F.lit(1e-9)).cast("int")
-    # with more edits than characters no segment need survive: all pairs of these lengths share one empty segment
-    cut = F.when(c("edits") + 1 > c("n"), 0).otherwise(c("edits") + 1)
-    parts = sized.withColumns({"needed": needed, "cut": cut}).withColumn(
-        "i", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), c("cut") - 1)))
-    )
-    size, longer = F.floor(c("n") / F.greatest(F.lit(1), c("cut"))).cast("int"), c("n") % F.greatest(F.lit(1), c("cut"))
-    whole = c("cut") == 0
-    placed = parts.withColumns(
-        {
-            "start": F.when(whole, 1).otherwise(c("i") * size + F.least(c("i"), longer) + 1),
-            "width": F.when(whole, 0).otherwise(size + F.when(c("i") < longer, 1).otherwise(0)),
-        }
-    )
-    if is_entry:
-        located = placed.withColumn("at", c("start"))
-    else:
-        first = F.greatest(F.lit(1), c("start") - (c("n") - c("needed")))
-        last = F.least(c("m") - c("width") + 1, c("start") + (c("m") - c("needed")))
-        places = F.when(whole, F.array(F.lit(1))).when(first <= last, F.sequence(first, F.greatest(first, last)))
-        located = placed.withColumn("at", F.explode(places))
-    part = F.substring(c(text), c("at"), c("width"))
-    return located.select(*df.columns, *[c(k).alias(f"k_{k}") for k in ("m", "n", "i")], part.alias("k_part"))
+    spread = strings.select(text, length, F.explode(_grams(c(text), threshold)).alias("gram"))
+    ranked = spread.join(counts, "gram", "left").select(text, length, F.struct(F.coalesce("times", F.lit(0)).alias("times"), "gram").alias("g"))
+    lists = ranked.groupBy(text, length).agg(F.sort_array(F.collect_list("g")).alias("all"))
+    kept = F.size("all") - _shared_grams(c(length), _shortest(c(length), threshold), threshold) + COMMON_GRAMS
+    first = lists.select(text, length, F.posexplode(F.slice("all", F.lit(1), F.greatest(F.lit(0), kept))).alias("at", "g"))
+    return first.where("g.times > 0").select(text, length, c("g.gram").alias("gram"), "at")
 
 
-def _best_by_segments(targets: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
+def _gram_counts(entries: DataFrame, threshold: float) -> DataFrame:
+    return entries.select(F.explode(_grams(F.col("sorted"), threshold)).alias("gram")).groupBy("gram").agg(F.count("*").alias("times"))
+
+
+def candidate_pairs(targets: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
+    """(target, m, sorted, n): pairs of different strings that share some of their rarest grams and may reach the threshold.
+
+    Of two strings that share k grams, the j-th that they share, rarest first, lies among the first size - k + j of either
+    (Bayardo, Ma, Srikant, 2007; Wang, Li, Feng, 2012), so their prefixes have COMMON_GRAMS in common, or k if that is less. Behind the
+    first of them either has room for the other k - 1, else the pair is out.
+    """
+    c = F.col
+    counts = _gram_counts(entries, threshold)
+    left = _rare_grams(targets.select("target", "m"), "target", "m", counts, threshold).withColumnRenamed("at", "at_m")
+    right = _rare_grams(entries.select("sorted", "n").distinct(), "sorted", "n", counts, threshold).withColumnRenamed("at", "at_n")
+    more = 0 if _gram_size(threshold) == 1 else 1
+    fits = F.least("m", "n") >= _needed(c("m"), c("n"), threshold)
+    met = left.join(right, "gram").where(fits).groupBy("target", "m", "sorted", "n").agg(
+        F.count("*").alias("common"), F.min("at_m").alias("at_m"), F.min("at_n").alias("at_n"))
+    room = F.least(c("m") + more - c("at_m"), c("n") + more - c("at_n"))
+    shared = _shared_grams(c("m"), c("n"), threshold)
+    return met.where((c("common") >= F.least(F.lit(COMMON_GRAMS), shared)) & (room >= shared)).select("target", "m", "sorted", "n")
+
+
+def _best_by_grams(targets: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
+    """(target, best) by an equi-join on rare grams; at threshold 0 the first entry is best for names that share no character with any."""
     c = F.col
-    lengths = sorted(entries.where(c("n") > 0).agg(F.collect_set("n")).first()[0])  # at most as many as the longest has characters
-    if not lengths:
-        return targets.where(F.lit(False)).select("target", F.lit(None).cast(_BEST).alias("best"))
-    reachable = targets.where(c("m") * threshold <= lengths[-1] * (200.0 - threshold))
-    reachable = compute_once(reachable, "set", character_set(characters(c("target"))))
-    left = _segment_keys(reachable, "target", "m", False, threshold, lengths)
-    slim = compute_once(entries.select("pos", "sorted", "n"), "chars", character_set(characters(c("sorted"))))
-    right = _segment_keys(slim, "sorted", "n", True, threshold)
-    edits = edit_budget(c("m"), c("n"), threshold)  # joined lengths are near enough by their keys
-    near = _close_enough({"text": c("target"), "set": c("set")}, {"text": c("sorted"), "set": c("chars")}, edits)
-    pairs = left.join(right, ["k_m", "k_n", "k_i", "k_part"]).where(near).select("target", "m", "pos").distinct()
+    worded = targets.where("m > 0")
+    pairs = candidate_pairs(worded, entries.where("n > 0"), threshold)
+    both = compute_once(pairs, "sets", F.struct(character_set(characters(c("target"))).alias("t"), character_set(characters(c("sorted"))).alias("d")))
+    edits = edit_budget(c("m"), c("n"), threshold)
+    near = _close_enough({"text": c("target"), "set": c("sets.t")}, {"text": c("sorted"), "set": c("sets.d")}, edits)
     # the masks join in when few pairs are left
-    scored = pairs.join(entries.select("pos", "canonical", "n", "masks"), "pos")
+    scored = both.where(near).select("target", "m", "sorted").join(entries, "sorted")
     score = indel_score(lcs_length(characters(c("target")), c("masks"), c("n")), c("m"), c("n"))
-    best = F.max(F.struct(score.alias("score"), (-c("pos")).alias("order"), "canonical"))
-    return scored.groupBy("target").agg(best.alias("best"))
+    rows = scored.select("target", score.alias("score"), "pos", "canonical")
+    empty = targets.where("m = 0").select("target").join(entries.where("n = 0"), c("target") == c("sorted"))
+    rows = rows.unionByName(empty.select("target", F.lit(100.0).alias("score"), "pos", "canonical"))
+    if threshold == 0:
+        first = entries.agg(F.min(F.struct("pos", "canonical")).alias("first")).select("first.*").first()
+        rows = rows.unionByName(targets.select("target", F.lit(0.0).alias("score"), F.lit(first["pos"]).alias("pos"), F.lit(first["canonical"]).alias("canonical")))
+    best = F.max(F.struct("score", (-c("pos")).alias("order"), "canonical"))
+    return rows.where(c("pos").isNotNull()).groupBy("target").agg(best.alias("best"))
 
 
 def add_fuzzy(names: DataFrame, dictionary: Dictionary, threshold: float) -> DataFrame:
@@ -271,6 +307,7 @@ def resolve_entities(
 
     processor='lower' compares lower-cased names in the fuzzy tier; the default is case-sensitive.
     """
+    _checked(threshold)
     table = Dictionary(dictionary, inline_limit, processor)
     tiers = add_fuzzy(add_cleaned_exact(add_exact(names, table), table), table, threshold)
     exact, cleaned = F.col("exact_name").isNotNull(), F.col("cleaned_name").isNotNull()
