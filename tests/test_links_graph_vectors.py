@@ -115,3 +115,22 @@ def test_semantic_dedup_finds_all_copies_whatever_else_is_there(spark, vecs):
         for i in range(len(rows)):
             earlier = np.flatnonzero(scores[i, :i] >= 0.99)
             assert got[i] == (earlier[0] if len(earlier) else None)
+
+
+@pytest.mark.parametrize("spread", [0.0005, 0.06])
+def test_semantic_dedup_of_a_large_group(spark, spread):
+    """2,000 near-equal vectors, and a ball whose members are near to some of the others only: right answers, pairs by the members."""
+    draw = np.random.default_rng(5)
+    count = 2000 if spread < 0.01 else 300
+    rows = (draw.normal(size=16) + draw.normal(size=(count, 16)) * spread).astype(np.float32)
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<float>").repartition(8)
+    scores = unit(rows.astype(np.float64)) @ unit(rows.astype(np.float64)).T
+    threshold = 0.995
+    got = {r.vec_id: r.copy_of for r in vectors.semantic_dedup(frame, 16, threshold).collect()}
+    expected = {i: next((j for j in range(i) if scores[i, j] >= threshold), None) for i in range(count)}
+    assert got == expected
+    distinct = frame.withColumnRenamed("vec_id", "_first")
+    cells = vectors._cells(distinct, "embedding", 16, 140, 24)
+    found = vectors._nearest_earlier(vectors.lead_pairs(cells), distinct, "embedding", threshold)
+    compared = vectors.lead_pairs(cells).count() + vectors.open_pairs(cells, found).count()
+    assert compared < (3 * count if spread < 0.01 else count * count / 4)
