@@ -8,9 +8,9 @@ and ICWS's random numbers drawn from a pool of 65,536 by the shingle's hash, a s
 
 Texts with an equal band of samples meet in a bucket. Buckets of up to SMALL_BUCKET texts compare all of them, by the exact
 weighted Jaccard similarity; links of at least THRESHOLD join classes. The texts of larger buckets are joined in two steps.
-First rounds that only save work: the texts meet again where two of their bands agree, and in what is still large every text
-is compared with a few that lie in other classes, with other partners each round, until a round brings no link. Then an exact
-step: of all texts that lie in a large bucket, any two of different classes are compared that can reach THRESHOLD by a prefix
+First rounds that only save work: the texts meet again where two of their bands agree, and of what is still large each text picks
+one bucket a round, so that those of a group mostly pick the same, and is compared with that bucket's lead if it lies in another
+class; rounds go on while they pay, so a group takes about as many pairs as it has texts. Then an exact step: of all texts that lie in a large bucket, any two of different classes are compared that can reach THRESHOLD by a prefix
 filter (see prefixes), which loses no pair. So a pair is compared, or its texts are in one class already, if it shares any
 band, whatever the sizes of its buckets; the large ones' texts are even joined without a common band.
 
@@ -46,8 +46,8 @@ SAMPLES, BAND = 48, 3
 SMALL_BUCKET = 16
 #: Distances of the two bands that make a refined bucket. They save comparisons; pairs without such bands meet in the exact step.
 REFINED = (1, 3)
-#: Partners of a large refined bucket's texts in the first, second, third and each later round.
-PARTNERS = (1, 2, 4, 8)
+#: A round pays, and another one follows, if at least one in so many of its pairs is a link.
+PAYING = 8
 #: What sums of weights may differ by when added up in another order.
 SLACK = 1e-6
 DF_BITS = 18
@@ -358,21 +358,26 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         found = components(links.unionByName(known) if known is not None else links)
         return stored(found.join(found.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "root"), "near-roots")
 
+    crowded = met.where(f"size > {SMALL_BUCKET}").select("bucket", "node")
     while True:
-        classed = met.where(f"size > {SMALL_BUCKET}").select("bucket", "node").join(roots, "node", "left").select(
-            "bucket", "node", F.coalesce("root", "node").alias("root"), F.coalesce("members", F.lit(1)).alias("members"))
-        orders = [F.xxhash64("node", "bucket", F.lit(number), F.lit(i)) for i in range(PARTNERS[min(number, len(PARTNERS) - 1)])]
-        partners = F.array(*(F.struct(F.min_by("node", x).alias("a"), F.min_by("root", x).alias("a_root"), F.min_by("members", x).alias("a_members")) for x in orders))
-        leads = classed.groupBy("bucket").agg(partners.alias("leads")).select("bucket", F.inline("leads"))
+        leads = crowded.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "bucket", F.lit(number))).alias("a"))
+        picks = crowded.groupBy("node").agg(F.min_by("bucket", F.xxhash64("bucket", F.lit(number))).alias("bucket"))
+        drawn = picks.join(leads, "bucket").select("a", F.col("node").alias("b")).where("a <> b")
+        sides = drawn
+        for x in ("a", "b"):
+            classed = roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root"), F.col("members").alias(f"{x}_members"))
+            sides = sides.join(classed, x, "left").withColumn(f"{x}_root", F.coalesce(f"{x}_root", x)).fillna(1, [f"{x}_members"])
         # The members of a large class need not meet each small one: the small one's meet some of theirs, and the exact step all.
-        pairs = classed.join(leads, "bucket").where("root <> a_root and members <= a_members").select("a", F.col("node").alias("b"))
+        pairs = sides.where("a_root <> b_root and b_members <= a_members").select("a", "b")
         if number == 0:
             few = met.where(f"size <= {SMALL_BUCKET}").select("bucket", "node")
             pairs = pairs.unionByName(few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), "bucket").where("a < b").select("a", "b"))
         fresh = verify(pairs)
-        if fresh.isEmpty() and number:
+        found, compared = fresh.count(), spark.read.schema(kinds).parquet(f"{verified}/round={number}").count()
+        if found:
+            roots = joined(fresh)
+        if number and found * PAYING < compared or not compared:
             break
-        roots = joined(fresh)
         number += 1
     number += 1
     large = texts.join(own.select("node"), "node", "left_semi")
