@@ -352,10 +352,17 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         return spark.read.schema(kinds).parquet(f"{verified}/round={number}").where(F.col("similarity") >= THRESHOLD)
 
     def joined(fresh: DataFrame) -> DataFrame:
-        """Classes with the fresh links; those so far are single nodes to them."""
-        links = fresh.select("a", "b")
-        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b")) if number else None
-        found = components(links.unionByName(known) if known is not None else links)
+        """Classes with the fresh links. Only the classes that these touch are put together, each as one node."""
+        ends = fresh.select("a", "b")
+        for x in ("a", "b"):
+            classed = roots.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root"))
+            ends = ends.join(classed, x, "left").withColumn(f"{x}_root", F.coalesce(f"{x}_root", x))
+        ends = stored(ends, "near-ends")
+        moved = components(ends.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
+        linked = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(roots, "node", "left_anti")
+        placed = roots.select("node", "root").unionByName(linked.select("node", F.col("node").alias("root")))
+        placed = placed.join(moved.select(F.col("node").alias("root"), F.col("root").alias("onward")), "root", "left")
+        found = stored(placed.select("node", F.coalesce("onward", "root").alias("root")), "near-placed")
         return stored(found.join(found.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "root"), "near-roots")
 
     crowded = met.where(f"size > {SMALL_BUCKET}").select("bucket", "node")
