@@ -54,6 +54,13 @@ def test_shrink_ladder(column):
             body = cut(body, len(body) // 2)
 
 
+def test_shrink_ladder_as_long_as_each_row_asks(spark):
+    rows = spark.createDataFrame([("word. " * 900, 0), ("word. " * 900, 2), ("word. " * 900, 30), ("x", None)], "t string, n int")
+    found = [r.ladder for r in rows.select(text.shrink_ladder(F.col("t"), 4000, F.col("n")).alias("ladder")).collect()]
+    assert [len(x) if x else x for x in found] == [1, 3, 31, None]
+    assert found[1] == found[2][:3] and found[2][-1].length <= 1
+
+
 def test_fit_to_budget(column):
     fitted = column(lambda c: text.fit_to_budget(text.shrink_ladder(c, 60, 3), 20)["step"], [SAMPLE_TEXT, "x" * 300])
     assert fitted == [1, 2]

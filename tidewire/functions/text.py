@@ -47,8 +47,9 @@ def _to_last_stop(head: Column) -> Column:
     return F.when(after_stop >= 0, F.substring(head, F.lit(1), F.length(head) - after_stop)).otherwise(head)
 
 
-def shrink_ladder(text: Column, max_chars: int = fixed.CHUNK_CHARS, steps: int = 3) -> Column:
-    """array<struct<step,text,length>>: the first chunk, then each rung cut to half of the one before."""
+def shrink_ladder(text: Column, max_chars: int = fixed.CHUNK_CHARS, steps: Column | int = 3) -> Column:
+    """array<struct<step,text,length>>: the first chunk, then each rung cut to half of the one before. NULL steps give NULL."""
+    count = F.lit(steps) if isinstance(steps, int) else steps
 
     def rung(step: Column, body: Column) -> Column:
         return F.struct(step.alias("step"), body.alias("text"), F.length(body).alias("length"))
@@ -62,7 +63,8 @@ def shrink_ladder(text: Column, max_chars: int = fixed.CHUNK_CHARS, steps: int =
         return F.concat(done, F.array(bind(F.element_at(done, -1), lambda last: halved(last, step))))
 
     first = bind(chunk_payload(text, max_chars), lambda body: rung(F.lit(0), body))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.array(first), longer)
+    numbers = F.when(count > 0, F.sequence(F.lit(1), F.greatest(F.lit(1), count))).when(count.isNotNull(), F.array().cast("array<int>"))
+    return F.aggregate(numbers, F.array(first), longer)
 
 
 def fit_to_budget(ladder: Column, budget: int) -> Column:

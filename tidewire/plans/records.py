@@ -111,16 +111,16 @@ def extraction_inputs(pages: DataFrame, html: str = "html", max_chars: int = fix
     return cleaned.withColumn("payload", text.chunk_payload(F.col("_clean"), max_chars)).drop("_clean")
 
 
-def extracted_startups(pages: DataFrame, attempts: DataFrame, key: str = "page_id", html: str = "html", max_shrinks: int = 9) -> DataFrame:
+def extracted_startups(pages: DataFrame, attempts: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """One row per page: key, tier, attempt, shrinks, sent (the text as shortened for the winning try), record, reason.
 
     Pages are cleaned and cut; attempts(doc_id, tier, attempt, status, payload) tell how each page fared. record is NULL
-    where reason says why: exhausted, corrupt or what is missing. A text is halved max_shrinks times at most.
+    where reason says why: exhausted, corrupt or what is missing. A text is halved as often as its chain of tries asks for.
     """
     outcomes = extraction.failover_chain(attempts).withColumnRenamed("doc_id", "_doc")
     inputs = extraction_inputs(pages, html).select(key, F.col("payload").alias("_text"))
     joined = inputs.join(outcomes, F.col(key) == F.col("_doc"), "left")
     judged = extraction.validate_payloads(joined)
-    rung = F.get(text.shrink_ladder(F.col("_text"), fixed.CHUNK_CHARS, max_shrinks), F.least("shrinks", F.lit(max_shrinks)))
+    rung = F.element_at(text.shrink_ladder(F.col("_text"), fixed.CHUNK_CHARS, F.col("shrinks")), -1)
     reason = F.when(F.col("tier").isNull(), "exhausted").otherwise(F.col("reason"))
     return judged.select(key, "tier", "attempt", "shrinks", F.when(F.col("shrinks").isNotNull(), rung["text"]).alias("sent"), "record", reason.alias("reason"))
