@@ -162,6 +162,33 @@ def test_sparse_pairs_of_a_large_bucket_are_all_found(spark):
     assert same_classes(class_of(spark, texts), want)
 
 
+def test_texts_near_the_members_of_a_star_but_not_its_pivot_are_found(spark):
+    """A star of texts around one, fringe texts that are near one member only, and others of the same passage that are near none."""
+    words = [f"w{i}" for i in range(120)]
+    star = [words[:i] + [f"m{i}_{k}" for k in range(7)] + words[i + 7 :] for i in range(0, 110, 2)]
+    fringe = [own[:60] + [f"f{i}_{k}" for k in range(8)] + own[68:] for i, own in enumerate(star)]
+    others = [words[:70] + [f"o{i}_{k}" for k in range(50)] for i in range(40)]
+    texts = [" ".join(t) for t in [words, *star, *fringe, *others]]
+    want, links = brute_classes(texts, near_dedup.idf_table(docs(spark, texts)))
+    assert any(texts[0] not in x for x in links)
+    assert same_classes(class_of(spark, texts), want)
+
+
+def test_stars_go_to_the_neighbour_with_most_links(spark):
+    links = frame(spark, [("a", "b", 0.9), ("c", "a", 0.85), ("a", "d", 0.8), ("d", "e", 0.95)], "a string, b string, similarity double")
+    found = {r.node: (r.pivot, round(r.far, 6)) for r in near_dedup.pivots(links).collect()}
+    assert found == {"a": ("a", 0.0), "b": ("a", 0.1), "c": ("a", 0.15), "d": ("a", 0.2), "e": ("d", 0.05)}
+
+
+def test_open_pairs_are_those_that_the_triangle_leaves(spark):
+    """Two stars at a distance of 0.5 and 0.3: only members far enough from their pivots go on, and only with a shared shingle."""
+    row = lambda node, pivot, far: (1, node, 10.0, 10.0, pivot, 2, pivot, far)
+    placed = frame(spark, [row("p", "p", 0.0), row("x", "p", 0.15), row("y", "p", 0.05), row("q", "q", 0.0), row("z", "q", 0.16), row("s", "s", 0.0)],
+                   "shingle long, node string, rest double, total double, root string, members int, pivot string, far double")
+    told = frame(spark, [("p", "q", 0.5), ("p", "s", 0.7), ("q", "s", 0.2)], "a string, b string, similarity double")
+    assert {(r.a, r.b) for r in near_dedup.open_pairs(placed, told).collect()} == {("x", "z"), ("s", "x")}
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.integers(0, 1 << 30))
 def test_prefixes_hold_the_first_shared_shingle_of_every_near_pair(seed):

@@ -10,9 +10,12 @@ Texts with an equal band of samples meet in a bucket. Buckets of up to SMALL_BUC
 weighted Jaccard similarity; links of at least THRESHOLD join classes. The texts of larger buckets are joined in two steps.
 First rounds that only save work: the texts meet again where two of their bands agree, and of what is still large each text picks
 one bucket a round, so that those of a group mostly pick the same, and is compared with that bucket's lead if it lies in another
-class; rounds go on while they pay, so a group takes about as many pairs as it has texts. Then an exact step: of all texts that lie in a large bucket, any two of different classes are compared that can reach THRESHOLD by a prefix
-filter (see prefixes), which loses no pair. So a pair is compared, or its texts are in one class already, if it shares any
-band, whatever the sizes of its buckets; the large ones' texts are even joined without a common band.
+class; rounds go on while they pay, so a group takes about as many pairs as it has texts. Then an exact step for all texts that
+lie in a large bucket: any two of different classes that can reach THRESHOLD by a prefix filter (see prefixes) are compared, or
+ruled out by the triangle inequality, as the linked texts of a star (see pivots) are all near its pivot. No pair is lost. Pivots
+meet first, so a text that shares a passage with a large group meets the group's few pivots and not its members. So a pair is
+compared, ruled out or in one class already if it shares any band, whatever the sizes of its buckets; the large ones' texts are
+even joined without a common band.
 
 Equal texts are one node from the start and need no links. A text of fewer than five words is one shingle; null and empty
 texts have none and are a class of their own. Rows without a key take part; a class of such rows alone has a null id. Of
@@ -271,23 +274,69 @@ def _prefixer(idf: np.ndarray, rarity: np.ndarray) -> Callable:
     return prefix
 
 
-def unjoined_pairs(texts: DataFrame, roots: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(a, b): all pairs of texts (node, text) of different classes that may have a similarity of THRESHOLD, and few others.
+def pivots(links: DataFrame) -> DataFrame:
+    """(node, pivot, far): for each text that has links (a, b, similarity), the one among its neighbours and itself with the most
+    links, and the distance to it, 1 - similarity. Texts that share a pivot are its star; all lie within 1 - THRESHOLD of it.
+    """
+    ends = links.select("a", "b", "similarity").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity")).distinct()
+    degrees = ends.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
+    beside = ends.join(degrees.select(F.col("a").alias("b"), "degree"), "b").select("a", "degree", F.col("b").alias("pivot"), (1 - F.col("similarity")).alias("far"))
+    itself = degrees.select("a", "degree", F.col("a").alias("pivot"), F.lit(0.0).alias("far"))
+    best = beside.unionByName(itself).groupBy(F.col("a").alias("node")).agg(F.max_by(F.struct("pivot", "far"), F.struct("degree", "pivot")).alias("best"))
+    return best.select("node", "best.*")
+
+
+def at_home(prefixed: DataFrame, roots: DataFrame, stars: DataFrame) -> DataFrame:
+    """The prefix rows of texts with their class (root, members) and star (pivot, far); a text without links is its own."""
+    homes = roots.join(stars, "node", "left")
+    placed = prefixed.join(homes, "node", "left")
+    own = {"root": F.col("node"), "members": F.lit(1), "pivot": F.col("node"), "far": F.lit(0.0)}
+    return placed.select("shingle", "node", "rest", "total", *(F.coalesce(x, y).alias(x) for x, y in own.items()))
+
+
+def _needed(a_total: str, b_total: str):
+    return (F.col(a_total) + F.col(b_total)) * F.lit(THRESHOLD / (1 + THRESHOLD)) - F.lit(SLACK)
+
+
+def star_pairs(placed: DataFrame) -> DataFrame:
+    """(a, b): the pivots of all pairs of stars of different classes of which two texts may have a similarity of THRESHOLD.
 
-    roots (node, root, members) has the classes of more than one text.
+    A star counts once for each shingle in the prefixes of its texts, with the largest rest and the smallest total, so a large
+    group brings no more rows to a shingle than it has stars.
     """
-    first = stored(texts.mapInArrow(_prefixer(idf, idf_table(texts)), "node string, shingle long, rest double, total double"), "near-prefixes")
-    placed = first.join(roots, "node", "left").select(
-        "shingle", "node", "rest", "total", F.coalesce("root", "node").alias("root"), F.coalesce("members", F.lit(1)).alias("members"))
-    # Of two classes one is not the shingle's main one, so texts of the main one need not meet each other.
-    mains = placed.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.max_by("root", F.struct("members", "root")).alias("main"))
-    shared = stored(placed.join(mains.where("least < most").select("shingle", "main"), "shingle"), "near-shared")
-    side = lambda x: shared.select("shingle", *(F.col(c).alias(f"{x}_{c}") for c in ("node", "rest", "total", "root", "main")))
-    needed = (F.col("a_total") + F.col("b_total")) * F.lit(THRESHOLD / (1 + THRESHOLD)) - F.lit(SLACK)
+    stars = placed.groupBy("shingle", "pivot").agg(
+        F.max("rest").alias("rest"), F.min("total").alias("total"), F.first("root").alias("root"), F.first("members").alias("members"))
+    # Of two classes one is not the shingle's main one, so stars of the main one need not meet each other.
+    mains = stars.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.max_by("root", F.struct("members", "root")).alias("main"))
+    shared = stored(stars.join(mains.where("least < most").select("shingle", "main"), "shingle"), "near-shared")
+    side = lambda x: shared.select("shingle", *(F.col(c).alias(f"{x}_{c}") for c in ("pivot", "rest", "total", "root", "main")))
     met = side("a").where("a_root <> a_main").join(side("b").drop("b_main"), "shingle").where(
-        (F.col("a_root") != F.col("b_root")) & (F.least("a_rest", "b_rest") >= needed)
-        & ((F.col("b_root") == F.col("a_main")) | (F.col("a_node") < F.col("b_node"))))
-    return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+        (F.col("a_root") != F.col("b_root")) & (F.least("a_rest", "b_rest") >= _needed("a_total", "b_total"))
+        & ((F.col("b_root") == F.col("a_main")) | (F.col("a_pivot") < F.col("b_pivot"))))
+    return met.select(F.least("a_pivot", "b_pivot").alias("a"), F.greatest("a_pivot", "b_pivot").alias("b")).distinct()
+
+
+def open_pairs(placed: DataFrame, compared: DataFrame) -> DataFrame:
+    """(a, b): the pairs of texts of different classes that may still have a similarity of THRESHOLD, once the pivots of their stars
+    are compared: (a, b, similarity).
+
+    1 - similarity is a metric, so texts x and y of the stars of p and q are apart by at least the distance of p and q less those of x
+    to p and y to q. Only stars with a pair that this leaves open go on; of such two the smaller one looks for partners in the other.
+    """
+    stars = placed.groupBy("pivot").agg(F.first("root").alias("root"), F.max("far").alias("far"), F.count(F.lit(1)).alias("rows"))
+    both = compared.select("a", "b", (1 - F.col("similarity") - F.lit(1 - THRESHOLD + SLACK)).alias("gap"))
+    for x in ("a", "b"):
+        both = both.join(stars.select(F.col("pivot").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("root", "far", "rows"))), x)
+    wide = both.where("a_root <> b_root and gap <= a_far + b_far and a_far + b_far > 0")
+    swap = F.col("a_rows") > F.col("b_rows")
+    wide = stored(wide.select(
+        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("p"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("q"),
+        F.when(swap, F.col("a_far")).otherwise(F.col("b_far")).alias("q_far"), "gap"), "near-wide")
+    few = placed.select(F.col("pivot").alias("p"), "shingle", *(F.col(c).alias(f"x_{c}") for c in ("node", "rest", "total", "far")))
+    many = placed.select(F.col("pivot").alias("q"), "shingle", *(F.col(c).alias(f"y_{c}") for c in ("node", "rest", "total", "far")))
+    met = wide.join(few, "p").where("gap <= x_far + q_far").join(many, ["q", "shingle"]).where(
+        (F.col("gap") <= F.col("x_far") + F.col("y_far")) & (F.least("x_rest", "y_rest") >= _needed("x_total", "y_total")))
+    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -388,7 +437,16 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         number += 1
     number += 1
     large = texts.join(own.select("node"), "node", "left_semi")
-    fresh = verify(unjoined_pairs(large, roots, idf))
+    prefixed = stored(large.mapInArrow(_prefixer(idf, idf_table(large)), "node string, shingle long, rest double, total double"), "near-prefixes")
+    stars = stored(pivots(spark.read.schema(kinds).parquet(verified).where(F.col("similarity") >= THRESHOLD)), "near-stars")
+    between = stored(star_pairs(at_home(prefixed, roots, stars)), "near-between")
+    fresh = verify(between)
+    if not fresh.isEmpty():
+        roots = joined(fresh)
+    number += 1
+    # A pair of pivots may have been compared by a round, in either direction.
+    told = spark.read.schema(kinds).parquet(verified).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity")
+    fresh = verify(open_pairs(at_home(prefixed, roots, stars), told.join(between, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))))
     if not fresh.isEmpty():
         roots = joined(fresh)
     links = spark.read.schema(kinds).parquet(verified).where(F.col("similarity") >= THRESHOLD)
