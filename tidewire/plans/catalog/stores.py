@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewire import fixed_values as fixed, model, session
 from tidewire.functions import links as fn, names, rules
 from tidewire.functions.dates import fmt_iso
-from tidewire.operators import dedup, graph, ranking, resolve, vectors
+from tidewire.operators import dedup, graph, ranking, resolve, search, vectors
 from tidewire.plans import fixtures as fx, records
 from tidewire.plans.catalog import hub, names as name_queries, papers as paper_queries, signals as signal_queries, sqltext as sql
 from tidewire.plans.catalog.signals import _plain
@@ -19,6 +19,8 @@ from tidewire.sources import hub as hub_source, tables
 c = F.col
 DIMS = 64
 THRESHOLD = 0.95
+#: Cells that a query asks first; queries that the number of probes is tuned on.
+PROBES, TUNING_ROWS = 8, 1000
 
 
 def _startups(spark, sf):
@@ -141,6 +143,31 @@ def vector_topk(spark, sf):
     return vectors.vector_topk(rows, means, 5).withColumn("score", F.round("score", 6))
 
 
+def _searched(spark, sf):
+    """The index of all embeddings, the queries (every id divisible by 100) and their ten exact neighbours, stored."""
+    path = session.fresh_path(spark, "index")
+    rows = _embeddings(spark, sf)
+    index = search.build_index(rows, f"{path}/index")
+    queries = rows.where("vec_id % 100 = 0")
+    search.search_exact(index, queries, 10, PROBES, path).write.parquet(f"{path}/exact")
+    return path, index, queries, spark.read.parquet(f"{path}/exact")
+
+
+def vector_search(spark, sf):
+    """The ten vectors nearest to every vector whose id is divisible by 100, by the stored index, exactly."""
+    return _searched(spark, sf)[3].withColumn("score", F.round("score", 6))
+
+
+def vector_index_recall(spark, sf):
+    """Whether the index finds nine in ten of the exact neighbours with as many probes as a bounded sample of other queries asks for."""
+    path, index, queries, exact = _searched(spark, sf)
+    sample = _embeddings(spark, sf).orderBy(F.xxhash64("vec_id")).limit(TUNING_ROWS)
+    search.search_exact(index, sample, 10, PROBES, f"{path}/tuning").write.parquet(f"{path}/tuned")
+    probes = search.probes_for(index, spark.read.parquet(f"{path}/tuned"), sample, 0.95)
+    found = search.recall(search.search(index, queries, 10, probes), exact)
+    return found.select("queries", "neighbours", (F.col("recall") >= 0.9).alias("reached"))
+
+
 def topic_cluster(spark, sf):
     rows = _embeddings(spark, sf)
     assigned = vectors.nearest_centroid(rows, vectors.label_centroids(rows))
@@ -176,6 +203,8 @@ QUERIES = {
     "kg_edges": kg_edges,
     "sink_graph": sink_graph,
     "vector_topk": vector_topk,
+    "vector_search": vector_search,
+    "vector_index_recall": vector_index_recall,
     "topic_cluster": topic_cluster,
     "topic_kmeans": topic_kmeans,
     "semantic_dedup": semantic_dedup,
@@ -247,6 +276,12 @@ ORACLES = {
       SELECT CAST(label AS BIGINT) AS query_id, vec_id, list_cosine_similarity(centroid, v) AS score,
         row_number() OVER (PARTITION BY label ORDER BY list_cosine_similarity(centroid, v) DESC, vec_id) AS rank
       FROM {_CENTROIDS} AS q, (SELECT vec_id, v FROM {_UNIT} AS u) AS k) WHERE rank <= 5""",
+    "vector_search": f"""SELECT query_id, vec_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
+      SELECT q.vec_id AS query_id, k.vec_id, list_cosine_similarity(q.v, k.v) AS score,
+        row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.v, k.v), 9) DESC, k.vec_id) AS rank
+      FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 100 = 0) AS q,
+        (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) AS k) WHERE rank <= 10""",
+    "vector_index_recall": "SELECT count(*) AS queries, 10 * count(*) AS neighbours, true AS reached FROM embeddings WHERE vec_id % 100 = 0",
     "topic_cluster": f"""SELECT vec_id, cluster, round(similarity, 6) AS similarity FROM (
       SELECT vec_id, c.label AS cluster, list_cosine_similarity(v, centroid) AS similarity,
         row_number() OVER (PARTITION BY vec_id ORDER BY list_cosine_similarity(v, centroid) DESC, c.label) AS nth
