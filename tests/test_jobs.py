@@ -16,9 +16,11 @@ def store(frame, path):
 def test_signals_papers_and_stream(spark, tmp_path):
     base = str(tmp_path)
     news = store(landed(spark, RSS, ATOM), f"{base}/in-news")
-    jobs = store(landed(spark, JOBS, url="https://b/api/x"), f"{base}/in-jobs")
+    jobs = store(landed(spark, JOBS, "broken", url="https://b/api/x"), f"{base}/in-jobs")
     main(["signals", "--payloads", news, "--jobs", jobs, "--now", NOW, "--out", base], spark)
     assert read_csv(spark, f"{base}/news").count() == 4
+    assert spark.read.parquet(f"{base}/quarantine/news").count() == 0
+    assert [(r.body, r.reason) for r in spark.read.parquet(f"{base}/quarantine/jobs").collect()] == [("broken", "unreadable")]
     assert {r["content.is_remote"] for r in read_csv(spark, f"{base}/jobs").collect()} == {"True"}
 
     for _ in range(2):

@@ -56,6 +56,38 @@ def test_rss_items_with_atom_elements(spark):
     assert [(r.title, r.link, r.pub_str) for r in got] == [("A", "https://n/1", "2024-01-15"), ("", "https://n/2", "")]
 
 
+def test_items_at_any_depth_in_document_order(spark):
+    body = (
+        '<rss xmlns:at="http://www.w3.org/2005/Atom"><item><title>beside</title></item><channel><item id="a>b"><title>in</title></item>'
+        '<!-- <item><title>hidden</title></item> --><x><y><item><at:title>deep</at:title><at:updated>2024-01-15</at:updated></item></y></x>'
+        '<note><![CDATA[<item><title>quoted</title></item>]]></note><item/><items>no</items>'
+        '<item><title><![CDATA[a </item> & <b>]]></title></item ></channel><item><title>after</title></item></rss>'
+    )
+    got = feeds.feed_items(landed(spark, body, "<rss><channel/></rss>", "", None)).orderBy("item_pos").collect()
+    assert [(r.src_rank, r.item_pos, r.title) for r in got] == [
+        (0, 0, "beside"), (0, 1, "in"), (0, 2, "deep"), (0, 3, ""), (0, 4, "a </item> & <b>"), (0, 5, "after")]
+    assert got[2].pub_str == "2024-01-15"
+    many = "<rss><channel>" + "<item><title>t<b/></title></item>" * 5000 + "<item><title>" + "x" * 300_000 + "</title></item></channel></rss>"
+    assert feeds.feed_items(landed(spark, many)).count() == 5001
+    assert [r.title for r in feeds.rss_jobs(landed(spark, body)).orderBy("item_pos").collect()][:2] == ["beside", "in"]
+
+
+def test_every_payload_is_read_or_set_aside(spark):
+    lots = {
+        feeds.parse_documents: [RSS, ATOM, RSS[:-9], "", None, "<rss><channel><item></channel></rss>"],
+        feeds.parse_jobs: [JOBS, '{"jobs":[]}', JOBS[:-4], " ", None],
+        hub.parse_lists: ["[]", '[{"id":"a/b"}]', '[{"id":"a', '{"error":1}', None],
+    }
+    for parse, bodies in lots.items():
+        parsed = parse(landed(spark, *bodies))
+        good, _ = payloads.split_corrupt(parsed)
+        assert sorted(r.src_rank for r in good.collect()) == [0, 1], parse
+        aside = {r.src_rank: r.reason for r in payloads.quarantined(parsed).collect()}
+        assert set(aside) == set(range(2, len(bodies))) and aside[len(bodies) - 1] in ("empty", "unreadable")
+        failed = payloads.quarantined(parse(landed(spark, bodies[0]).withColumn("status", F.lit(503)))).first()
+        assert failed.reason == "failed" and failed.body == bodies[0]
+
+
 def test_atom_papers(spark):
     got = feeds.atom_papers(landed(spark, ATOM)).orderBy("item_pos").collect()
     assert [(r.title, r.authors, r.paper_url, r.published, r.comment) for r in got] == [

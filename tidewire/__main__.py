@@ -6,7 +6,8 @@ startups  --payloads P --now T --out O [--target N]
 mapping   --startups S --products P --out O [--dictionary D] [--threshold X]
 stream    --payloads P --out O --checkpoint C
 
-Payloads, links and repos are Parquet folders; records are written as CSV folders with ordered headers.
+Payloads, links and repos are Parquet folders; records are written as CSV folders with ordered headers. Every batch job writes the
+payloads that gave no records, with the reason, to quarantine/<job> under --out.
 """
 
 from __future__ import annotations
@@ -20,24 +21,38 @@ from tidewire.operators import resolve
 from tidewire.plans import records
 from tidewire.session import build_session
 from tidewire.sinks.files import reuse_or_compute, write_csv
-from tidewire.sources.payloads import read_payload_stream
+from tidewire.sources import feeds, hub
+from tidewire.sources.payloads import feed_format, quarantined, read_payload_stream
 from tidewire.sources.tables import csv_column
 from tidewire.streaming.intake import append_stream
 
 
+def set_aside(parsed: DataFrame, args: argparse.Namespace, kind: str) -> None:
+    """Write the payloads that could not be read; a new run replaces those of the one before."""
+    quarantined(parsed).write.mode("overwrite").parquet(f"{args.out}/quarantine/{kind}")
+
+
 def papers(spark: SparkSession, args: argparse.Namespace) -> None:
     payloads, links, repos = (spark.read.parquet(p) for p in (args.payloads, args.links, args.repos))
     write_csv(records.papers(payloads, links, repos, args.target, args.compat), "RESEARCH_PAPER", f"{args.out}/research_papers")
+    set_aside(feeds.parse_documents(payloads), args, "papers")
 
 
 def signals(spark: SparkSession, args: argparse.Namespace) -> None:
-    write_csv(records.news(spark.read.parquet(args.payloads), args.now), "NEWS", f"{args.out}/news")
-    write_csv(records.jobs(spark.read.parquet(args.jobs), args.now), "JOB", f"{args.out}/jobs")
+    posts, boards = spark.read.parquet(args.payloads), spark.read.parquet(args.jobs)
+    write_csv(records.news(posts, args.now), "NEWS", f"{args.out}/news")
+    write_csv(records.jobs(boards, args.now), "JOB", f"{args.out}/jobs")
+    set_aside(feeds.parse_documents(posts), args, "news")
+    is_json = feed_format(F.col("url")) == "json"
+    parsed = [feeds.parse_jobs(boards.where(is_json)), feeds.parse_documents(boards.where(~is_json))]
+    set_aside(parsed[0].drop("doc").unionByName(parsed[1].drop("doc")), args, "jobs")
 
 
 def startups(spark: SparkSession, args: argparse.Namespace) -> None:
     """Products already stored in the wanted number are kept as they are; without a target they are always made anew."""
-    items = records.hub_rows(spark.read.parquet(args.payloads))
+    lists = spark.read.parquet(args.payloads)
+    items = records.hub_rows(lists)
+    set_aside(hub.parse_lists(lists), args, "startups")
     write_csv(records.startups(items, args.now, args.target), "STARTUP", f"{args.out}/startups")
     products, path = records.products(items, args.now, args.target), f"{args.out}/products"
     if args.target:

@@ -10,6 +10,8 @@ from tidewire.operators import dedup, ranking
 from tidewire.plans import fixtures as fx, records
 from tidewire.plans.catalog import sqltext as sql
 from tidewire.plans.catalog.signals import _plain
+from tidewire.sources import hub as hub_source
+from tidewire.sources.payloads import quarantined
 
 c = F.col
 ITEMS_PER_DOC = 25
@@ -41,6 +43,13 @@ def src_hub_json(spark, sf):
     return rows.select("src_rank", "doc_no", "item_pos", "list_url", "id", "author", "downloads", "likes")
 
 
+def src_hub_quarantine(spark, sf):
+    """Lists that can't be read, some failed, some cut off, some an object instead of a list, with the reason."""
+    cut = F.when(c("doc_no") % 5 == 2, F.expr("substring(body, 1, length(body) - 3)")).when(c("doc_no") % 5 == 3, F.lit('{"error":"busy"}'))
+    lists = payloads(spark, sf).withColumn("body", F.when(c("doc_no") % 5 == 4, F.lit(" ")).otherwise(F.coalesce(cut, c("body"))))
+    return quarantined(hub_source.parse_lists(lists)).select("src_rank", "doc_no", "reason")
+
+
 def json_fields(spark, sf):
     rows = records.hub_rows(payloads(spark, sf))
     return rows.select("src_rank", "doc_no", "item_pos", "downloads", "likes", F.array_join("tags", ",").alias("tags"))
@@ -79,6 +88,7 @@ def plan_products(spark, sf):
 
 QUERIES = {
     "src_hub_json": src_hub_json,
+    "src_hub_quarantine": src_hub_quarantine,
     "json_fields": json_fields,
     "first_seen_orgs": first_seen_orgs,
     "first_seen_products": first_seen_products,
@@ -116,6 +126,8 @@ def _first_product(rows: str, order: str) -> str:
 _PLACED = f"src_rank, doc_no * {ITEMS_PER_DOC} + place"
 
 ORACLES = {
+    "src_hub_quarantine": f"""SELECT DISTINCT src_rank, doc_no, CASE WHEN doc_no % 9 = 0 THEN 'failed' WHEN doc_no % 5 = 4 THEN 'empty' ELSE 'unreadable' END AS reason
+      FROM (SELECT src_rank, CAST(floor(item_pos / {ITEMS_PER_DOC}) AS BIGINT) AS doc_no FROM {_H} AS h) WHERE doc_no % 9 = 0 OR doc_no % 5 > 1""",
     "src_hub_json": f"SELECT src_rank, doc_no, place AS item_pos, list_url, id, author, downloads, likes FROM {_LISTED} AS l",
     "json_fields": f"SELECT src_rank, doc_no, place AS item_pos, downloads, likes, tag AS tags FROM {_LISTED} AS l",
     "first_seen_orgs": f"SELECT src_rank, item_pos, author, downloads, likes FROM ({_first_org(_H, 'src_rank, item_pos')})",

@@ -61,8 +61,19 @@ def payloads(spark, sf):
     piece = F.when(kind == 0, rss).when(kind == 1, atom).otherwise(job)
     ordered = F.array_sort(F.collect_list(F.struct(c("event_id"), piece.alias("piece"))))
     docs = numbered.groupBy("doc_no").agg(F.transform(ordered, lambda p: p["piece"]).alias("pieces"))
+    # RSS items stand in the channel, half of them beside it, or all but the first one two levels deeper
+    half = F.floor(F.size("pieces") / 2).cast("int")
+    layout = F.pmod(F.floor(c("doc_no") / 3), F.lit(3))
+    joined = lambda start, length: F.array_join(F.slice("pieces", start, length), "")
+    rss_body = (
+        F.when(layout == 0, F.concat(F.lit("<rss><channel>"), F.array_join("pieces", ""), F.lit("</channel></rss>")))
+        .when(layout == 1, F.concat(F.lit("<rss><channel>"), joined(F.lit(1), half), F.lit("</channel>"), joined(half + 1, F.size("pieces")), F.lit("</rss>")))
+        .otherwise(F.concat(
+            F.lit("<rss><channel>"), joined(F.lit(1), F.lit(1)), F.lit("<section><group>"), joined(F.lit(2), F.size("pieces")),
+            F.lit("</group></section></channel></rss>")))
+    )
     body = (
-        F.when(kind == 0, F.concat(F.lit("<rss><channel>"), F.array_join("pieces", ""), F.lit("</channel></rss>")))
+        F.when(kind == 0, rss_body)
         .when(
             kind == 1,
             F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), F.array_join("pieces", ""), F.lit("</feed>")),
@@ -105,10 +116,11 @@ def src_jobs_rss(spark, sf):
 
 
 def src_isolate_bad(spark, sf):
-    parsed = feeds.parse_documents(feed_payloads(spark, sf))
-    good, bad = landed.split_corrupt(parsed)
-    tagged = [part.select("doc_no", F.lit(name).alias("lot")) for part, name in ((good, "good"), (bad, "quarantine"))]
-    return signals.union_sources(*tagged)
+    """RSS, Atom and job documents, each in exactly one lot."""
+    landed_ = payloads(spark, sf)
+    parsed = [feeds.parse_documents(landed_.where("kind < 2")), feeds.parse_jobs(landed_.where("kind = 2"))]
+    lots = [part.select("doc_no", F.lit(name).alias("lot")) for one in parsed for part, name in zip(landed.split_corrupt(one), ("good", "quarantine"))]
+    return signals.union_sources(*lots)
 
 
 def src_registry(spark, sf):
@@ -218,7 +230,7 @@ ORACLES = {
       CASE WHEN contains(title, ':') THEN substring(title, strpos(title, ':') + 1) ELSE title END AS role, pub_str
       FROM {_DOCS} AS d WHERE {_KIND} = 0 AND {_READ}""",
     "src_isolate_bad": f"""SELECT DISTINCT doc_no, CASE WHEN doc_no % 11 = 0 THEN 'quarantine' ELSE 'good' END AS lot
-      FROM {_DOCS} AS d WHERE {_KIND} < 2""",
+      FROM {_DOCS} AS d""",
     "src_registry": "SELECT rank, source_name, format, count(doc_no) AS payloads FROM (VALUES {}) AS r(rank, source_name, format) LEFT JOIN (SELECT DISTINCT doc_no FROM {} AS d) AS docs ON rank = ((doc_no % 5) + 5) % 5 GROUP BY 1, 2, 3".format(
         ", ".join(f"({i}, '{n}', '{'json' if 'api' in u else 'rss'}')" for i, (n, u) in enumerate(fixed.JOB_FEEDS)), _DOCS
     ),

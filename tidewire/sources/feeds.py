@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewire.functions.names import join_authors
-from tidewire.functions.once import compute_once
+from tidewire.functions.once import bind, compute_once
 from tidewire.functions.text import collapse_ws, fallback, strip_ws
 
 _TEXTS = "array<struct<_VALUE:string,_href:string>>"
@@ -20,7 +20,10 @@ _ENTRY = (
     f"struct<id:{_TEXTS},title:{_TEXTS},summary:{_TEXTS},published:{_TEXTS},updated:{_TEXTS},link:{_TEXTS},"
     f"author:array<struct<name:{_TEXTS}>>,`arxiv:comment`:{_TEXTS}>"
 )
-_DOCUMENT = f"channel struct<item:array<{_ITEM}>>, item array<{_ITEM}>, entry array<{_ENTRY}>, _corrupt string"
+_DOCUMENT = f"entry array<{_ENTRY}>, _corrupt string"
+# An item with its attributes, whose values may hold any sign; closed at once, or up to its end.
+_ITEMS = r"""(?s)<item(?:\s(?:[^>"'/]++|"[^"]*"|'[^']*'|/(?!>))*+)?(?:/>|>.*?</item\s*>)"""
+_ATOM_PREFIX = r"""xmlns:([^\s=:]+)\s*=\s*["']http://www\.w3\.org/2005/Atom["']"""
 _XML = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "attributePrefix": "_", "valueTag": "_VALUE"}
 _JOBS = "jobs array<struct<company_name:string,title:string,publication_date:string,pubDate:string>>, _corrupt string"
 _JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
@@ -40,17 +43,51 @@ def _present(*elements: Column) -> Column:
 
 
 def parse_documents(payloads: DataFrame) -> DataFrame:
-    """payloads + doc (channel, item, entry) and _corrupt, which holds the body of unreadable documents."""
+    """payloads + doc (entry) and _corrupt, which holds the body of unreadable documents."""
     return _marked(compute_once(payloads, "doc", F.from_xml("body", _DOCUMENT, _XML)))
 
 
+def parse_jobs(payloads: DataFrame) -> DataFrame:
+    """payloads + doc (jobs) and _corrupt, for JSON documents."""
+    return _marked(compute_once(payloads, "doc", F.from_json("body", _JOBS, _JSON)))
+
+
 def _marked(parsed: DataFrame) -> DataFrame:
     unreadable = F.col("doc").isNull() | F.col("doc._corrupt").isNotNull()
     return parsed.withColumn("_corrupt", F.when(unreadable, F.coalesce("body", F.lit(""))))
 
 
-def _rss_items(doc: Column) -> Column:
-    return F.coalesce(doc["channel"]["item"], doc["item"])
+def _plain_markup(body: Column) -> Column:
+    """The document without CDATA sections, whose text is escaped instead, and without comments: every < is markup now."""
+
+    def section(part: Column) -> Column:
+        end = F.instr(part, "]]>")
+        inside = F.replace(F.replace(F.substr(part, F.lit(1), end - 1), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        return F.when(end > 0, F.concat(inside, F.substr(part, end + 3))).otherwise(part)
+
+    opened = bind(
+        F.split(body, r"<!\[CDATA\["),
+        lambda parts: F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), section), "")),
+    )
+    return F.regexp_replace(opened, "(?s)<!--.*?-->", "")
+
+
+def _rss_items(body: Column) -> Column:
+    """The items of a document wherever they stand, in document order, each cut from the text and parsed alone.
+
+    Elements of the Atom namespace are read under whatever prefix the document gives it. Items within items are not told apart.
+    """
+
+    def parsed(plain: Column) -> Column:
+        prefix = F.regexp_extract(body, _ATOM_PREFIX, 1)
+
+        def one(item: Column) -> Column:
+            renamed = F.replace(F.replace(item, F.concat(F.lit("<"), prefix, F.lit(":")), F.lit("<atom:")), F.concat(F.lit("</"), prefix, F.lit(":")), F.lit("</atom:"))
+            return F.from_xml(F.when(prefix == "", item).otherwise(renamed), _ITEM, _XML)
+
+        return F.transform(F.regexp_extract_all(plain, F.lit(_ITEMS), 0), one)
+
+    return bind(_plain_markup(body), parsed)
 
 
 def feed_items(payloads: DataFrame) -> DataFrame:
@@ -73,10 +110,9 @@ def feed_items(payloads: DataFrame) -> DataFrame:
         title, link = _present(i["title"], i["atom:title"]), _present(i["link"], i["atom:link"])
         return unified(title, link, i["pubDate"], i["atom:published"], i["atom:updated"], i["a10:updated"])
 
-    items = F.transform(_rss_items(doc), of_item)
+    items = F.transform(_rss_items(F.col("body")), of_item)
     entries = F.transform(doc["entry"], lambda e: unified(e["title"], e["link"], e["published"], e["updated"]))
-    chosen = F.when(F.size(items) > 0, items).otherwise(entries)
-    return _exploded(parse_documents(payloads), chosen)
+    return _exploded(parse_documents(payloads), bind(items, lambda found: F.when(F.size(found) > 0, found).otherwise(entries)))
 
 
 def _exploded(parsed: DataFrame, items: Column) -> DataFrame:
@@ -88,7 +124,7 @@ def _exploded(parsed: DataFrame, items: Column) -> DataFrame:
 def rss_jobs(payloads: DataFrame) -> DataFrame:
     """Items of RSS documents only: item_pos, title, pub_str."""
     items = F.transform(
-        _rss_items(F.col("doc")),
+        _rss_items(F.col("body")),
         lambda i: F.struct(strip_ws(_text(i["title"])).alias("title"), strip_ws(_text(i["pubDate"])).alias("pub_str")),
     )
     return _exploded(parse_documents(payloads), items)
@@ -104,7 +140,7 @@ def json_jobs(payloads: DataFrame) -> DataFrame:
             F.coalesce(fallback(j["publication_date"], j["pubDate"]), F.lit("")).alias("pub_str"),
         ),
     )
-    return _exploded(_marked(compute_once(payloads, "doc", F.from_json("body", _JOBS, _JSON))), items)
+    return _exploded(parse_jobs(payloads), items)
 
 
 def _paper(entry: Column) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewire.functions.once import compute_once
+
 ITEM = "struct<id:string,author:string,downloads:bigint,likes:bigint,tags:array<string>>"
 _JSON = {"mode": "PERMISSIVE"}
 
@@ -19,10 +21,17 @@ def with_defaults(item: Column) -> list[Column]:
     ]
 
 
+def parse_lists(payloads: DataFrame) -> DataFrame:
+    """payloads + doc (the list) and _corrupt, which holds the body of what is no readable list."""
+    listed = F.when(F.ltrim("body").startswith("["), F.from_json("body", f"array<{ITEM}>", _JSON))
+    parsed = compute_once(payloads, "doc", listed)
+    return parsed.withColumn("_corrupt", F.when(F.col("doc").isNull(), F.coalesce("body", F.lit(""))))
+
+
 def hub_items(payloads: DataFrame) -> DataFrame:
     """Items of JSON list bodies, with the payload's other columns and item_pos."""
     kept = [c for c in payloads.columns if c != "body"]
-    items = payloads.select(*kept, F.posexplode(F.from_json("body", f"array<{ITEM}>", _JSON)).alias("item_pos", "it"))
+    items = parse_lists(payloads).where(F.col("_corrupt").isNull()).select(*kept, F.posexplode("doc").alias("item_pos", "it"))
     return items.select(*kept, "item_pos", *with_defaults(F.col("it")))
 
 

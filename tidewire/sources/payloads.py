@@ -31,6 +31,13 @@ def split_corrupt(parsed: DataFrame, corrupt: str = "_corrupt") -> tuple[DataFra
     return parsed.where(F.col(corrupt).isNull()), parsed.where(F.col(corrupt).isNotNull())
 
 
+def quarantined(parsed: DataFrame) -> DataFrame:
+    """The payloads whose body could not be read, as they came, with reason: failed (by status), empty or unreadable."""
+    payload = [c for c in parsed.columns if c not in ("doc", "_corrupt")]
+    reason = F.when(F.col("status") != 200, "failed").when(F.trim("_corrupt") == "", "empty").otherwise("unreadable")
+    return parsed.where(F.col("_corrupt").isNotNull() | (F.col("status") != 200)).select(*payload, reason.alias("reason"))
+
+
 def read_payload_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """Continuous intake of payload files, keyed by root domain."""
     stream = spark.readStream.schema(PAYLOAD_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
