@@ -161,7 +161,7 @@ def vector_search(spark, sf):
 def vector_index_recall(spark, sf):
     """Whether the index finds nine in ten of the exact neighbours with as many probes as a bounded sample of other queries asks for."""
     path, index, queries, exact = _searched(spark, sf)
-    sample = _embeddings(spark, sf).orderBy(F.xxhash64("vec_id")).limit(TUNING_ROWS)
+    sample = _embeddings(spark, sf).where("vec_id % 100 <> 0").orderBy(F.xxhash64("vec_id")).limit(TUNING_ROWS)
     search.search_exact(index, sample, 10, PROBES, f"{path}/tuning").write.parquet(f"{path}/tuned")
     probes = search.probes_for(index, spark.read.parquet(f"{path}/tuned"), sample, 0.95)
     found = search.recall(search.search(index, queries, 10, probes), exact)
