@@ -1,6 +1,13 @@
 import hashlib
 import heapq
-from collections import Counter, defaultdict
+from collections import Counter
+from fractions import Fraction
+from itertools import groupby
+from math import ceil, floor
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
 
 from tests.llm.helpers import awkward, frame, with_clashes
 from tidewire.llm import mixing, warc_chunks
@@ -59,47 +66,96 @@ def test_awkward_pages(spark, tmp_path):
 
 
 def brute_mix(blocks, weights):
-    """Slots by a simulation of the whole mix, with the phases' shares."""
-    left, done, slots, start = dict(blocks), Counter(), defaultdict(list), 0
-    while left := {s: n for s, n in left.items() if n}:
-        shares = mixing.rounded_weights({s: weights[s] for s in left})
-        total, heap, given, t = sum(shares.values()), [], Counter(), 0
-        while all(left.values()):
-            for s in left:
-                if (s not in [h[1] for h in heap]) and given[s] * total // shares[s] <= t:
-                    heapq.heappush(heap, (-(-(given[s] + 1) * total // shares[s]), s))
-            due, s = heapq.heappop(heap)
-            assert t < due
-            slots[s].append(start + t)
-            given[s] += 1
-            left[s] -= 1
-            t += 1
-        start += t
-    return slots
-
-
-def test_mix_matches_a_full_simulation_and_keeps_close_to_the_weights(spark):
+    """{(source, block): (release, due, slot)} by a simulation of the whole mix, the fluid in exact fractions."""
+    ends = {s: Fraction(blocks[s]) / weights[s] for s in blocks}
+
+    def slots(virtual):
+        return sum(Fraction(blocks[s]) if ends[s] <= virtual else virtual * weights[s] for s in blocks)
+
+    jobs = sorted((floor(slots(i / weights[s])), ceil(slots((i + 1) / weights[s])), s, i) for s in blocks for i in range(blocks[s]))
+    ready, known, found = [], 0, {}
+    for slot in range(len(jobs)):
+        while known < len(jobs) and jobs[known][0] <= slot:
+            release, due, s, i = jobs[known]
+            heapq.heappush(ready, (due, s, i, release))
+            known += 1
+        due, s, i, release = heapq.heappop(ready)
+        assert slot < due
+        found[s, i] = release, due, slot
+    return found
+
+
+def framed(fluid, size):
+    frames = range(-(-fluid.length // size))
+    least = np.array([mixing.waiting(fluid, k * size, min((k + 1) * size, fluid.length)).min() for k in frames], np.int64)
+    return [(s, b) for k in frames for s, b in zip(*(x.tolist() for x in mixing.schedule_frame(fluid, k, least, size)))]
+
+
+@given(st.lists(st.tuples(st.integers(1, 40), st.integers(1, 40)), min_size=1, max_size=12), st.sampled_from([1, 2, 7, 64, 1000]))
+@settings(max_examples=150, deadline=None)
+def test_frames_of_any_size_make_the_schedule_of_a_full_simulation(sources, size):
+    blocks, weights = {i: n for i, (n, _) in enumerate(sources)}, {i: Fraction(w) for i, (_, w) in enumerate(sources)}
+    fluid = mixing.Fluid(blocks.values(), map(float, weights.values()))
+    want = {slot: job for job, (_, _, slot) in brute_mix(blocks, weights).items()}
+    assert framed(fluid, size) == [want[slot] for slot in range(fluid.length)]
+
+
+def test_five_thousand_sources_stay_within_a_block_of_their_weights():
+    rng = np.random.default_rng(3)
+    weights = rng.pareto(1.0, 5000) + 0.01
+    blocks = (weights * rng.uniform(0.5, 2, 5000) * 60_000 / weights.sum()).astype(int) + 1
+    fluid = mixing.Fluid(blocks, weights)
+    order = framed(fluid, 4096)
+    assert len(set(order)) == len(order) == blocks.sum()
+    # Before any source runs out, the fluid is slots times weight.
+    had, share = np.zeros(5000), weights / weights.sum()
+    for slot, (s, _) in enumerate(order, 1):
+        if slot > fluid.turns[0]:
+            break
+        had[s] += 1
+        assert abs(had - slot * share).max() < 1 + mixing.NEAR
+    # Later on, each block lies in the window of its part of the fluid.
+    source, block = (np.array(x) for x in zip(*order))
+    slots = np.arange(len(order))
+    assert (fluid.release(source, block) <= slots).all() and (slots < fluid.due(source, block)).all()
+
+
+def test_a_long_mix_keeps_to_weights_that_no_round_number_gives():
+    weights = np.array([1 / np.pi, 1 / 7000.3, 0.5])
+    weights = np.append(weights, 1 - weights.sum())
+    fluid = mixing.Fluid((weights * 400_000).astype(int) + 1, weights)
+    source = np.array([s for s, _ in framed(fluid, mixing.FRAME)])[: int(fluid.turns[0])]
+    had = np.cumsum(source[:, None] == np.arange(4), axis=0)
+    assert abs(had - np.arange(1, len(source) + 1)[:, None] * weights).max() < 1 + mixing.NEAR
+
+
+def test_mix_matches_a_full_simulation(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "FRAME", 16)
     sizes = {"a": 40 * 32, "b": 25 * 32 - 3, "c": 7 * 32, "d": 1}
     rows = frame(spark, [(i, f"t{i}", "en", s, 1) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))])
-    weights = {"a": 0.31, "b": 0.42, "c": 0.2, "d": 0.07}
+    weights = {"a": 31, "b": 42, "c": 20, "d": 7}
     found = mixing.mix(rows, weights).collect()
-    want = brute_mix({f"={s}": -(-n // 32) for s, n in sizes.items()}, {f"={s}": w for s, w in weights.items()})
-    slots = {(r.source, r.block): r.slot for r in found}
-    assert slots == {(s[1:], i): slot for s, own in want.items() for i, slot in enumerate(own)}
+    want = brute_mix({s: -(-n // 32) for s, n in sizes.items()}, {s: Fraction(w) for s, w in weights.items()})
+    assert {(r.source, r.block): (r.release, r.due, r.slot) for r in found} == want
     assert len({(r.slot, r.place) for r in found}) == len(found) == sum(sizes.values())
+    assert [p for p, _ in groupby(sorted(r.phase for r in found))] == [0, 1, 2, 3]
+    with pytest.raises(ValueError):
+        mixing.mix(rows, {"a": 0.0})
+
+
+def test_sources_beyond_the_bound_flow_together(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 3)
+    rows = frame(spark, [(i, f"t{i}", "en", None if i % 41 == 0 else f"s{i % 41 if i % 2 else 1}", 1) for i in range(6000)])
+    found = mixing.mix(rows).collect()
+    assert sorted(r.doc_id for r in found) == list(range(6000))
+    assert len({(r.slot, r.place) for r in found}) == 6000
     assert all(r.release <= r.slot < r.due for r in found)
-    shares = mixing.rounded_weights({f"={s}": w for s, w in weights.items()})
-    first_end = min(r.slot for r in found if r.phase == 1)
-    for t in range(1, first_end + 1):
-        for s in sizes:
-            had = sum(slot < t for (source, _), slot in slots.items() if source == s)
-            assert abs(had - t * shares[f"={s}"] / mixing.RESOLUTION) < 1
-
-
-def test_rounded_weights_add_up():
-    for weights in ({"a": 1.0}, {"a": 1e-9, "b": 1.0}, {str(i): 1.0 for i in range(170)}, {"a": 1 / 3, "b": 1 / 3, "c": 1 / 3}):
-        shares = mixing.rounded_weights(weights)
-        assert sum(shares.values()) == mixing.RESOLUTION and min(shares.values()) >= 1
+
+
+def test_more_sources_than_rows_of_a_block(spark):
+    rows = frame(spark, [(i, f"t{i}", "en", f"s{i % 500}", 1) for i in range(1500)])
+    found = mixing.mix(rows).collect()
+    assert sorted(r.doc_id for r in found) == list(range(1500)) and len({r.slot for r in found}) == 500
 
 
 def test_mixed_order_keeps_every_row(spark, tmp_path):
