@@ -1,9 +1,12 @@
 import math
 import re
+import time
 from collections import Counter
+from itertools import accumulate
 
 import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import awkward, docs, frame, with_clashes
 from tidewire.llm import quality, secret_ledger
@@ -29,6 +32,25 @@ def test_spans_match_a_plain_search(spark):
             assert [tuple(x) for x in row[rule.kind]] == brute_spans(TRICKY[row.doc_id] or "", rule), (row.doc_id, rule.kind)
 
 
+def test_running_sums(spark):
+    sizes = [[], [5], [1, 2], [3, 0, 4], list(range(33)), [1] * 1000]
+    found = frame(spark, [(x,) for x in sizes], "x array<int>").select("x", secret_ledger.running_sums(F.col("x")).alias("sums")).collect()
+    assert all(r.sums == list(accumulate(r.x)) for r in found) and len(found) == len(sizes)
+
+
+def test_a_text_of_many_matches_takes_time_by_its_length(spark):
+    def seconds(n):
+        text = f"{'0123456789abcdef' * 2}\u00e9 " * n
+        rows = docs(spark, [text]).select(secret_ledger.find_spans(F.col("text"), RULES[2]).alias("s"))
+        begun = time.monotonic()
+        spans = rows.first().s
+        assert [tuple(x) for x in spans] == [(i * 34, i * 34 + 32) for i in range(n)]
+        return time.monotonic() - begun
+
+    seconds(10)
+    assert seconds(64_000) < 8  # a growing array took a minute
+
+
 def scanned(ledger, rows):
     ledger.scan(rows, "doc_id", "text")
     return {r.path: [(x.kind, x.start, x.end) for x in r.spans or []] for r in ledger.findings(rows, "doc_id", "text").collect()}

@@ -51,23 +51,26 @@ _SPANS = "array<struct<start:int,end:int>>"
 _LEDGER = f"blob_id string, rule string, spans {_SPANS}"
 
 
+def running_sums(sizes: Column) -> Column:
+    """The sums of an array of integers up to each place, each round adding what lies twice as far back: n log n steps, no array that grows."""
+    rounds = F.greatest(F.ceil(F.log2(F.size(sizes))) - 1, F.lit(0)).cast("int")
+    add = lambda sums, k: F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0)))
+    return F.when(F.size(sizes) > 0, F.aggregate(F.sequence(F.lit(0), rounds), sizes, add)).otherwise(sizes)
+
+
 def find_spans(text: Column, rule: Rule) -> Column:
     """Spans of the leftmost matches, in code points: the lengths of what lies between matches add up to the places."""
     none = F.array().cast(_SPANS)
 
     def walk(found: Column) -> Column:
         between = F.split(text, rule.pattern, -1)
+        steps = bind(between, lambda b: F.transform(found, lambda m, i: F.char_length(F.get(b, i)) + F.char_length(m)))
+        ends = bind(steps, running_sums)
+        spans = bind(ends, lambda e: F.transform(found, lambda m, i: F.struct((F.get(e, i) - F.char_length(m)).alias("start"), F.get(e, i).alias("end"))))
+        if rule.least == 1:
+            return spans
         sized = found if rule.group == 0 else F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-
-        def step(state: Column, x: Column) -> Column:
-            start = state["at"] + x["skip"]
-            end = start + x["size"]
-            span = F.array(F.struct(start.alias("start"), end.alias("end")))
-            return F.struct(end.alias("at"), F.concat(state["spans"], F.when(x["tested"] >= rule.least, span).otherwise(none)).alias("spans"))
-
-        parts = bind(between, lambda b: bind(sized, lambda s: F.transform(found, lambda m, i: F.struct(
-            F.char_length(F.get(b, i)).alias("skip"), F.char_length(m).alias("size"), F.char_length(F.get(s, i)).alias("tested")))))
-        return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("spans")), step)["spans"]
+        return bind(sized, lambda s: F.filter(spans, lambda x, i: F.char_length(F.get(s, i)) >= rule.least))
 
     matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     spans = bind(matches, lambda found: F.when(F.size(found) == 0, none).otherwise(walk(found)))
