@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,88 @@ def test_a_rare_language_of_a_large_table_is_known(spark):
     assert all(found[100000 + i].language == "el" and found[100000 + i].kept for i in range(3))
 
 
+def test_languages_beyond_the_bound_share_a_class(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    greek = "η γάτα κοιμάται στην καρέκλα και τα παιδιά παίζουν στον κήπο "
+    russian = "кошка спит на стуле и дети играют в саду со своими друзьями "
+    rare = frame(spark, [(100 + i, (greek if i % 2 else russian)[i:], "el" if i % 2 else "ru", "www.c.example", 1) for i in range(8)])
+    rows = labelled(spark).unionByName(rare).unionByName(frame(spark, [(200, greek[3:], None, None, 1), (201, "on", "q" * 8, "www.b.example", 1)]))
+    model = language.train(rows)
+    assert model[0] == ["en", "fr", language.OTHER] and model[1].shape[1] == 3
+    found = {r.doc_id: r for r in language.identify(rows, model).collect()}
+    assert all(found[100 + i].language == ("el" if i % 2 else "ru") and found[100 + i].kept for i in range(8))
+    assert (found[200].language, found[200].kept) == (language.OTHER, True)
+    assert all(found[i].language == ("fr" if i % 2 else "en") and found[i].kept for i in range(40))
+
+
+def test_any_number_of_tags_leaves_a_bounded_model(spark):
+    tag = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3))
+    tags = frame(spark, [(1000 + i, f"words of {i}", f"z{tag(i)}", "s", 1) for i in range(3000)])
+    known, table = language.train(labelled(spark).unionByName(tags))
+    assert len(known) == language.MAX_LANGUAGES + 1 == table.shape[1] and {"en", "fr", language.OTHER} <= set(known)
+
+
+def test_draws_pass_their_share():
+    assert language._draws(2.0) == language._draws(1.0) == 2**63 - 1
+    assert language._draws(0.5) == 0 and language._draws(0.0) == -(2**63) and language._draws(0.25) == -(2**62)
+
+
+def brute_posteriors(rows, langs):
+    """{doc_id: (language, posterior)} of rows (doc_id, text, lang, source), evidence by evidence in plain Python."""
+    def grams(text):
+        data = f" {text.lower()} ".encode() if text and not text.isspace() else b""
+        return [int.from_bytes(data[i : i + 4], "big") * 2654435769 % (1 << 32) >> (32 - language.GRAM_BITS) for i in range(len(data) - 3)]
+
+    def normal(logs):
+        raised = [math.exp(x - max(logs)) for x in logs]
+        return [x / sum(raised) for x in raised]
+
+    model = []
+    for lang in langs:
+        counts = Counter(g for _, text, own, _ in rows if own == lang for g in grams(text))
+        whole = sum(counts.values()) + language.UNSEEN * (1 << language.GRAM_BITS)
+        model.append(lambda g, counts=counts, whole=whole: math.log((counts[g] + language.UNSEEN) / whole))
+    model.append(lambda g: -math.log(1 << language.GRAM_BITS))
+    classes, n, smooth = [*langs, language.UNKNOWN], len(langs) + 1, language.SMOOTHING
+    text_logs = {d: [language.TEXT_WEIGHT * sum(map(own, grams(text))) for own in model] for d, text, _, _ in rows}
+    told = [(normal(text_logs[d]), lang if lang in langs else lang and language.UNKNOWN, host) for d, text, lang, host in rows if grams(text)]
+    sums = lambda pick: [sum(p[i] for p, lang, host in told if pick(lang, host)) for i in range(n)]
+    total = sums(lambda lang, host: True)
+    prior = [(x + smooth / n) / (sum(total) + smooth) for x in total]
+    domain_of = lambda host: ".".join(host.split(".")[-2:])
+    under = lambda s, parent: [(x + smooth * q) / (sum(s) + smooth) for x, q in zip(s, parent)]
+    given_that = lambda s: [math.log((x + smooth / n) / (t + smooth)) for x, t in zip(s, total)]
+    seen_hosts = {host for _, _, host in told}
+    found = {}
+    for d, text, lang, host in rows:
+        logs = text_logs[d]
+        lang = lang if lang in langs else lang and language.UNKNOWN
+        if lang is not None and any(own == lang for _, own, _ in told):
+            logs = [a + b for a, b in zip(logs, given_that(sums(lambda own, _: own == lang)))]
+        if host is not None and "." in host and any(h and "." in h and h.split(".")[-1] == host.split(".")[-1] for _, _, h in told):
+            logs = [a + b for a, b in zip(logs, given_that(sums(lambda _, h: h is not None and "." in h and h.split(".")[-1] == host.split(".")[-1])))]
+        place = prior
+        if host is not None and host in seen_hosts:
+            by_domain = under(sums(lambda _, h: h is not None and domain_of(h) == domain_of(host)), prior)
+            place = under(sums(lambda _, h: h == host), by_domain)
+        p = normal([a + math.log(q) for a, q in zip(logs, place)])
+        found[d] = (classes[p.index(max(p))] if grams(text) else language.UNKNOWN, max(p))
+    return found
+
+
+def test_posteriors_match_a_plain_version(spark):
+    extra = [
+        (100, "les amis", None, "www.a.example"), (101, "on", "fr", "x.a.example"), (102, "世界你好", "zz", "lone"), (103, "cat", "en", None), (104, None, "fr", "www.b.example"),
+        (105, "le the", None, "new.b.other"), (106, "chat on", "en", "www.a.example")]
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in labelled(spark).collect()] + extra
+    docs_ = frame(spark, [(*row, 1) for row in rows])
+    model = language.train(docs_)
+    want = brute_posteriors(rows, model[0])
+    for r in language.identify(docs_, model).collect():
+        lang, posterior = want[r.doc_id]
+        assert r.language == lang and abs(r.posterior - posterior) < 2e-5, (r.doc_id, r, want[r.doc_id])
+
+
 def test_evidence_from_addresses(spark):
     rows = [(i, FRENCH if i % 2 else ENGLISH, None, None, 1) for i in range(20)]
     pages = frame(spark, rows).selectExpr("*", "if(doc_id % 2 = 1, 'https://m.site.fr/a', 'http://user@site.co.uk:80/b') as url")

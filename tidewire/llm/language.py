@@ -5,8 +5,10 @@ log P(language | all) is, up to a constant, the sum of
   - log P(declared language | language), from the declarations of all documents,
   - log P(address suffix | language), from the addresses of all documents,
   - log P(language | host), smoothed from host to registered domain to the whole corpus.
-The n-gram model is fitted on at most LANGUAGE_ROWS rows of each declared language, so it has all of them; all other counts are grouped sums of the text posteriors of
-every document. "und" stands against the languages with evenly likely n-grams, so noise and unknown scripts go to it.
+The n-gram model is fitted on at most LANGUAGE_ROWS rows of each declared language. The MAX_LANGUAGES languages that most rows
+declare have a class of their own; those beyond share the class "mis", in which a row's language is the one that it declares, so
+that whatever stands in the declarations, the model is bounded and no declared language is lost. All other counts are grouped
+sums of the text posteriors of every document. "und" stands against the languages with evenly likely n-grams, so noise and unknown scripts go to it.
 
 A null or empty text has no n-grams and is "und", not kept. Missing declarations, addresses and hosts add nothing but the
 corpus prior. Repeated rows are judged alike. An empty table gives no rows.
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidewire.functions.once import bind
 from tidewire.llm.arrow_slices import slices
 from tidewire.llm.common import row_name, stored, without
 
@@ -30,6 +33,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Rows of each declared language that the n-gram model is fitted on at most, those with the smallest hashed keys.
 LANGUAGE_ROWS = 1000
+#: Classes of declared languages, apart from the shared one. With GRAM_BITS it bounds the model: 0.5 MB a class on the driver.
+MAX_LANGUAGES = 250
+#: Rows that are looked at for each that is chosen for the n-gram model.
+SPARE = 4
 #: Buckets of hashed n-grams of GRAM bytes.
 GRAM_BITS, GRAM = 16, 4
 #: Count that a slot has without any n-gram.
@@ -41,6 +48,8 @@ SMOOTHING = 5.0
 #: Posterior that an accepted language has at least.
 MIN_POSTERIOR = 0.5
 UNKNOWN = "und"
+#: Class of the languages beyond MAX_LANGUAGES.
+OTHER = "mis"
 
 
 @dataclass(frozen=True)
@@ -86,31 +95,48 @@ def _gram_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found.astype(np.int32)), pa.array(counts.astype(np.int64))], ["lang", "slot", "n"])
 
 
+def _classes(texts: DataFrame) -> dict[str, int]:
+    """Rows of each class: the MAX_LANGUAGES commonest languages, and OTHER where there are more."""
+    sizes = texts.groupBy("own_lang").agg(F.count("*").alias("n"))
+    common = sizes.where(F.col("own_lang") != OTHER).orderBy(F.desc("n"), "own_lang").limit(MAX_LANGUAGES).collect()
+    classes = {r["own_lang"]: r["n"] for r in common}
+    beyond = sizes.where(~F.col("own_lang").isin(list(classes))).agg(F.sum("n").alias("n")).first()["n"]
+    return classes | ({OTHER: beyond} if beyond else {})
+
+
 def train(docs: DataFrame, columns: Columns = Columns()) -> tuple[list[str], np.ndarray]:
-    """(languages, log probabilities of the slots by language) from at most LANGUAGE_ROWS rows of each declared language.
+    """(classes, log probabilities of the slots by class) from at most LANGUAGE_ROWS rows of each declared language.
 
     A language of which no row has a text is not in the model.
     """
     texts = docs.select(F.col(columns.key).alias("own"), _primary(columns.declared).alias("own_lang"), F.col(columns.text).alias("text")).where("own_lang is not null and text <> ''")
-    labelled = texts.select(F.col("own").alias("id"), F.col("own_lang").alias("lang")).distinct()
-    # Each map task passes on at most LANGUAGE_ROWS rows of a language.
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id", "lang"), "id"))
-    chosen = labelled.withColumn("rank", rank).where(F.col("rank") <= LANGUAGE_ROWS).drop("rank")
-    sample = texts.join(F.broadcast(chosen), F.col("own").eqNullSafe(F.col("id")) & (F.col("own_lang") == F.col("lang"))).select("lang", "text")
-    counts = sample.mapInArrow(_gram_counts, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
-    # At most 2^GRAM_BITS counts a language.
-    rows = counts.toArrow()
-    coded = rows.column("lang").combine_chunks().dictionary_encode()
-    names = coded.dictionary.to_pylist()
-    langs = sorted(names)
+    classes = _classes(texts)
+    langs = sorted(classes)
     table = np.full((1 << GRAM_BITS, len(langs)), UNSEEN)
-    place = {lang: i for i, lang in enumerate(langs)}
-    places = np.array([place[x] for x in names], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
-    np.add.at(table, (rows.column("slot").to_numpy(), places), rows.column("n").to_numpy())
+    if langs:
+        one = F.when(F.col("own_lang").isin(langs), F.col("own_lang")).otherwise(OTHER)
+        texts = texts.withColumn("own_lang", one)
+        labelled = texts.select(F.col("own").alias("id"), F.col("own_lang").alias("lang"), F.xxhash64("own", "own_lang").alias("draw"))
+        # A class of n rows sends on those whose draw is among some SPARE * LANGUAGE_ROWS in n, however many tasks read it.
+        limits = F.create_map(*(F.lit(x) for lang, n in classes.items() for x in (lang, _draws(SPARE * LANGUAGE_ROWS / n))))
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id"))
+        few = labelled.where(F.col("draw") <= limits[F.col("lang")]).distinct()
+        chosen = few.withColumn("rank", rank).where(F.col("rank") <= LANGUAGE_ROWS).select("id", "lang")
+        # At most LANGUAGE_ROWS ids of each class are sent to the texts.
+        sample = texts.join(F.broadcast(chosen), F.col("own").eqNullSafe(F.col("id")) & (F.col("own_lang") == F.col("lang"))).select("lang", "text")
+        counts = sample.mapInArrow(_gram_counts, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+        places = F.create_map(*(F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)))
+        rows = counts.select(places[F.col("lang")].alias("place"), "slot", "n").toArrow()  # at most 2^GRAM_BITS a class
+        np.add.at(table, (rows.column("slot").to_numpy(), rows.column("place").to_numpy()), rows.column("n").to_numpy())
     table /= table.sum(axis=0)
     return langs, np.log(table, out=table)
 
 
+def _draws(share: float) -> int:
+    """The largest of the smallest 64-bit numbers that make up the share."""
+    return min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)) if share < 1 else (1 << 63) - 1
+
+
 def _scorer(table: np.ndarray) -> Callable:
     small = table.astype(np.float32)
 
@@ -168,11 +194,11 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], columns: Colu
     scored = parts.mapInArrow(_scorer(table), kinds)
     noise = F.array(F.col("n_grams") * F.lit(-float(np.log(1 << GRAM_BITS))))
     text_logs = F.transform(F.concat("likelihood", noise), lambda x: x * TEXT_WEIGHT)
-    declared = F.when(F.col("stated").isin(known), F.col("stated")).otherwise(F.when(F.col("stated").isNotNull(), UNKNOWN))
+    declared = F.when(F.col("stated").isin(known), F.col("stated")).otherwise(F.when(F.col("stated").isNotNull(), OTHER if OTHER in known else UNKNOWN))
     address = F.split("host", r"\.")
     rows = stored(
         scored.withColumn("logs", text_logs).select(
-            "doc_id", "name", "host", "logs", "n_grams", declared.alias("declared"),
+            "doc_id", "name", "host", "stated", "logs", "n_grams", declared.alias("declared"),
             F.when(F.size(address) > 1, F.element_at(address, -1)).alias("suffix"),
             F.array_join(F.slice(address, F.greatest(F.size(address) - 1, F.lit(1)), 2), ".").alias("domain"),
             _normal(F.col("logs")).alias("p")),
@@ -210,7 +236,9 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], columns: Colu
     logs = _plus(_plus(F.col("logs"), F.coalesce("declared_logs", none)), _plus(F.coalesce("suffix_logs", none), host_logs))
     fused = joined.withColumn("posteriors", _normal(logs))
     names = F.array(*map(F.lit, langs))
-    best = lambda xs: F.get(names, F.array_position(xs, F.array_max(xs)).cast("int") - 1)
+    likeliest = lambda xs: F.get(names, F.array_position(xs, F.array_max(xs)).cast("int") - 1)
+    stands_for = F.when(F.col("declared") == OTHER, F.col("stated")).otherwise(OTHER)
+    best = lambda xs: bind(likeliest(xs), lambda lang: F.when(lang == OTHER, stands_for).otherwise(lang))
     empty = F.col("n_grams") == 0
     judged = fused.select(
         "doc_id", F.when(empty, UNKNOWN).otherwise(best(F.col("posteriors"))).alias("language"),
