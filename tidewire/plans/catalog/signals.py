@@ -9,8 +9,10 @@ from tidewire.functions import names as fn, rules, text
 from tidewire.functions.dates import fmt_iso, parse_date
 from tidewire.functions.once import compute_once
 from tidewire.operators import ranking, signals
+from tidewire.operators.counting import RunCounts
 from tidewire.plans import fixtures as fx, records
 from tidewire.plans.catalog import sqltext as sql
+from tidewire.session import fresh_path
 from tidewire.sources import feeds, payloads as landed
 
 c = F.col
@@ -171,6 +173,15 @@ def plan_jobs(spark, sf):
     return _plain(model.to_contract(records.jobs(payloads(spark, sf).where("kind <> 1"), fx.NOW), "JOB"))
 
 
+def run_counts(spark, sf):
+    """Counts of a run over news and quarantine, taken while both are written."""
+    counts, feed = RunCounts([f"feed-{i}" for i in range(5)]), feed_payloads(spark, sf)
+    records.news(feed, fx.NOW, counts).write.parquet(fresh_path(spark, "run-news"))
+    lot = counts.watch(landed.quarantined(feeds.parse_documents(feed)), "news", "quarantined", "source_name")
+    lot.write.parquet(fresh_path(spark, "run-quarantine"))
+    return counts.report(spark)
+
+
 def page_offset(spark, sf):
     return ranking.page_offset(dated(spark, sf).select("event_id", fmt_iso(c("t")).alias("t")), 200, 100, [F.desc("t"), "event_id"])
 
@@ -205,6 +216,7 @@ QUERIES = {
     "page_after": page_after,
     "plan_news": plan_news,
     "plan_jobs": plan_jobs,
+    "run_counts": run_counts,
 }
 
 _F = f"(SELECT *, CASE WHEN fmt <> 4 THEN t END AS published FROM ({fx.oracle(fx.FEED_ITEMS)}) AS raw)"
@@ -264,4 +276,13 @@ ORACLES = {
       strftime(published, {sql.ISO}) AS content_date, true AS content_is_remote,
       CASE WHEN {_KIND} = 2 THEN {sql.role('title')} ELSE 'Engineering' END AS content_role_family
       FROM {_DOCS} AS d WHERE {_KIND} <> 1 AND {_READ} AND {_IS_FRESH}""",
+    "run_counts": f"""WITH d AS (SELECT * FROM {_DOCS} AS x WHERE {_KIND} < 2),
+      of AS (SELECT source_name_doc AS source, count(*) FILTER (WHERE {_READ}) AS items, count(*) FILTER (WHERE {_READ} AND {_IS_FRESH}) AS accepted,
+        count(DISTINCT doc_no) FILTER (WHERE NOT ({_READ})) AS quarantined FROM d GROUP BY GROUPING SETS ((source_name_doc), ())),
+      named AS (SELECT CAST(NULL AS VARCHAR) AS source UNION ALL SELECT concat('feed-', i) FROM range(5) AS r(i)),
+      full_ AS (SELECT n.source, coalesce(items, 0) AS items, coalesce(accepted, 0) AS accepted, coalesce(quarantined, 0) AS quarantined
+        FROM named AS n LEFT JOIN of ON n.source IS NOT DISTINCT FROM of.source)
+      SELECT 'news' AS kind, step, source, CAST(n AS BIGINT) AS rows FROM (
+        SELECT source, 'items' AS step, items AS n FROM full_ UNION ALL SELECT source, 'accepted', accepted FROM full_
+        UNION ALL SELECT source, 'rejected', items - accepted FROM full_ UNION ALL SELECT source, 'quarantined', quarantined FROM full_)""",
 }

@@ -12,6 +12,7 @@ from tidewire.functions.dates import fmt_iso, parse_date
 from tidewire.functions.links import search_text
 from tidewire.functions.once import compute_once
 from tidewire.operators import dedup, extraction, linking, ranking, resolve, signals
+from tidewire.operators.counting import RunCounts
 from tidewire.sources import feeds, hub
 from tidewire.sources.payloads import feed_format, ok_payloads
 
@@ -38,25 +39,31 @@ def _dated(items: DataFrame, now) -> DataFrame:
     return signals.fresh_only(compute_once(items, "published", parse_date(F.col("pub_str"), now)), "published", now)
 
 
-def news(payloads: DataFrame, now) -> DataFrame:
-    """Feed payloads to NEWS records of the last 24 hours."""
-    fresh = _dated(feeds.feed_items(ok_payloads(payloads)), now)
+def _counted(rows: DataFrame, counts: RunCounts | None, kind: str, step: str, source: str | None = None) -> DataFrame:
+    return counts.watch(rows, kind, step, source) if counts else rows
+
+
+def news(payloads: DataFrame, now, counts: RunCounts | None = None) -> DataFrame:
+    """Feed payloads to NEWS records of the last 24 hours. counts takes note of the items and of the accepted ones."""
+    items = _counted(feeds.feed_items(ok_payloads(payloads)), counts, "news", "items", "source_name")
+    fresh = _counted(_dated(items, now), counts, "news", "accepted", "source_name")
     content = model.content(title=F.col("title"), published_date=fmt_iso(F.col("published")))
     source = model.source(F.col("source_name"), names.link_or_source(F.col("link"), F.col("url")))
     return fresh.select(*model.head("NEWS"), source, content, model.collected_at(now))
 
 
-def jobs(payloads: DataFrame, now) -> DataFrame:
-    """Job-board payloads to JOB records of the last 24 hours; the address tells JSON boards from RSS ones."""
+def jobs(payloads: DataFrame, now, counts: RunCounts | None = None) -> DataFrame:
+    """Job-board payloads to JOB records of the last 24 hours; the address tells JSON boards from RSS ones. counts as for news."""
     ok = ok_payloads(payloads)
     is_json = feed_format(F.col("url")) == "json"
     from_json = feeds.json_jobs(ok.where(is_json)).select(
-        names.json_company(F.col("company")).alias("company"), rules.role_family(F.col("title")).alias("role"), "pub_str"
+        names.json_company(F.col("company")).alias("company"), rules.role_family(F.col("title")).alias("role"), "pub_str", "source_name"
     )
     from_rss = feeds.rss_jobs(ok.where(~is_json)).select(
-        names.split_company_title(F.col("title"))["company"].alias("company"), F.lit("Engineering").alias("role"), "pub_str"
+        names.split_company_title(F.col("title"))["company"].alias("company"), F.lit("Engineering").alias("role"), "pub_str", "source_name"
     )
-    fresh = _dated(signals.union_sources(from_json, from_rss), now)
+    items = _counted(signals.union_sources(from_json, from_rss), counts, "jobs", "items", "source_name")
+    fresh = _counted(_dated(items, now), counts, "jobs", "accepted", "source_name")
     content = model.content(
         company=F.col("company"), date=fmt_iso(F.col("published")), is_remote=F.lit(True), role_family=F.col("role")
     )
