@@ -254,8 +254,11 @@ def in_mixed_order(
 ) -> DataFrame:
     """All rows of docs in the order of the mix: written out, the files in order of name hold the slots in order.
 
-    Spark reads files in another order. With places, the columns of PLACES are added, which any reader can sort by.
+    Spark reads files in another order. With places, the columns of PLACES are added, which any reader can sort by; columns of
+    those names that docs has give way to them.
     """
+    if places:
+        docs = docs.drop(*PLACES)
     mixed = mix(docs, weights, key, source, text).groupBy("content").agg(F.min("slot").alias("slot"), F.min("place").alias("place"))
     rows = packed(docs, content=row_name(key, text)).join(mixed, "content")
     ordered = rows.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
