@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tidewire.operators import dedup, extraction, ranking
+from tidewire.sinks.signatures import SignatureStore
 from tidewire.streaming import dedup as stream_dedup, intake
 
 START = datetime(2024, 1, 1)
@@ -194,3 +195,32 @@ def test_validate_payloads(spark):
     assert [got[i].reason for i in range(7)] == [None, None, "missing entityName", "corrupt", "corrupt", "corrupt", "corrupt"]
     assert got[0].record.employeeCount == 3 and got[1].record.employeeCount is None and got[3].record is None
     assert got[0].record.schemaVersion == "1.0" and got[0].record.recordType == "STARTUP"
+
+
+def test_signature_store_is_read_by_the_next_run(spark, tmp_path):
+    store = SignatureStore(spark, f"{tmp_path}/seen")
+    batch = lambda *rows: spark.createDataFrame(list(rows), "id long, sig string")
+
+    def run(rows, number):
+        kept = store.unseen(rows, "sig", ["id"], number)
+        store.write(kept, "sig", number)
+        return sorted((r.id, r.sig) for r in kept.collect() if r.sig is not None), sum(r.sig is None for r in kept.collect())
+
+    first = batch((1, "a"), (2, "b"), (3, "a"), (4, None))
+    assert run(first, 1) == ([(1, "a"), (2, "b")], 1)
+    second = batch((5, "b"), (6, "c"), (7, None), (8, "c"))
+    for _ in range(2):  # a batch that is run again finds and stores the same
+        assert run(second, 2) == ([(6, "c")], 1)
+        assert sorted(r.sig for r in store.stored(9).collect()) == ["a", "b", "c"]
+    assert run(first, 1) == ([(1, "a"), (2, "b")], 1)
+    assert run(batch().limit(0), 3) == ([], 0)
+    assert run(batch((9, "a"), (10, "d")), 4) == ([(10, "d")], 0)
+
+
+def test_a_look_up_reads_only_the_shards_asked_for(spark, tmp_path):
+    store = SignatureStore(spark, f"{tmp_path}/seen")
+    store.write(spark.range(5000).selectExpr("concat('s', id) AS sig"), "sig", 1)
+    spark.createDataFrame([(1, "s17"), (2, "new")], "id long, sig string").write.parquet(f"{tmp_path}/asked")
+    found = store.seen(spark.read.parquet(f"{tmp_path}/asked").where("id > 0").select("sig"), 2)
+    assert [r.sig for r in found.collect()] == ["s17"]
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()

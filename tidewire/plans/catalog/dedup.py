@@ -10,6 +10,8 @@ from tidewire.functions.dates import fmt_iso
 from tidewire.operators import dedup
 from tidewire.plans import fixtures as fx
 from tidewire.plans.catalog import sqltext as sql
+from tidewire.session import fresh_path
+from tidewire.sinks.signatures import SignatureStore
 from tidewire.sources import payloads as landed
 from tidewire.streaming import dedup as stream_dedup, intake
 
@@ -38,6 +40,18 @@ def dedup_url_title(spark, sf):
     return fresh.select("event_id", "sig")
 
 
+def dedup_store(spark, sf):
+    """Three batches by moment, each against what the ones before stored; the last one is run twice."""
+    rows = fx.derive(spark, sf, fx.SIGHTINGS).withColumn("sig", fn.url_title_signature(c("url"), c("name")))
+    day = F.when(c("ts") < F.lit("2024-01-02").cast("timestamp"), 1).when(c("ts") < F.lit("2024-01-10").cast("timestamp"), 2).otherwise(3)
+    store, found = SignatureStore(spark, fresh_path(spark, "signatures")), []
+    for batch in (1, 2, 3, 3):
+        kept = store.unseen(rows.where(day == batch), "sig", ["ts", "event_id"], batch)
+        store.write(kept, "sig", batch)
+        found.append(kept.select(F.lit(batch).alias("batch"), "event_id", "sig"))
+    return found[0].unionByName(found[1]).unionByName(found[3])
+
+
 def event_stream(spark, sf, files_per_trigger=1):
     """The events table as a file stream, with moments in UTC."""
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
@@ -138,6 +152,7 @@ QUERIES = {
     "content_hash": content_hash,
     "dedup_ttl": dedup_ttl,
     "dedup_url_title": dedup_url_title,
+    "dedup_store": dedup_store,
     "stream_fresh": stream_fresh,
     "stream_append": stream_append,
     "stream_dedup_ttl": stream_dedup_ttl,
@@ -161,6 +176,9 @@ ORACLES = {
     "dedup_url_title": f"""WITH s AS (SELECT event_id, ts, sha256(concat(lower(trim(url)), chr(31), lower(trim(name)))) AS sig FROM {_S} AS raw)
       SELECT event_id, sig FROM (SELECT *, row_number() OVER (PARTITION BY sig ORDER BY ts, event_id) AS nth FROM s
         WHERE ts >= TIMESTAMP '2024-01-02 00:00:00' AND sig NOT IN (SELECT sig FROM s AS old WHERE ts < TIMESTAMP '2024-01-02 00:00:00')) WHERE nth = 1""",
+    "dedup_store": f"""SELECT CASE WHEN ts < TIMESTAMP '2024-01-02 00:00:00' THEN 1 WHEN ts < TIMESTAMP '2024-01-10 00:00:00' THEN 2 ELSE 3 END AS batch, event_id, sig
+      FROM (SELECT *, row_number() OVER (PARTITION BY sig ORDER BY ts, event_id) AS nth FROM
+        (SELECT event_id, ts, sha256(concat(lower(trim(url)), chr(31), lower(trim(name)))) AS sig FROM {_S} AS raw)) WHERE nth = 1""",
     "stream_fresh": f"SELECT {_EVENT} FROM events WHERE {_LATE} BETWEEN 0 AND 24",
     "stream_append": f"SELECT {_EVENT} FROM events",
     "stream_dedup_ttl": _TTL,

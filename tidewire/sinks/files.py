@@ -51,9 +51,3 @@ def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
 
 def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges")
-
-
-def write_signatures(rows: DataFrame, signature: str, path: str) -> None:
-    """Append seen signatures with a bloom filter on the key, so later anti joins skip files."""
-    options = {f"parquet.bloom.filter.enabled#{signature}": "true"}
-    rows.select(F.col(signature)).write.mode("append").options(**options).parquet(path)
