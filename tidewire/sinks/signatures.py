@@ -1,7 +1,7 @@
 """A store of seen signatures that one run writes and the next reads.
 
-One folder per batch, in it one per shard (the first digits of the signature's SHA-256), files sorted by signature with a Parquet
-bloom filter. A look-up asks the store for the signatures of the new rows, so Spark prunes the shards that none of them
+One folder per batch, in it one per shard (the first digits of the signature's SHA-256), files sorted by signature. There are no
+Parquet bloom filters: joins don't read them, and each takes 1 MB of a file however small. A look-up asks the store for the signatures of the new rows, so Spark prunes the shards that none of them
 falls into before it opens a file; the rest is a join on shard and signature, in which no side is collected.
 """
 
@@ -54,5 +54,4 @@ class SignatureStore:
         """Store the signatures of rows as a batch; written again, it takes the place of the first. Null signatures are left out."""
         sigs = rows.where(F.col(signature).isNotNull()).select(F.col(signature).cast("string").alias("sig")).withColumn("shard", _shard(F.col("sig")))
         sorted_ = sigs.hint("rebalance", "shard").sortWithinPartitions("shard", "sig")
-        options = {"parquet.bloom.filter.enabled#sig": "true"}
-        sorted_.write.mode("overwrite").options(**options).partitionBy("shard").parquet(f"{self.path}/batch={batch}")
+        sorted_.write.mode("overwrite").partitionBy("shard").parquet(f"{self.path}/batch={batch}")
