@@ -135,6 +135,48 @@ def test_stream_writes_changes_and_not_all_state(spark, tmp_path):
     assert len(written) >= 31 and max(written[1:31]) < written[0] / 5
 
 
+def test_signatures_share_a_bounded_number_of_state_keys(spark, tmp_path, monkeypatch):
+    """Three batches of 400 signatures and null through four keys: the batch rule's rows, and no more calls than keys."""
+    monkeypatch.setattr(stream_dedup, "STATE_GROUPS", 4, raising=False)
+    rows = [(i, START + timedelta(hours=i % 1000, microseconds=i % 7), None if i % 50 == 0 else f"s{i * i % 401}") for i in range(1200)]
+    frame = spark.createDataFrame(rows, "event_id long, ts timestamp, sig string")
+    base = str(tmp_path)
+    for number, (low, high) in enumerate(((0, 9), (9, 18), (18, 90))):
+        frame.where(F.col("ts").between(START + timedelta(days=low), START + timedelta(days=high, microseconds=-1))).coalesce(1).write.parquet(f"{base}/in/part={number}")
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+    query = stream_dedup.dedup_ttl_stream(stream, f"{base}/store", f"{base}/log", "sig")
+    query.awaitTermination()
+    kept = stream_dedup.read_kept(spark, f"{base}/store")
+    assert sorted(r.event_id for r in kept.collect()) == plain_rule(frame.collect())
+    assert all(0 < state.numRowsTotal <= 4 for step in query.recentProgress for state in step.stateOperators)
+
+
+def test_a_signature_expires_by_itself_in_a_shared_key():
+    import pandas as pd
+
+    class State:
+        value = None
+        get = lambda self: self.value
+        update = lambda self, value: setattr(self, "value", value)
+
+    state, clock = State(), {"now": 0}
+    handle = type("Handle", (), {"getValueState": lambda self, name, schema, ttl: state})()
+    timers = type("Timers", (), {"getCurrentProcessingTimeInMs": lambda self: clock["now"]})()
+    processor = stream_dedup._processor(100, 50)
+    processor.init(handle)
+
+    def run(now, *rows):
+        clock["now"] = now
+        part = pd.DataFrame(rows, columns=["sig", "bucket", "first", "tie", "last", "row"])
+        return [text for out in processor.handleInputRows((1,), iter([part]), timers) for text in out["row"]]
+
+    assert run(0, ("a", 0, 10, 2, 10, "a2"), ("a", 0, 10, 1, 10, "a1"), (None, 0, 5, 1, 9, "n")) == ["a1", "n"]
+    assert run(30, ("b", 0, 20, 1, 20, "b"), (None, 0, 50, 1, 50, "n2")) == ["b"]
+    assert run(49, ("a", 0, 60, 1, 60, "known")) == []
+    assert run(80, ("b", 0, 21, 1, 21, "forgotten"), ("a", 0, 61, 1, 61, "known")) == ["forgotten"]
+    assert "null" not in state.value[0]  # the signature without a name went 50 ms after it was last taken in
+
+
 def test_a_task_sends_one_row_per_signature_and_bucket():
     import pyarrow as pa
 

@@ -1,14 +1,17 @@
 """Sliding-term duplicate removal on a stream.
 
-The last sighting of each signature is keyed state that expires by itself (transformWithState with a time to live, in RocksDB
-with a changelog), so a batch writes what it changes and not the state of all signatures. Before rows are shuffled to
+The last sightings of signatures are keyed state that expires by itself (transformWithState with a time to live, in RocksDB
+with a changelog). A call for a key costs some milliseconds of Python, so signatures share STATE_GROUPS keys by a hash: a batch
+makes at most so many calls however many signatures it brings, and writes the groups that it touches. Before rows are shuffled to
 their state, each map task reduces its own to one per signature and bucket of the term's length: the first row and the last
 moment, which is all that the rule needs. A signature with a third of the stream thus costs one row per task and bucket.
 """
 
 from __future__ import annotations
 
+import json
 import sys
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -17,12 +20,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tidewire import fixed_values as fixed
 
-# Executors get these functions with the task: they need pandas and pyarrow, not this package.
+# Executors get these functions with the task: they need numpy, pandas and pyarrow, not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: What the state needs; they hold while a query starts, which keeps its own copy.
@@ -33,6 +36,8 @@ STATE_OPTIONS = {
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 _MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+#: Keys that the signatures' state is spread over; a checkpoint keeps to the number it began with.
+STATE_GROUPS = 1 << 14
 #: Rows travel as JSON, with all digits of their moments.
 _JSON = {"timestampFormat": _MICROS + "XXX", "timestampNTZFormat": _MICROS, "ignoreNullFields": "false"}
 _DAY = 86_400_000_000
@@ -78,36 +83,59 @@ def chain(before: int | None, reduced: list[tuple], term: int) -> tuple[list[str
     return kept, before
 
 
+def _tied(tie) -> tuple:
+    """What a tie is compared by: null ties come last, as in a task."""
+    return (True, 0) if tie is None or tie != tie else (False, tie)
+
+
 def _processor(term: int, keep_ms: int) -> StatefulProcessor:
-    class LastSighting(StatefulProcessor):
+    names = ("sig", "bucket", "first", "tie", "last", "row")
+
+    class LastSightings(StatefulProcessor):
+        """The state of a group: [signature, last moment, clock when last taken in] of each of its signatures, as JSON.
+
+        A signature's time to live is its own; that of the state ends a group that no batch touches."""
+
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.last = handle.getValueState("last", "last bigint", keep_ms)
+            self.held = handle.getValueState("held", "held string", keep_ms)
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-            names = ("bucket", "first", "tie", "last", "row")
-            found = [row for part in rows for row in zip(*(part[name].tolist() for name in names))]
-            known = self.last.get()
-            kept, last = chain(known[0] if known else None, found, term)
-            self.last.update((last,))
-            if kept:
-                yield pd.DataFrame({"row": kept}, dtype="object")
+            found = defaultdict(list)
+            for part in rows:
+                for sig, bucket, first, tie, last, row in zip(*(part[name].tolist() for name in names)):
+                    found[sig].append((bucket, first, _tied(tie), last, row))
+            now, held = timerValues.getCurrentProcessingTimeInMs(), self.held.get()
+            known = {sig: (last, taken) for sig, last, taken in json.loads(held[0]) if taken + keep_ms > now} if held else {}
+            stay = []
+            for sig, reduced in found.items():
+                kept, last = chain(known[sig][0] if sig in known else None, reduced, term)
+                known[sig] = (last, now)
+                stay += kept
+            self.held.update((json.dumps([(sig, last, taken) for sig, (last, taken) in known.items()]),))
+            if stay:
+                yield pd.DataFrame({"row": stay}, dtype="object")
 
         def close(self) -> None:
             pass
 
-    return LastSighting()
+    return LastSightings()
+
+
+def _named(stream: DataFrame, signature: str) -> Column:
+    """The signature as text, which is what the state holds."""
+    return F.hex(signature) if stream.schema[signature].dataType.typeName() == "binary" else F.col(signature).cast("string")
 
 
 def kept_stream(stream: DataFrame, signature: str, ts: str, tie: str, days: int, keep_days: int) -> DataFrame:
     """The rows of a stream (or, for tests of its parts, a table) that stay, as they came."""
     micros = F.unix_micros(ts)
     slim = stream.select(
-        F.col(signature).alias("sig"), F.floor(micros / F.lit(days * _DAY)).alias("bucket"), micros.alias("first"), F.col(tie).alias("tie"),
+        _named(stream, signature).alias("sig"), F.floor(micros / F.lit(days * _DAY)).alias("bucket"), micros.alias("first"), F.col(tie).alias("tie"),
         micros.alias("last"), F.to_json(F.struct(*stream.columns), _JSON).alias("row"))
     kinds = ", ".join(f"{n} {t}" for n, t in slim.dtypes)
     reduced = slim.where("first is not null").mapInArrow(reduce_rows, kinds)
-    rows = reduced.groupBy("sig").transformWithStateInPandas(
-        _processor(days * _DAY, keep_days * 86_400_000), "row string", "Append", "ProcessingTime")
+    grouped = reduced.withColumn("part", F.pmod(F.xxhash64("sig"), F.lit(STATE_GROUPS)).cast("int")).groupBy("part")
+    rows = grouped.transformWithStateInPandas(_processor(days * _DAY, keep_days * 86_400_000), "row string", "Append", "ProcessingTime")
     return rows.select(F.from_json("row", stream.schema, _JSON).alias("row")).select("row.*")
 
 
