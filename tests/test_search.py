@@ -67,3 +67,38 @@ def test_empty_sides(spark, tmp_path, rows):
     assert search.search_exact(empty, table(spark, rows[:5]), 3, 2, str(tmp_path / "run2")).count() == 0
     one = search.build_index(table(spark, rows[:1]), str(tmp_path / "one"))
     assert answers(search.search(one, table(spark, rows[:2]), 3, 2)) == {(0, 0, 1), (1, 0, 1)}
+
+
+def test_cells_of_a_batch_take_bounded_memory():
+    """10,000 queries and 2,000 cells: 160 MB for all their scores at once."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    draw = np.random.default_rng(3)
+    centres = draw.normal(size=(2000, 16))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    vecs = draw.normal(size=(10_000, 16))
+    index = SimpleNamespace(centres=lambda: (np.arange(2000, dtype=np.int32), centres, np.full(2000, 0.1)))
+    batch = pa.array(list(vecs), pa.list_(pa.float64()))
+    tracemalloc.start()
+    near = search._nearest_cells(index, 4).func(batch)
+    wide = search._cells_within(index).func(batch, pa.array(np.full(10_000, 0.7)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    unit = vecs / np.linalg.norm(vecs, axis=1, keepdims=True)
+    for i in (0, 499, 500, 9999):
+        scores = unit[i] @ centres.T
+        assert near[i].as_py() == np.argsort(-scores, kind="stable")[:4].tolist()
+        assert wide[i].as_py() == np.flatnonzero(np.arccos(scores) <= np.arccos(0.7) + 0.1 + 1e-6).tolist()
+
+
+def test_assigning_cells_runs_one_python_step(spark, tmp_path, rows):
+    """A filter on the cluster does not have the nearest centre worked out a second time, by a second Python worker a task."""
+    from tidewire.operators.vectors import nearest_centroid
+
+    centres = spark.createDataFrame([(0, [1.0] * 8), (1, [-1.0] * 8)], "label int, centroid array<double>")
+    placed = nearest_centroid(table(spark, rows[:20]), centres).where("cluster IS NOT NULL")
+    assert placed._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1

@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidewire.functions.once import compute_once
-from tidewire.operators.vectors import _best_of, _matrix, _unit, nearest_centroid
+from tidewire.operators.vectors import _best_of, _chunks, _matrix, _unit, nearest_centroid
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -99,8 +99,11 @@ def _nearest_cells(index: Index, probes: int):
     def cells(vecs: pa.Array) -> pa.Array:
         if not len(numbers) or not len(vecs):
             return pa.array([[] for _ in range(len(vecs))], pa.list_(pa.int32()))
-        scores = np.nan_to_num(_unit(_matrix(vecs)) @ centres.T, nan=-2.0)
-        return pa.array(list(numbers[np.argsort(-scores, axis=1, kind="stable")[:, :probes]]), pa.list_(pa.int32()))
+        nearest = []
+        for _, units in _chunks(_unit(_matrix(vecs)), len(numbers)):
+            scores = np.nan_to_num(units @ centres.T, nan=-2.0)
+            nearest.extend(numbers[np.argsort(-scores, axis=1, kind="stable")[:, :probes]])
+        return pa.array(nearest, pa.list_(pa.int32()))
 
     return cells
 
@@ -113,10 +116,12 @@ def _cells_within(index: Index):
     def cells(vecs: pa.Array, least: pa.Array) -> pa.Array:
         if not len(numbers) or not len(vecs):
             return pa.array([[] for _ in range(len(vecs))], pa.list_(pa.int32()))
-        angles = np.arccos(np.clip(_unit(_matrix(vecs)) @ centres.T, -1, 1))
-        bound = np.cos(np.maximum(0, angles - reach)) + 1e-6
-        held = bound >= least.to_numpy(zero_copy_only=False)[:, None]
-        return pa.array([numbers[row] for row in held], pa.list_(pa.int32()))
+        found, least = [], least.to_numpy(zero_copy_only=False)
+        for at, units in _chunks(_unit(_matrix(vecs)), len(numbers)):
+            angles = np.arccos(np.clip(units @ centres.T, -1, 1))
+            bound = np.cos(np.maximum(0, angles - reach)) + 1e-6
+            found.extend(numbers[row] for row in bound >= least[at : at + len(units), None])
+        return pa.array(found, pa.list_(pa.int32()))
 
     return cells
 
@@ -145,8 +150,8 @@ def _answers(index: Index, asked: DataFrame, k: int) -> DataFrame:
             ids, query_ids = held.column("vec_id").to_numpy(), ask.column("query_id").to_numpy()
             rows, units = _unit(_matrix(held.column("vector"))), _unit(_matrix(ask.column("query")))
             kept = []
-            for at in range(0, len(units), 256):
-                scores = np.round(np.nan_to_num(units[at : at + 256] @ rows.T, nan=-np.inf), PLACES)
+            for at, block in _chunks(units, len(rows)):
+                scores = np.round(np.nan_to_num(block @ rows.T, nan=-np.inf), PLACES)
                 cut = scores.shape[1] - min(k, scores.shape[1])
                 q, row = np.nonzero((scores >= np.partition(scores, cut, axis=1)[:, cut][:, None]) & np.isfinite(scores))
                 q, score, ident, _ = _best_of(q, scores[q, row], ids[row], k)

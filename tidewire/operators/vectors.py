@@ -23,7 +23,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Vectors held by every task at once: queries of a search, centroids of an assignment.
 BLOCK_ROWS = 4096
 _NEAREST = "struct<similarity:double,order:bigint>"
-_SCORES_AT_ONCE = 4_000_000
+#: Scores of one matrix product at most: 8 MB, and as much again for each step that copies them.
+_SCORES_AT_ONCE = 1_000_000
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -144,7 +145,7 @@ def nearest_centroid(vectors: DataFrame, centroids: DataFrame, vector: str = "em
     best = F.lit(None).cast(_NEAREST)
     for labels, matrix in _blocks(centroids, "label", "centroid"):
         best = F.greatest(best, _nearest_in(labels, matrix)(F.col(vector)))
-    assigned = vectors.where(F.col(vector).isNotNull()).withColumn("_best", best)
+    assigned = compute_once(vectors.where(F.col(vector).isNotNull()), "_best", best)
     cluster = (-F.col("_best.order")).cast(centroids.schema["label"].dataType)
     return assigned.withColumns({"cluster": cluster, "similarity": F.col("_best.similarity")}).drop("_best")
 
