@@ -69,7 +69,7 @@ def test_empty_sides(spark, tmp_path, rows):
     assert answers(search.search(one, table(spark, rows[:2]), 3, 2)) == {(0, 0, 1), (1, 0, 1)}
 
 
-def test_cells_of_a_batch_take_bounded_memory():
+def test_cells_of_a_batch_take_bounded_memory(spark):
     """10,000 queries and 2,000 cells: 160 MB for all their scores at once."""
     import tracemalloc
     from types import SimpleNamespace
