@@ -11,6 +11,7 @@ from hypothesis import given, settings, strategies as st
 from tests.llm.helpers import awkward, docs, frame, with_clashes
 from tidewire.llm import language, near_dedup, pii_tagger, sampled_pieces
 from tidewire.llm.arrow_slices import slices
+from tidewire.session import TEXT_ROWS
 
 FRENCH = "le chat dort sur la chaise et les enfants jouent dans le jardin avec leurs amis "
 ENGLISH = "the cat sleeps on the chair and the children play in the garden with their friends "
@@ -316,6 +317,21 @@ def test_components_of_a_long_chain(spark):
     assert set(found.values()) == {"n000", "z1"} and len(found) == 63
 
 
+def test_few_whole_texts_go_to_a_worker_at_a_time(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = spark.range(3000).selectExpr("id AS doc_id", "cast(id AS string) AS text", "'s' AS source", "'en' AS lang").coalesce(1)
+    sizes = lambda: [r.n for r in rows.mapInArrow(lambda xs: (pa.RecordBatch.from_pydict({"n": [x.num_rows]}) for x in xs), "n long").collect()]
+    for operator in (sampled_pieces.sample_segmentations, near_dedup.near_groups, lambda x: language.identify(x, language.train(x))):
+        spark.conf.unset(name)
+        assert max(sizes()) == 3000
+        operator(rows.limit(3))
+        assert sum(sizes()) == 3000 and max(sizes()) <= TEXT_ROWS
+    spark.conf.set(name, "100")
+    sampled_pieces.sample_segmentations(rows)
+    assert max(sizes()) == 100
+    spark.conf.unset(name)
+
+
 def test_samples_collide_as_often_as_texts_are_similar():
     draw, sampler = np.random.default_rng(1), near_dedup.Sampler()
     shared, one, two = (np.sort(draw.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (300, 60, 60))

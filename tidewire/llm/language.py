@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidewire.functions.once import bind
 from tidewire.llm.arrow_slices import slices
 from tidewire.llm.common import row_name, stored, without
+from tidewire.session import text_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -191,6 +192,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], columns: Colu
         F.col(columns.key).alias("doc_id"), row_name(columns.key, columns.text).alias("name"), _primary(columns.declared).alias("stated"),
         _host(columns).alias("host"), F.col(columns.text).alias("text"))
     kinds = "doc_id " + dict(parts.dtypes)["doc_id"] + ", name string, stated string, host string, likelihood array<double>, n_grams long"
+    text_batches(docs.sparkSession)
     scored = parts.mapInArrow(_scorer(table), kinds)
     noise = F.array(F.col("n_grams") * F.lit(-float(np.log(1 << GRAM_BITS))))
     text_logs = F.transform(F.concat("likelihood", noise), lambda x: x * TEXT_WEIGHT)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidewire.llm.arrow_slices import slices
 from tidewire.llm.common import ROW, packed, row_name, stored, unpacked, whole_text, without
 from tidewire.llm.keymap import key_map, maybe_in
-from tidewire.session import fresh_path
+from tidewire.session import fresh_path, text_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -368,6 +368,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     n_links counts the verified links of the row's text with other texts.
     """
+    text_batches(docs.sparkSession)
     idf = idf_table(docs, text)
     body = whole_text(text)
     node = F.substring(F.sha2(body, 256), 1, 32)

@@ -29,6 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from tidewire.llm.arrow_slices import slices
+from tidewire.session import text_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -432,6 +433,7 @@ def sample_segmentations(
 ) -> DataFrame:
     """Up to `samples` rows per input row, in falling order of value: doc_id, sample, ids, n_tokens, log_prob, perturbed,
     log_inclusion (log of the chance to be among the samples, given the value left), round_trip (decoding gives the text). The carried columns follow doc_id."""
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("doc_id"), *carried, F.xxhash64(key).alias("seed"), F.col(text).alias("text"))
     own = "".join(f"`{x}` {dict(docs.dtypes)[x]}, " for x in carried)
     kinds = f"doc_id {dict(docs.dtypes)[key]}, {own}sample int, ids array<int>, n_tokens long, log_prob double, perturbed double, log_inclusion double, round_trip boolean"

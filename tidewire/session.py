@@ -26,6 +26,18 @@ def build_session(app_name: str = "tidewire", master: str | None = None, **optio
     return configure(builder.getOrCreate())
 
 
+#: Whole texts that go to a Python worker at a time.
+TEXT_ROWS = 500
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Let no more than TEXT_ROWS rows go to a Python worker at a time, where Spark's 10,000 whole texts are tens of MB that the
+    executor and the worker both hold. Holds for the session from now on, as frames that operators return run later."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXT_ROWS:
+        spark.conf.set(name, str(TEXT_ROWS))
+
+
 @cache
 def _test_root() -> str:
     return tempfile.mkdtemp(prefix="tidewire-")
