@@ -396,6 +396,28 @@ def test_samples_follow_sampling_without_replacement(toy):
     assert abs(total - 1) < 0.05
 
 
+def test_texts_are_sampled_together_as_alone(toy):
+    vocabulary, _ = toy
+    draw = random.Random(4)
+    texts = ["".join(draw.choice("ab \u00e9\u4e2d") for _ in range(draw.randrange(12))) for _ in range(60)]
+    sampler, decoder = sampled_pieces.Sampler(vocabulary, 5), sampled_pieces.Decoder(vocabulary)
+
+    def found(texts, seeds):
+        paths = sampler.draw(texts, np.array(seeds))
+        rows = [[] for _ in texts]
+        for path in paths:
+            ends = np.cumsum(path["counts"])
+            for row, end, n, exists, score, back in zip(rows, ends, path["counts"], path["exists"], path["log_prob"], decoder.texts(path["ids"], path["counts"])):
+                if exists:
+                    row.append((path["ids"][end - n : end].tolist(), round(float(score), 9), back))
+        return rows
+
+    together = found(texts, range(60))
+    assert together == [found([t], [i])[0] for i, t in enumerate(texts)]
+    for text, rows in zip(texts, together):
+        assert len({tuple(ids) for ids, _, _ in rows}) == len(rows) and {back for _, _, back in rows} == {text}
+
+
 def test_all_segmentations_come_when_few(toy):
     vocabulary, pieces = toy
     paths = sampled_pieces.Sampler(vocabulary, 8).draw(["ab", "", "zz"], np.arange(3))

@@ -44,6 +44,8 @@ SPACE, SPACE_MARK = 0x20, 0x2581
 BYTE_CODE = 0x110000
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _TABLE_BITS = 19
+#: Most pieces from a place have so few characters.
+FEW_LENGTHS = 6
 _BELOW_ONE = np.float32(1 - 2**-24)
 
 
@@ -115,6 +117,7 @@ class Lattice:
                 at = (at + 1) % (1 << _TABLE_BITS)
             self.keys[at], self.values[at] = key, value
         self.weights = np.append(vocabulary.log_weights, -np.inf)
+        self.first = self._find(np.arange(1, BYTE_CODE + 257, dtype=np.uint64)).astype(np.int16)  # of each code by itself
         self.single = np.zeros(BYTE_CODE + 256, bool)
         self.single[vocabulary.codes[starts[self.sizes == 1]]] = True
         self.single[BYTE_CODE:] = False
@@ -145,6 +148,8 @@ class Lattice:
         strange = ~self.single[codes] | literal
         if strange.any():
             width = np.where(strange, 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000), 1)
+            if width.max() == 1:
+                return np.where(strange, BYTE_CODE + codes, codes).astype(np.uint32), ends
             origin = np.repeat(np.arange(len(codes)), width)
             last = np.cumsum(width)
             rest = (last[origin] - 1 - np.arange(len(origin))).astype(np.uint32)  # bytes that follow in the character
@@ -168,43 +173,55 @@ class Lattice:
     def edges(self, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of units that lie one after another, at each place: pieces by length, chances added up by length, backward sum."""
         n, total = self.longest, len(codes)
-        pieces = np.full((total, n), -1, np.int16)
+        pieces, longest = np.full((total, n), -1, np.int16), np.zeros(total, np.uint8)
         left = np.repeat(starts + sizes, sizes) - np.arange(total)
-        alive, key, rest = np.arange(total), np.zeros(total, np.uint64), left
+        alive, key, rest, found = np.arange(total), codes + np.uint64(1), left, self.first.take(codes)
         for k in range(n):
-            if not len(alive):
+            if k:
+                key = key * np.uint64(_MULTIPLIER) + codes.take(alive + k) + np.uint64(1)
+                found = self._find(key)
+            whole = np.flatnonzero(found >= 0)
+            at = alive.take(whole)
+            pieces[at, k] = found.take(whole)
+            longest[at] = k + 1
+            going = np.flatnonzero((found != -2) & (rest > k + 1))
+            if not len(going):
                 break
-            key = key * np.uint64(_MULTIPLIER) + codes[alive + k] + np.uint64(1)
-            found = self._find(key)
-            pieces[alive, k] = np.maximum(found, -1)
-            going = (found != -2) & (rest > k + 1)
-            alive, key, rest = alive[going], key[going], rest[going]
-        # Backward sums: all places at one distance from their unit's end at once.
-        beta, ladder = np.zeros(total + n + 1), np.empty((total, n), np.float32)
-        order = np.argsort(left, kind="stable")
-        bounds = np.searchsorted(left[order], np.arange(1, (left.max() if total else 0) + 2))
-        lengths = np.arange(1, n + 1)
-        for first, last in zip(bounds[:-1], bounds[1:]):
+            alive, key, rest = alive.take(going), key.take(going), rest.take(going)
+        # Backward sums: all places at one distance from their unit's end at once, those without long pieces apart.
+        group = 2 * left + (longest > FEW_LENGTHS)
+        if total and group.max() < 1 << 16:
+            group = group.astype(np.uint16)  # which numpy sorts by radix
+        order = np.argsort(group, kind="stable")
+        bounds = np.append(np.flatnonzero(np.diff(group[order].astype(np.int64), prepend=-1)), total)
+        by_length, ladder = np.ascontiguousarray(pieces.take(order, axis=0).T), np.ones((n, total), np.float32)
+        beta, lengths = np.zeros(total + n + 1), np.arange(1, n + 1)[:, None]
+        for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             at = order[first:last]
-            distance = int(left[at[0]])
-            wide = min(n, distance)
-            score = self.weights[pieces[at, :wide]] + beta[at[:, None] + lengths[:wide]]
-            if distance <= n:
-                score[:, -1] = self.weights[pieces[at, wide - 1]]
-            top = score.max(axis=1)
-            sums = np.cumsum(np.exp(score - top[:, None]), axis=1)
-            beta[at] = top + np.log(sums[:, -1])
-            sums /= sums[:, -1:]
-            ladder[at, :wide] = sums
-            ladder[at, wide:] = 1
-        return pieces, ladder, beta[:total]
+            wide = int(longest.take(at).max())
+            score = self.weights.take(by_length[:wide, first:last], mode="wrap")
+            whole = score[-1].copy()
+            score += beta.take(at + lengths[:wide])
+            if wide == left[at[0]]:  # these pieces end their units
+                score[-1] = whole
+            top = score.max(axis=0)
+            score -= top
+            sums = np.exp(score, out=score)
+            for k in range(1, wide):
+                sums[k] += sums[k - 1]
+            beta[at] = top + np.log(sums[-1])
+            sums /= sums[-1].copy()
+            ladder[:wide, first:last] = sums
+        chances = np.empty((total, n), np.float32)
+        chances[order] = ladder.T
+        return pieces, chances, beta[:total]
 
 
 class Sampler:
     """The k samples of each text of a slice."""
 
-    def __init__(self, vocabulary: Vocabulary, samples: int):
-        self.lattice, self.samples = Lattice(vocabulary), samples
+    def __init__(self, vocabulary: Vocabulary | Lattice, samples: int):
+        self.lattice, self.samples = vocabulary if isinstance(vocabulary, Lattice) else Lattice(vocabulary), samples
         # Edges of kinds of units: those that recur are remembered up to a bound, those of the slice come behind them.
         wide = self.lattice.longest
         self.lengths = np.arange(1, wide + 1)
@@ -264,35 +281,36 @@ class Sampler:
         self.edge_at = np.repeat(begins[kind] - starts, sizes) + np.arange(n)  # place among the kinds' edges
         self.unit_ends = np.repeat(starts + sizes, sizes)
         self.starts = starts
-        self.owner = np.repeat(np.arange(len(texts)), self.ends - self.firsts)
+        self.places = self.ends - self.firsts  # of each text
+        self.owner = np.repeat(np.arange(len(texts)), self.places)
 
     def _walk(self, at: np.ndarray, salt: np.ndarray, tokens: np.ndarray, logs: np.ndarray) -> None:
         """Samples from places to the ends of their units; fills pieces and log chances at the places passed."""
         pieces, lengths, weights = self.pieces.ravel(), self.pieces.shape[1], self.lattice.weights
+        salt = salt - self.firsts.astype(np.uint64)
         while len(at):
-            edge = self.edge_at[at]
-            own = self.owner[at]
-            draw = _uniform(salt[own] + (at - self.firsts[own]).astype(np.uint64)).astype(np.float32)
+            edge = self.edge_at.take(at)
+            draw = _uniform(salt.take(self.owner.take(at)) + at.astype(np.uint64)).astype(np.float32)
             # Edges whose chances end at or below the draw, counted eight bytes at a time.
-            passed = (self.ladder[edge] <= np.minimum(draw, _BELOW_ONE)[:, None]).view(np.uint64)
+            passed = (self.ladder.take(edge, axis=0) <= np.minimum(draw, _BELOW_ONE)[:, None]).view(np.uint64)
             counted = (passed * np.uint64(0x0101010101010101)) >> np.uint64(56)
             step = counted[:, 0].astype(np.int64)
             for column in range(1, counted.shape[1]):
                 step += counted[:, column].astype(np.int64)
-            taken = pieces[edge * lengths + step]
-            ends = self.unit_ends[at]
+            taken = pieces.take(edge * lengths + step)
+            ends = self.unit_ends.take(at)
             after = at + step + 1
             inside = after < ends
             tokens[at] = taken
-            gone = np.where(inside, self.beta[np.minimum(edge + step + 1, len(self.beta) - 1)], 0.0)
-            logs[at] = np.minimum(weights[taken] + gone - self.beta[edge], 0.0)
+            gone = np.where(inside, self.beta.take(edge + step + 1, mode="clip"), 0.0)
+            logs[at] = np.minimum(weights.take(taken, mode="wrap") + gone - self.beta.take(edge), 0.0)
             at = after[inside]
 
     def _regions(self, logs: np.ndarray, taken: np.ndarray, bound: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log mass of the prefix, greatest value of the paths that leave) at each place of a path."""
         sums = np.cumsum(logs)
         before = sums - logs
-        before -= np.where(self.firsts > 0, sums[self.firsts - 1], 0.0)[self.owner] if len(sums) else 0.0
+        before -= np.repeat(np.where(self.firsts > 0, sums[self.firsts - 1], 0.0), self.places) if len(sums) else 0.0
         value = np.full(len(logs), -np.inf)
         free = np.flatnonzero(taken & (logs < -1e-12))
         own = self.owner[free]
@@ -300,6 +318,42 @@ class Sampler:
         value[free] = self._below(mass, bound[own], salt[own] + (free - self.firsts[own]).astype(np.uint64))
         return before, value
 
+    def _other_edges(
+        self, paths: list[dict], splits: list[tuple], moved: np.ndarray, source: np.ndarray, split: np.ndarray, top: np.ndarray, salt: np.ndarray,
+        tokens: np.ndarray, logs: np.ndarray
+    ) -> np.ndarray:
+        """Of each moved text, the edge drawn where its path splits, less 1, among those that neither the path nor an earlier split
+        took there. Fills pieces and log chances at these places, and the value of what is left in the path's set.
+
+        splits: (source, split, edge) of all texts for each earlier sample.
+        """
+        at, path_of, rows = split[moved], source[moved], np.arange(len(moved))
+        edge, reach, weights = self.edge_at[at], self.unit_ends[at] - at, self.lattice.weights
+        pieces, whole = self.pieces[edge], self.beta[edge]
+        after = np.where(self.lengths == reach[:, None], 0.0, self.beta.take(edge[:, None] + self.lengths, mode="clip"))
+        with np.errstate(over="ignore", invalid="ignore"):  # what lies beyond the unit's end
+            odds = np.where(self.lengths <= reach[:, None], np.exp(weights[pieces] + after - whole[:, None]), 0.0)
+        for i, path in enumerate(paths):
+            own = np.flatnonzero(path_of == i)
+            odds[own, self.lattice.sizes[path["tokens"][at[own]]] - 1] = 0.0
+        for earlier, place, gone in splits:
+            again = np.flatnonzero((earlier[moved] == path_of) & (place[moved] == at))
+            odds[again, gone[moved[again]]] = 0.0
+        ladder = odds.cumsum(axis=1)
+        draw = _uniform(salt[moved] + np.uint64(3 << 40)) * ladder[:, -1]
+        last = odds.shape[1] - 1 - (odds[:, ::-1] != 0).argmax(axis=1)
+        step = np.minimum((ladder <= draw[:, None]).sum(axis=1), last)
+        rest = ladder[:, -1] - odds[rows, step]
+        for i, path in enumerate(paths):
+            own = np.flatnonzero(path_of == i)
+            path["value"][at[own]] = -np.inf
+            own = own[rest[own] > 1e-12]
+            path["value"][at[own]] = self._below(path["before"][at[own]] + np.log(rest[own]), top[moved[own]], salt[moved[own]] + np.uint64(5 << 40))
+        tokens[at] = pieces[rows, step]
+        gone = np.where(step + 1 == reach, 0.0, self.beta.take(edge + step + 1, mode="clip"))
+        logs[at] = np.minimum(weights[tokens[at]] + gone - whole, 0.0)
+        return step
+
     @staticmethod
     def _below(mass: np.ndarray, bound: np.ndarray, salt: np.ndarray) -> np.ndarray:
         """Gumbel values of log masses, below their bounds."""
@@ -316,7 +370,9 @@ class Sampler:
         self._walk(self.starts, salt(0), tokens, logs)
         top = _gumbel(salt(0) + np.uint64(1 << 40))
         before, value = self._regions(logs, tokens >= 0, top, salt(0))
-        paths = [{"tokens": tokens, "logs": logs, "before": before, "value": value, "top": top, "exists": np.ones(docs, bool), "gone": {}}]
+        paths = [{"tokens": tokens, "logs": logs, "before": before, "value": value, "top": top, "exists": np.ones(docs, bool)}]
+        splits: list = []
+
         def best() -> tuple[np.ndarray, np.ndarray]:
             """(path, greatest value) of the sets left of each text."""
             tops = np.full((len(paths), docs), -np.inf)
@@ -331,39 +387,25 @@ class Sampler:
             tokens, logs, own = np.full(n, -1, np.int32), np.zeros(n), salt(number)
             split = np.full(docs, -1)
             for i, path in enumerate(paths):
-                hit = np.flatnonzero((source[self.owner] == i) & (path["value"] == top[self.owner]) & exists[self.owner]) if n else []
+                from_here = exists & (source == i)
+                hit = np.flatnonzero(path["value"] == np.repeat(np.where(from_here, top, np.nan), self.places))
                 split[self.owner[hit]] = hit
-                here = np.flatnonzero((source[self.owner] == i) & (np.arange(n) <= split[self.owner])) if n else []
-                tokens[here], logs[here] = path["tokens"][here], path["logs"][here]
+                here = np.arange(n) <= np.repeat(np.where(from_here, split, -1), self.places)
+                tokens, logs = np.where(here, path["tokens"], tokens), np.where(here, path["logs"], logs)
             moved = np.flatnonzero(exists)
-            begin, restart = split[moved], np.empty(len(moved), np.int64)
-            chosen = np.zeros(len(moved), np.int64)
-            for j, (doc, at) in enumerate(zip(moved.tolist(), begin.tolist())):  # one step for each text
-                path = paths[source[doc]]
-                edge = self.edge_at[at]
-                gone = path["gone"].setdefault(at, [int(self.lattice.sizes[path["tokens"][at]]) - 1])
-                reach = self.unit_ends[at] - at
-                after = np.where(self.lengths == reach, 0.0, self.beta[np.minimum(edge + self.lengths, len(self.beta) - 1)])
-                odds = np.where(self.lengths <= reach, np.exp(self.lattice.weights[self.pieces[edge]] + after - self.beta[edge]), 0.0)
-                odds[gone] = 0.0
-                ladder = odds.cumsum()
-                draw = _uniform(own[doc : doc + 1] + np.uint64(3 << 40))[0] * ladder[-1]
-                step = int(min(np.searchsorted(ladder, draw, side="right"), odds.nonzero()[0][-1]))
-                gone.append(step)
-                rest = ladder[-1] - odds[step]
-                path["value"][at] = -np.inf if rest <= 1e-12 else self._below(
-                    np.array([path["before"][at] + np.log(rest)]), top[doc : doc + 1], own[doc : doc + 1] + np.uint64(5 << 40))[0]
-                ends = at + step + 1 == self.unit_ends[at]
-                tokens[at] = self.pieces[edge, step]
-                logs[at] = min(self.lattice.weights[tokens[at]] + (0.0 if ends else self.beta[edge + step + 1]) - self.beta[edge], 0.0)
-                restart[j] = at + step + 1
+            begin, step = split[moved], self._other_edges(paths, splits, moved, source, split, top, own, tokens, logs)
+            restart = begin + step + 1
+            taken = np.full(docs, -1)
+            taken[moved] = step
+            splits.append((source, split, taken))
             # The rest of the unit that was split, and all later units of the text.
             inside = restart[restart < np.where(begin >= 0, self.unit_ends[begin], 0)] if n else restart
-            units = self.starts[(self.starts > split[self.owner[self.starts]]) & exists[self.owner[self.starts]]] if n else self.starts
+            owners = self.owner[self.starts]
+            units = self.starts[(self.starts > split[owners]) & exists[owners]]
             self._walk(np.concatenate((inside, units)), own, tokens, logs)
-            fresh = (tokens >= 0) & (np.arange(n) > split[self.owner]) if n else tokens >= 0
+            fresh = (tokens >= 0) & (np.arange(n) > np.repeat(split, self.places))
             before, value = self._regions(logs, fresh, top, own)
-            paths.append({"tokens": tokens, "logs": logs, "before": before, "value": value, "top": top, "exists": exists, "gone": {}})
+            paths.append({"tokens": tokens, "logs": logs, "before": before, "value": value, "top": top, "exists": exists})
         _, left = best()
         for path in paths:
             taken = path["tokens"] >= 0
@@ -393,11 +435,12 @@ class Decoder:
         codes = np.where(codes == SPACE_MARK, np.uint32(SPACE), codes)
         plain = np.where((codes >= BYTE_CODE) & (codes < BYTE_CODE + 0x80), codes - np.uint32(BYTE_CODE), codes)
         bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
+        whole = np.where(plain < BYTE_CODE, plain, 0).astype("<u4").tobytes().decode("utf-32-le")
         high = np.concatenate(([0], np.cumsum(plain >= BYTE_CODE)))
         found = []
         for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             if high[end] == high[start]:
-                text = plain[start:end].astype("<u4").tobytes().decode("utf-32-le")
+                text = whole[start:end]
             else:
                 text = b"".join(bytes([c - BYTE_CODE]) if c >= BYTE_CODE else chr(c).encode() for c in plain[start:end].tolist()).decode("utf-8", "replace")
             found.append(text[1:])  # without the space that was added in front
@@ -410,8 +453,10 @@ _OUT = pa.schema([
 
 
 def _encoder(vocabulary: Vocabulary, samples: int) -> Callable:
+    lattice = Lattice(vocabulary)
+
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler, decoder = Sampler(vocabulary, samples), Decoder(vocabulary)
+        sampler, decoder = Sampler(lattice, samples), Decoder(lattice.vocabulary)
         for batch in slices(batches, limit=SLICE_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for number, path in enumerate(sampler.draw(texts, batch.column("seed").to_numpy())):
