@@ -317,6 +317,27 @@ def test_components_of_a_long_chain(spark):
     assert set(found.values()) == {"n000", "z1"} and len(found) == 63
 
 
+def test_components_of_shares_of_edges_are_those_of_all(spark):
+    draw = random.Random(9)
+    pairs = [(f"n{draw.randrange(400):03}", f"n{draw.randrange(400):03}") for _ in range(260)]
+    links = frame(spark, pairs, "a string, b string")
+    whole, shares = ({r.node: r.root for r in near_dedup.components(links, size).collect()} for size in (1000, 20))
+    above = {}
+    for a, b in pairs:
+        if a != b:
+            group = above.get(a, {a}) | above.get(b, {b})
+            above.update((x, group) for x in group)
+    assert whole == shares == {x: min(group) for x, group in above.items()}
+
+
+def test_links_of_one_share_need_no_rounds(spark, monkeypatch):
+    written, keep = [], near_dedup.stored
+    monkeypatch.setattr(near_dedup, "stored", lambda df, label: written.append(label) or keep(df, label))
+    links = frame(spark, [(f"n{i:03}", f"n{i + 1:03}") for i in range(60)], "a string, b string")
+    assert near_dedup.components(links).count() == 61 and len(written) == 2
+    assert near_dedup.components(links.limit(0)).count() == 0
+
+
 def test_few_whole_texts_go_to_a_worker_at_a_time(spark):
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     rows = spark.range(3000).selectExpr("id AS doc_id", "cast(id AS string) AS text", "'s' AS source", "'en' AS lang").coalesce(1)

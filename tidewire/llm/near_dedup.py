@@ -53,6 +53,8 @@ REFINED = (1, 3)
 PAYING = 8
 #: What sums of weights may differ by when added up in another order.
 SLACK = 1e-6
+#: Links that one task puts together at a time: some MB of Python objects.
+EDGES_A_TASK = 1 << 14
 DF_BITS = 18
 #: Steps of weights per power of two, and steps in all: tf up to 2^31.
 STEPS, LEVELS = 32, 1024
@@ -339,8 +341,38 @@ def open_pairs(placed: DataFrame, compared: DataFrame) -> DataFrame:
     return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root) of all nodes of the links (a, b), by alternating large and small stars until nothing changes."""
+def _contractor(edges_a_task: int) -> Callable:
+    def contract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Edges (u, v) as (node, least node that they connect it with), put together up to so many edges at a time."""
+        above: dict[str, str] = {}
+        taken = 0
+
+        def top(x: str) -> str:
+            while (y := above.get(x, x)) != x:
+                above[x] = x = above.get(y, y)
+            return x
+
+        def flush() -> pa.RecordBatch:
+            hung = [(x, y) for x in above if (y := top(x)) != x]
+            above.clear()
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in hung], pa.string()) for i in (0, 1)], ["u", "v"])
+
+        for batch in batches:
+            for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+                u, v = sorted((top(u), top(v)))
+                above[v] = above[u] = u
+                taken += 1
+                if taken == edges_a_task:
+                    yield flush()
+                    taken = 0
+        yield flush()
+
+    return contract
+
+
+def components(links: DataFrame, edges_a_task: int = EDGES_A_TASK) -> DataFrame:
+    """(node, root) of all nodes of the links (a, b): each task puts together what its own edges connect, then large and small stars
+    alternate once, and so on until nothing changes. Edges that are no more than a task's share need no stars."""
     def summary(edges):
         return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (1 << 31))).first()
 
@@ -348,6 +380,12 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while (now := summary(edges)) != before:
         before = now
+        tasks = -(-now[0] // edges_a_task)
+        if not tasks:
+            break
+        edges = stored(edges.coalesce(tasks).mapInArrow(_contractor(edges_a_task), edges.schema), "edges")
+        if tasks == 1:
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
