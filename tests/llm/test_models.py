@@ -1,6 +1,8 @@
 import itertools
 import math
 import random
+import sys
+import tempfile
 from collections import Counter
 
 import numpy as np
@@ -9,7 +11,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from tests.llm.helpers import awkward, docs, frame, with_clashes
-from tidewire.llm import language, near_dedup, pii_tagger, sampled_pieces
+from tidewire.llm import arrow_slices, language, mixing, near_dedup, pii_tagger, sampled_pieces
 from tidewire.llm.arrow_slices import slices
 from tidewire.session import TEXT_ROWS
 
@@ -574,3 +576,53 @@ def test_personal_data_on_awkward_rows(spark, tagger):
     assert len(found) == 9 and all(r.spans == [] for r in found if r.doc_id in (2, 3, 6))
     assert pii_tagger.find_personal_data(rows.limit(0), pii_tagger.train(pii_tagger.training_windows(rows.limit(0)))).count() == 0
     assert len(pii_tagger.training_windows(docs(spark, ["mail me@x.org please", None, ""]))) >= 1
+
+
+def _anonymous_mb():
+    with open("/proc/self/status") as status:
+        return int(next(x.split()[1] for x in status if x.startswith("RssAnon"))) / 1024
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
+def test_a_worker_gives_back_what_a_task_held():
+    last = []
+
+    def work(batches):
+        for batch in batches:
+            held = [np.ones(4000) for _ in range(3000)]  # 96 MB
+            last.append(np.ones(4000))  # lies behind them, so that the heap can't just end earlier
+            yield batch
+            del held
+
+    batch = pa.RecordBatch.from_pydict({"text": ["a"]})
+    before = _anonymous_mb()
+    assert list(arrow_slices.leaving_nothing(work)([batch])) == [batch]
+    assert _anonymous_mb() < before + 30
+
+
+def test_the_pipelines_python_tasks_give_memory_back(spark, tmp_path, monkeypatch):
+    rows = docs(spark, ["some words of a text that is long enough " * 3, "other words of another text, long enough"])
+    model = language.train(rows)
+    for operator in (sampled_pieces.sample_segmentations, near_dedup.near_groups, lambda x: language.identify(x, model), mixing.mix):
+        folder = tmp_path / str(len(list(tmp_path.iterdir())))
+        folder.mkdir()
+        monkeypatch.setattr(arrow_slices, "give_back", lambda folder=str(folder): tempfile.mkstemp(dir=folder))
+        operator(rows).collect()
+        assert list(folder.iterdir())
+
+
+def test_edges_in_parts_are_those_of_a_whole_slice(monkeypatch):
+    vocabulary = sampled_pieces.load_vocabulary()
+    draw = random.Random(5)
+    texts = [" ".join("".join(draw.choices("abcdefé\U0001f642", k=draw.randint(1, 40))) for _ in range(60)) for _ in range(8)]
+
+    def drawn():
+        sampler = sampled_pieces.Sampler(vocabulary, 3)
+        return [[path[x].tolist() for x in ("ids", "log_prob", "top", "log_inclusion")] for own in (texts[:4], texts[4:], texts) for path in sampler.draw(own, np.arange(len(own)))]
+
+    whole, sizes = drawn(), []
+    edges = sampled_pieces.Lattice.edges
+    monkeypatch.setattr(sampled_pieces.Lattice, "edges", lambda self, codes, starts, own: sizes.append(len(codes)) or edges(self, codes, starts, own))
+    monkeypatch.setattr(sampled_pieces, "EDGE_PLACES", 64)
+    assert drawn() == whole
+    assert max(sizes) < 64 + 4 * 40 + 2

@@ -1,9 +1,10 @@
-"""Arrow batches in pieces that bound what a task holds beside the batch itself."""
+"""Arrow batches in pieces that bound what a task holds beside the batch itself, and workers that keep nothing after a task."""
 
 from __future__ import annotations
 
+import ctypes
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,3 +26,21 @@ def slices(batches: Iterable[pa.RecordBatch], text: str | int = "text", limit: i
         for start, end in zip(cuts[:-1], cuts[1:]):
             if end > start:
                 yield batch.slice(start, end - start)
+
+
+def give_back() -> None:
+    """Memory that is free goes back to the system, where the allocators would keep it for the process."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):  # glibc has it
+        trim(0)
+
+
+def leaving_nothing(work: Callable) -> Callable:
+    """work over a task's batches, after which its memory is given back. An executor's workers take turns and each waits for its
+    next task with what it holds, so what they keep adds up beyond the tasks that run at a time."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return run

@@ -26,7 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewire.functions.once import bind
-from tidewire.llm.arrow_slices import slices
+from tidewire.llm.arrow_slices import leaving_nothing, slices
 from tidewire.llm.common import row_name, stored, without
 from tidewire.session import text_batches
 
@@ -125,7 +125,7 @@ def train(docs: DataFrame, columns: Columns = Columns()) -> tuple[list[str], np.
         chosen = few.withColumn("rank", rank).where(F.col("rank") <= LANGUAGE_ROWS).select("id", "lang")
         # At most LANGUAGE_ROWS ids of each class are sent to the texts.
         sample = texts.join(F.broadcast(chosen), F.col("own").eqNullSafe(F.col("id")) & (F.col("own_lang") == F.col("lang"))).select("lang", "text")
-        counts = sample.mapInArrow(_gram_counts, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+        counts = sample.mapInArrow(leaving_nothing(_gram_counts), "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
         places = F.create_map(*(F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)))
         rows = counts.select(places[F.col("lang")].alias("place"), "slot", "n").toArrow()  # at most 2^GRAM_BITS a class
         np.add.at(table, (rows.column("slot").to_numpy(), rows.column("place").to_numpy()), rows.column("n").to_numpy())
@@ -193,7 +193,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], columns: Colu
         _host(columns).alias("host"), F.col(columns.text).alias("text"))
     kinds = "doc_id " + dict(parts.dtypes)["doc_id"] + ", name string, stated string, host string, likelihood array<double>, n_grams long"
     text_batches(docs.sparkSession)
-    scored = parts.mapInArrow(_scorer(table), kinds)
+    scored = parts.mapInArrow(leaving_nothing(_scorer(table)), kinds)
     noise = F.array(F.col("n_grams") * F.lit(-float(np.log(1 << GRAM_BITS))))
     text_logs = F.transform(F.concat("likelihood", noise), lambda x: x * TEXT_WEIGHT)
     declared = F.when(F.col("stated").isin(known), F.col("stated")).otherwise(F.when(F.col("stated").isNotNull(), OTHER if OTHER in known else UNKNOWN))

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidewire.llm.arrow_slices import leaving_nothing
 from tidewire.llm.common import ROW, packed, row_name, stored, unpacked, whole_text
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -192,9 +193,9 @@ def schedule(spark: SparkSession, names: list[str], fluid: Fluid, size: int) ->
     rows = spark.range(0, frames, 1, max(1, min(frames, 10_000)))
     least = np.zeros(frames, np.int64)
     if frames > 1:  # one number for each frame
-        found = rows.mapInArrow(_least(fluid, size), "frame long, least long").toArrow()
+        found = rows.mapInArrow(leaving_nothing(_least(fluid, size)), "frame long, least long").toArrow()
         least[found.column("frame").to_numpy()] = found.column("least").to_numpy()
-    return rows.mapInArrow(_scheduled(fluid, names, least, size), "name string, block long, release long, due long, slot long, phase int")
+    return rows.mapInArrow(leaving_nothing(_scheduled(fluid, names, least, size)), "name string, block long, release long, due long, slot long, phase int")
 
 
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from tidewire.llm.arrow_slices import slices
+from tidewire.llm.arrow_slices import leaving_nothing, slices
 from tidewire.llm.common import ROW, packed, row_name, stored, unpacked, whole_text, without
 from tidewire.llm.keymap import key_map, maybe_in
 from tidewire.session import fresh_path, text_batches
@@ -129,8 +129,8 @@ def _count_rows(blocks: Iterable[tuple[int, np.ndarray]]) -> pa.RecordBatch:
 
 def idf_table(docs: DataFrame, text: str = "text") -> np.ndarray:
     """idf of each bucket: 1 + ln(1 + N / df) / (2 ln(1 + buckets)). The table is of fixed size, summed up on the executors."""
-    parts = docs.select(whole_text(text).alias("text")).mapInArrow(_frequencies, "block int, counts binary")
-    sums = parts.repartition("block").mapInArrow(_summed, "block int, counts binary").toArrow()
+    parts = docs.select(whole_text(text).alias("text")).mapInArrow(leaving_nothing(_frequencies), "block int, counts binary")
+    sums = parts.repartition("block").mapInArrow(leaving_nothing(_summed), "block int, counts binary").toArrow()
     counts, documents = np.zeros(1 << DF_BITS), 0
     for block, packed in zip(sums.column("block").to_pylist(), sums.column("counts").to_pylist()):
         found = np.frombuffer(packed, np.int64)
@@ -383,7 +383,7 @@ def components(links: DataFrame, edges_a_task: int = EDGES_A_TASK) -> DataFrame:
         tasks = -(-now[0] // edges_a_task)
         if not tasks:
             break
-        edges = stored(edges.coalesce(tasks).mapInArrow(_contractor(edges_a_task), edges.schema), "edges")
+        edges = stored(edges.coalesce(tasks).mapInArrow(leaving_nothing(_contractor(edges_a_task)), edges.schema), "edges")
         if tasks == 1:
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -411,7 +411,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     body = whole_text(text)
     node = F.substring(F.sha2(body, 256), 1, 32)
     signed = f"doc_id {dict(docs.dtypes)[key]}, name string, node string, bands array<long>"
-    rows = stored(docs.select(F.col(key).alias("doc_id"), row_name(key, text).alias("name"), node.alias("node"), body.alias("text")).mapInArrow(_signer(idf), signed), "near-signed")
+    rows = stored(docs.select(F.col(key).alias("doc_id"), row_name(key, text).alias("name"), node.alias("node"), body.alias("text")).mapInArrow(leaving_nothing(_signer(idf)), signed), "near-signed")
     nodes = rows.groupBy("node").agg(F.first("bands").alias("bands"))
     placed = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     coarse = stored(_with_sizes(placed), "near-coarse")
@@ -436,7 +436,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             pairs = pairs.join(spark.read.schema(kinds).parquet(verified), ["a", "b"], "left_anti")
         both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b").join(
             texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
-        both.select("a", "b", "a_text", "b_text").mapInArrow(_verifier(idf), kinds).write.parquet(f"{verified}/round={number}")
+        both.select("a", "b", "a_text", "b_text").mapInArrow(leaving_nothing(_verifier(idf)), kinds).write.parquet(f"{verified}/round={number}")
         return spark.read.schema(kinds).parquet(f"{verified}/round={number}").where(F.col("similarity") >= THRESHOLD)
 
     def joined(fresh: DataFrame) -> DataFrame:
@@ -476,7 +476,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         number += 1
     number += 1
     large = texts.join(own.select("node"), "node", "left_semi")
-    prefixed = stored(large.mapInArrow(_prefixer(idf, idf_table(large)), "node string, shingle long, rest double, total double"), "near-prefixes")
+    prefixed = stored(large.mapInArrow(leaving_nothing(_prefixer(idf, idf_table(large))), "node string, shingle long, rest double, total double"), "near-prefixes")
     stars = stored(pivots(spark.read.schema(kinds).parquet(verified).where(F.col("similarity") >= THRESHOLD)), "near-stars")
     between = stored(star_pairs(at_home(prefixed, roots, stars)), "near-between")
     fresh = verify(between)

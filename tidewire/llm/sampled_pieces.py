@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from tidewire.llm.arrow_slices import slices
+from tidewire.llm.arrow_slices import leaving_nothing, slices
 from tidewire.session import text_batches
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -39,6 +39,8 @@ SAMPLES = 2
 RANK_SHIFT = 3.0
 #: Places of remembered units, and bytes of text of a slice.
 REMEMBERED, SLICE_BYTES = 250_000, 1 << 18
+#: Places whose edges are worked out together, unless one unit alone has more.
+EDGE_PLACES = 1 << 16
 SPACE, SPACE_MARK = 0x20, 0x2581
 #: Codes that stand for bytes, beyond those of characters; a literal space mark is coded as its bytes.
 BYTE_CODE = 0x110000
@@ -223,11 +225,19 @@ class Sampler:
     def __init__(self, vocabulary: Vocabulary | Lattice, samples: int):
         self.lattice, self.samples = vocabulary if isinstance(vocabulary, Lattice) else Lattice(vocabulary), samples
         # Edges of kinds of units: those that recur are remembered up to a bound, those of the slice come behind them.
-        wide = self.lattice.longest
-        self.lengths = np.arange(1, wide + 1)
-        self.pieces, self.ladder, self.beta = np.empty((0, wide), np.int16), np.empty((0, wide), np.float32), np.empty(0)
+        self.lengths = np.arange(1, self.lattice.longest + 1)
+        self._hold(0)
         self.remembered, self.names, self.name_codes = 0, np.empty(0, np.uint64), np.empty(0, np.int64)
 
+    def _hold(self, room: int) -> None:
+        """Room for the edges of so many places; those that are remembered are copied, an array at a time."""
+        wide = self.lattice.longest
+        for name, shape, kind in (("pieces", (room, wide), np.int16), ("ladder", (room, wide), np.float32), ("beta", (room,), np.float64)):
+            held = np.empty(shape, kind)  # takes memory where it is written only
+            if room and self.remembered:
+                held[: self.remembered] = getattr(self, name)[: self.remembered]
+            setattr(self, name, held)
+
     def _edges_of(self, names: np.ndarray, counts: np.ndarray, like: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Where the edges of each kind of unit start; like: where the kind's codes start."""
         found = np.searchsorted(self.names, names)
@@ -239,16 +249,16 @@ class Sampler:
         new = new[np.argsort(-counts[new], kind="stable")]
         own = np.cumsum(sizes[new]) - sizes[new]
         total = int(sizes[new].sum())
-        places = np.repeat(like[new] - own, sizes[new]) + np.arange(total)
-        fresh = self.lattice.edges(self.codes[places], own, sizes[new])
         begins[new] = self.remembered + own
         if len(self.pieces) < self.remembered + total:
-            kept = slice(0, self.remembered)
-            room = (self.remembered + total) // 2 * 3
-            self.pieces, self.ladder, self.beta = (
-                np.concatenate((a[kept], np.empty((room - self.remembered, *a.shape[1:]), a.dtype))) for a in (self.pieces, self.ladder, self.beta))
-        for held, own_edges in zip((self.pieces, self.ladder, self.beta), fresh):
-            held[self.remembered : self.remembered + total] = own_edges
+            self._hold(REMEMBERED + max(total, 2 * SLICE_BYTES))
+        parts = np.flatnonzero(np.diff(own // EDGE_PLACES, prepend=-1))
+        for first, last in zip(parts.tolist(), [*parts[1:].tolist(), len(new)]):
+            part, start = new[first:last], int(own[first])
+            ends = own[first:last] - start + sizes[part]
+            places = np.repeat(like[part] - (own[first:last] - start), sizes[part]) + np.arange(ends[-1])
+            at = slice(self.remembered + start, self.remembered + start + int(ends[-1]))
+            self.pieces[at], self.ladder[at], self.beta[at] = self.lattice.edges(self.codes[places], ends - sizes[part], sizes[part])
         fits = (counts[new] >= 2) & (self.remembered + own + sizes[new] <= REMEMBERED)
         again = new[: int(fits.argmin()) if not fits.all() else len(new)]  # the most frequent ones lie first
         self.remembered += int(sizes[again].sum())
@@ -482,7 +492,7 @@ def sample_segmentations(
     rows = docs.select(F.col(key).alias("doc_id"), *carried, F.xxhash64(key).alias("seed"), F.col(text).alias("text"))
     own = "".join(f"`{x}` {dict(docs.dtypes)[x]}, " for x in carried)
     kinds = f"doc_id {dict(docs.dtypes)[key]}, {own}sample int, ids array<int>, n_tokens long, log_prob double, perturbed double, log_inclusion double, round_trip boolean"
-    return rows.mapInArrow(_encoder(vocabulary or load_vocabulary(), samples), kinds)
+    return rows.mapInArrow(leaving_nothing(_encoder(vocabulary or load_vocabulary(), samples)), kinds)
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary | None = None, ids: str = "ids") -> DataFrame:
@@ -496,4 +506,4 @@ def decode(rows: DataFrame, vocabulary: Vocabulary | None = None, ids: str = "id
             texts = decoder.texts(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), counts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts)], [*batch.schema.names, "decoded"])
 
-    return rows.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema)}, decoded string")
+    return rows.mapInArrow(leaving_nothing(run), f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in rows.schema)}, decoded string")
