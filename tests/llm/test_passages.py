@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -127,3 +128,19 @@ def test_merged_transforms_give_all_repeated_strings(seed):
             for i in range(len(s) - length + 1):
                 places.setdefault(s[i : i + length], set()).add((k, i))
         assert sorted(map(sorted, intervals.values())) == sorted(sorted(v) for v in places.values() if len(v) > 1)
+
+
+def test_the_shuffle_files_of_stored_steps_are_gone_with_them(spark):
+    def files():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {x for x in blocks.split("\n") if "shuffle_" in x}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    table = docs(spark, passages_in_noise(random.Random(6), 20))
+    before, setting = files(), spark.conf.get(name, None)
+    found = passages.remove_repeats(table)
+    for _ in range(50):  # they go in the background
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and found.count() == table.count() and spark.conf.get(name, None) == setting

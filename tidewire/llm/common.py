@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewire.llm.keymap import key_map, maybe_in
-from tidewire.session import fresh_path
+from tidewire.session import dropping_shuffles, fresh_path
 
 #: Column that holds a whole input row while an operator works, so that no column of the input can clash with its own.
 ROW = "packed_input_row"
@@ -22,6 +22,12 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """stored, and the shuffle files that it took are gone with it, so that those of steps in a row don't add up on disk."""
+    with dropping_shuffles(df.sparkSession):
+        return stored(df, label, **options)
+
+
 def whole_text(text: str) -> Column:
     """The column, with null as the empty text."""
     return F.coalesce(F.col(text), F.lit(""))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -38,6 +40,21 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(TEXT_ROWS))
 
 
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a query that runs in here go when it ends, where they else stay until the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 @cache
 def _test_root() -> str:
     return tempfile.mkdtemp(prefix="tidewire-")
