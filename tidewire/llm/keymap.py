@@ -18,9 +18,10 @@ def _slot(*key: Column) -> Column:
 def key_map(keys: DataFrame) -> Column:
     """The bitmap, as an array of longs, of all rows of keys (all columns make the key)."""
     slots = keys.select(_slot(*(F.col(c) for c in keys.columns)).alias("slot"))
-    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"))
-    dense = keys.sparkSession.range(1 << (MAP_BITS - 6)).withColumnRenamed("id", "word").join(words, "word", "left")
-    ordered = F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits"))))
+    held = slots.select(F.shiftright("slot", 6).alias("word"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bits"))
+    blank = keys.sparkSession.range(1 << (MAP_BITS - 6)).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    dense = held.unionByName(blank).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    ordered = F.sort_array(F.collect_list(F.struct("word", "bits")))
     return dense.agg(ordered.getField("bits")).scalar()
 
 
